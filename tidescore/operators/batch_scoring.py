@@ -148,6 +148,7 @@ def _matrix(columns: Sequence[pd.Series]) -> np.ndarray:
 def _result_udf(scorer, dtype=T.DoubleType()):
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
+            columns = [columns] if isinstance(columns, pd.Series) else columns
             with np.errstate(all="ignore"):
                 yield pd.Series(scorer(_matrix(columns)))
 

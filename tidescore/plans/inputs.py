@@ -66,7 +66,7 @@ def _unit(name: str) -> str:
 
 LINE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 LINE_STREAM_SQL = ", ".join(
-    [*LINE_KEYS, "l_linestatus AS data_type", "l_shipdate AS ts",
+    [*LINE_KEYS, "l_returnflag", "l_linestatus AS data_type", "l_shipdate AS ts",
      "CAST(floor(l_quantity) AS BIGINT) AS duration",
      *[f"{feature_sql(c)} AS {c}" for c in FEATURES]]
 )
@@ -105,11 +105,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, folder: str, name: str, sql: str) -> DataFrame:
-    return spark.sql(sql.replace(f"FROM {name}", f"FROM {{{name}}}"), **{name: table(spark, folder, name)})
+    text = sql.replace("{", "{{").replace("}", "}}").replace(f"FROM {name}", f"FROM {{{name}}}")
+    return spark.sql(text, **{name: table(spark, folder, name)})
 
 
 def wine(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as records: keys, data_type, ts, duration, eleven features, quality."""
+    """Line items as records: keys, return flag, data_type, ts, duration, eleven features, quality."""
     return _run(spark, folder, "lineitem", WINE_SQL)
 
 
@@ -133,3 +134,99 @@ def named_event_models(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("weight delivered by a signup").alias("description"),
         F.lit("PMML").alias("modeltype"),
     )
+
+
+# --- orders as model messages ----------------------------------------------------------------
+#
+# The order priority decides what is delivered:
+#   1-URGENT         linear regression document
+#   2-HIGH           generalized linear document with log link
+#   3-MEDIUM         dense layers: class 1 when alcohol exceeds a threshold, else class 0
+#   4-NOT SPECIFIED  a document cut short
+#   5-LOW            a location instead of content, or an unsupported type
+_HEAD = (
+    '<PMML xmlns="http://www.dmg.org/PMML-4_3" version="4.3"><DataDictionary>'
+    '<DataField name="quality" optype="continuous" dataType="double"/></DataDictionary>'
+)
+_TARGET = '<MiningSchema><MiningField name="quality" usageType="target"/></MiningSchema>'
+
+
+def _attribute(value) -> str:
+    return f"CAST({value} AS STRING)"
+
+
+def _concat(parts: list[str]) -> str:
+    return "concat(" + ", ".join(parts) + ")"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text + "'"
+
+
+def linear_document_sql(intercept: str, coefs: list[str]) -> str:
+    """Spark SQL text of a linear regression document per row."""
+    parts = [
+        _quoted(f'{_HEAD}<RegressionModel functionName="regression">{_TARGET}<RegressionTable intercept="'),
+        _attribute(intercept), _quoted('">'),
+    ]
+    for name, coef in zip(FEATURES, coefs):
+        spaced = name.replace("_", " ")
+        parts += [_quoted(f'<NumericPredictor name="{spaced}" coefficient="'), _attribute(coef), _quoted('"/>')]
+    return _concat([*parts, _quoted("</RegressionTable></RegressionModel></PMML>")])
+
+
+def glm_document_sql(intercept: str, coefs: list[str], link: str) -> str:
+    cells = "".join(
+        f'<PPCell value="1" predictorName="{name.replace("_", " ")}" parameterName="p{i}"/>'
+        for i, name in enumerate(FEATURES, start=1)
+    )
+    parts = [
+        _quoted(f'{_HEAD}<GeneralRegressionModel modelType="generalizedLinear" functionName="regression" '
+                f'linkFunction="{link}">{_TARGET}<PPMatrix>{cells}</PPMatrix><ParamMatrix>'
+                '<PCell parameterName="p0" beta="'),
+        _attribute(intercept), _quoted('"/>'),
+    ]
+    for i, coef in enumerate(coefs, start=1):
+        parts += [_quoted(f'<PCell parameterName="p{i}" beta="'), _attribute(coef), _quoted('"/>')]
+    return _concat([*parts, _quoted("</ParamMatrix></GeneralRegressionModel></PMML>")])
+
+
+ORDER_INTERCEPT = "(o_totalprice / 100000e0)"
+GLM_INTERCEPT = "(o_totalprice / 1000000e0)"
+DENSE_THRESHOLD = "(8.6e0 + CAST(o_custkey % 40 AS DOUBLE) / 10e0)"
+
+
+def glm_coefficient_sql(i: int) -> str:
+    return f"({coefficient_sql(i)} / 1000e0)"
+
+
+def dense_document_sql() -> str:
+    zeros = ",".join(["0.0"] * (len(FEATURES) - 1))
+    return _concat(
+        [
+            _quoted('{"layers":[{"activation":"identity","normalization":"none","bias":['),
+            _attribute(DENSE_THRESHOLD),
+            _quoted(f',0.0],"weights":[[{zeros},0.0],[{zeros},1.0]]}}]}}'),
+        ]
+    )
+
+
+def order_descriptors(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as model messages: version, valid_from and the descriptor fields."""
+    every = range(len(FEATURES))
+    linear = linear_document_sql(ORDER_INTERCEPT, [coefficient_sql(i) for i in every])
+    glm = glm_document_sql(GLM_INTERCEPT, [glm_coefficient_sql(i) for i in every], "log")
+    text = (
+        f"CASE o_orderpriority WHEN '1-URGENT' THEN {linear} WHEN '2-HIGH' THEN {glm} "
+        f"WHEN '3-MEDIUM' THEN {dense_document_sql()} WHEN '4-NOT SPECIFIED' THEN substring({linear}, 1, 400) "
+        "WHEN '5-LOW' THEN IF(o_totalprice > 250000, NULL, 'graph') END"
+    )
+    return _run(
+        spark, folder, "orders",
+        "SELECT o_orderkey AS version, o_orderdate AS valid_from, concat('order-', CAST(o_orderkey AS STRING)) AS name, "
+        "o_orderpriority AS description, o_orderstatus AS dataType, "
+        "CASE o_orderpriority WHEN '3-MEDIUM' THEN 'TENSORFLOW' WHEN '5-LOW' THEN 'TENSORFLOWSAVED' ELSE 'PMML' END "
+        f"AS modeltype, CAST({text} AS BINARY) AS data, "
+        "IF(o_orderpriority = '5-LOW' AND o_totalprice > 250000, concat('/models/', CAST(o_orderkey AS STRING)), NULL) "
+        "AS location FROM orders",
+    )

@@ -23,8 +23,8 @@ def read_training_csv(spark: SparkSession, path: str, columns: list[str] | None
         .option("header", True)
         .option("sep", ";")
         .option("mode", "DROPMALFORMED")
-        # Without this a query that reads few columns parses few and never sees a short row.
-        .option("columnNameOfCorruptRecord", "_corrupt")
+        # With pruning on, a query that reads few columns parses few and never sees a short row.
+        .option("columnPruning", False)
         .option("enforceSchema", True)
         .csv(path)
     )
