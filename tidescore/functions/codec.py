@@ -1,29 +1,29 @@
 """Protobuf messages to columns and back.
 
-Where the cluster has Spark's protobuf functions on its class path, pass their columns to
-`decoded_record` / `decoded_descriptor` users directly; here the same messages are read in
-Arrow batches, one worker call per batch of rows.
+The messages are read in Arrow batches, one worker call per batch of rows. Where the cluster
+has Spark's own protobuf functions on its class path, their columns can take the place of
+these.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import attrgetter
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidescore.functions import vectors
 from tidescore.schemas import DESCRIPTOR_SCHEMA, FEATURES, MODEL_TYPES, RECORD_SCHEMA
 
 LOCATION_UNSUPPORTED = "Location based is not yet supported"
 
-RECORD_RESULT = T.StructType(
-    [T.StructField("rec", RECORD_SCHEMA), T.StructField("error", T.StringType())]
-)
-DESCRIPTOR_RESULT = T.StructType(
-    [T.StructField("rec", DESCRIPTOR_SCHEMA), T.StructField("error", T.StringType())]
-)
+# Flat layouts for the worker side: plain columns convert to Arrow much faster than nested rows.
+_ERROR = T.StructField("error", T.StringType())
+RECORD_RESULT = T.StructType([*RECORD_SCHEMA.fields, _ERROR])
+DESCRIPTOR_RESULT = T.StructType([*DESCRIPTOR_SCHEMA.fields, _ERROR])
 
 
 def message_classes():
@@ -71,24 +71,27 @@ def _parse(cls, payload):
         return None, f"undecodable message: {type(exc).__name__}"
 
 
+def _nested(flat: Column, fields: T.StructType) -> Column:
+    """Flat decode result -> struct(rec, error); rec is null where there is no message."""
+    rec = F.struct(*[flat[f].alias(f) for f in fields.names])
+    return F.struct(F.when(flat["dataType"].isNotNull(), rec).alias("rec"), flat["error"].alias("error"))
+
+
 def decode_record(value: Column) -> Column:
     """bytes -> struct(rec, error). An empty message is a valid record of zeros."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         cls, _ = message_classes()
+        read = attrgetter(*RECORD_SCHEMA.names)
+        gap = (None,) * len(RECORD_SCHEMA.names)
         for batch in batches:
-            recs, errors = [], []
-            for payload in batch:
-                msg, error = _parse(cls, payload)
-                errors.append(error)
-                recs.append(
-                    None if msg is None
-                    else {**{f: getattr(msg, f) for f in FEATURES}, "dataType": msg.dataType}
-                )
-            yield pd.DataFrame({"rec": pd.Series(recs, dtype=object), "error": pd.Series(errors, dtype=object)})
+            parsed = [_parse(cls, payload) for payload in batch]
+            rows = [gap if msg is None else read(msg) for msg, _ in parsed]
+            frame = pd.DataFrame(rows, columns=RECORD_SCHEMA.names)
+            yield frame.assign(error=pd.Series([error for _, error in parsed], dtype=object))
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(run, RECORD_RESULT)(value)
+    return vectors.bind(F.pandas_udf(run, RECORD_RESULT)(value), lambda flat: _nested(flat, RECORD_SCHEMA))
 
 
 def decode_descriptor(value: Column) -> Column:
@@ -98,29 +101,25 @@ def decode_descriptor(value: Column) -> Column:
         _, cls = message_classes()
         names = {number: name for name, number in MODEL_TYPES.items()}
         for batch in batches:
-            recs, errors = [], []
+            rows = []
             for payload in batch:
                 msg, error = _parse(cls, payload)
                 if msg is None:
-                    recs.append(None)
-                    errors.append(error)
+                    rows.append((None,) * len(DESCRIPTOR_SCHEMA.names) + (error,))
                     continue
                 content = msg.WhichOneof("content")
-                recs.append(
-                    {
-                        "name": msg.name,
-                        "description": msg.description,
-                        "dataType": msg.dataType,
-                        "modeltype": names.get(msg.modeltype, str(msg.modeltype)),
-                        "data": msg.data if content == "data" else None,
-                        "location": msg.location if content == "location" else None,
-                    }
+                rows.append(
+                    (
+                        msg.name, msg.description, msg.dataType, names.get(msg.modeltype, str(msg.modeltype)),
+                        msg.data if content == "data" else None,
+                        msg.location if content == "location" else None,
+                        None if content == "data" else LOCATION_UNSUPPORTED,
+                    )
                 )
-                errors.append(None if content == "data" else LOCATION_UNSUPPORTED)
-            yield pd.DataFrame({"rec": pd.Series(recs, dtype=object), "error": pd.Series(errors, dtype=object)})
+            yield pd.DataFrame(rows, columns=DESCRIPTOR_RESULT.names, dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(run, DESCRIPTOR_RESULT)(value)
+    return vectors.bind(F.pandas_udf(run, DESCRIPTOR_RESULT)(value), lambda flat: _nested(flat, DESCRIPTOR_SCHEMA))
 
 
 def encode_record(rec: Column) -> Column:
@@ -129,13 +128,15 @@ def encode_record(rec: Column) -> Column:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         cls, _ = message_classes()
         for batch in batches:
-            columns = [batch[f] for f in FEATURES] + [batch["dataType"]]
-            out = []
-            for row in zip(*columns):
-                msg = cls(**{f: float(v) for f, v in zip(FEATURES, row) if v is not None and v == v})
-                msg.dataType = row[-1] or ""
-                out.append(msg.SerializeToString())
-            yield pd.Series(out, dtype=object)
+            columns = [batch[f].fillna(0.0).tolist() for f in FEATURES]
+            types = batch["dataType"].fillna("").tolist()
+            yield pd.Series(
+                [
+                    cls(**dict(zip(FEATURES, row)), dataType=kind).SerializeToString()
+                    for *row, kind in zip(*columns, types)
+                ],
+                dtype=object,
+            )
 
     run.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, T.BinaryType())(rec)

@@ -107,18 +107,20 @@ def _trees(params: dict):
     return run
 
 
+INVERSE_LINKS = {
+    "identity": lambda e: e,
+    "log": np.exp,
+    "inverse": lambda e: 1.0 / e,
+    "logit": lambda e: 1.0 / (1.0 + np.exp(-e)),
+    "sqrt": np.square,
+    "cloglog": lambda e: 1.0 - np.exp(-np.exp(e)),
+}
+
+
 def _sum(params: dict):
     coefs = np.array(params["coefs"], dtype=float)
     terms = [(t["beta"], np.array(t["exponents"])) for t in params["terms"] or []]
-    link = params["link"]
-    inverse = {
-        "identity": lambda e: e,
-        "log": np.exp,
-        "inverse": lambda e: 1.0 / e,
-        "logit": lambda e: 1.0 / (1.0 + np.exp(-e)),
-        "sqrt": np.square,
-        "cloglog": lambda e: 1.0 - np.exp(-np.exp(e)),
-    }[link]
+    inverse = INVERSE_LINKS[params["link"] or "identity"]
 
     def run(x: np.ndarray) -> np.ndarray:
         eta = np.full(len(x), float(params["intercept"]))

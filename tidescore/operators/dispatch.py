@@ -12,12 +12,13 @@ from pyspark.sql import types as T
 
 from tidescore.functions.features import bind_fields
 from tidescore.functions.maths import inverse_link_by_name
-from tidescore.operators.batch_scoring import batch_scorer
+from tidescore.operators.batch_scoring import INVERSE_LINKS, batch_scorer
 from tidescore.operators.resolve import resolve
 from tidescore.schemas import FEATURES
-from tidescore.session import fits_broadcast
+from tidescore.session import fits_broadcast, measured_bytes
 
 ROWS_PER_GROUP = 100_000
+MODEL_BYTES_PER_GROUP = 32 * 1024 * 1024
 
 
 def score_with_versions(records: DataFrame, versions: DataFrame, unscored: str = "drop",
@@ -49,6 +50,56 @@ def score_sums(records: DataFrame, versions: DataFrame, unscored: str = "drop",
     return resolved.withColumn("result", inverse_link_by_name(eta, F.col("_l"))).drop("_b", "_w", "_l")
 
 
+class VersionScorer:
+    """Scores rows of many versions at once.
+
+    Versions that are plain sums share one weight matrix, so a batch with thousands of them
+    costs one gather; the other kinds are scored version by version.
+    """
+
+    def __init__(self, params_of) -> None:
+        self.params_of = params_of
+        self.place: dict[int, int] = {}
+        self.sums: list[list[float]] = []
+        self.links: list[str] = []
+        self.scorers: dict[int, object] = {}
+
+    def _learn(self, version: int) -> None:
+        params = self.params_of(version)
+        if params["kind"] in ("linear", "glm") and not params["terms"]:
+            self.place[version] = len(self.sums)
+            self.sums.append([params["intercept"], *params["coefs"]])
+            self.links.append(params["link"] or "identity")
+        else:
+            self.place[version] = -1
+            self.scorers[version] = batch_scorer(params)
+
+    def __call__(self, versions: np.ndarray, x: np.ndarray) -> np.ndarray:
+        found, inverse = np.unique(versions, return_inverse=True)
+        for v in found:
+            if v not in self.place:
+                self._learn(int(v))
+        places = np.array([self.place[v] for v in found], dtype=np.int64)
+        row_place = places[inverse]
+        out = np.full(len(x), np.nan)
+        plain = np.flatnonzero(row_place >= 0)
+        if len(plain):
+            weights = np.array(self.sums)[row_place[plain]]
+            eta = weights[:, 0].copy()
+            for i in range(x.shape[1]):
+                eta += weights[:, i + 1] * x[plain, i]
+            links = np.array(self.links, dtype=object)[row_place[plain]]
+            for link in set(links):
+                chosen = links == link
+                out[plain[chosen]] = INVERSE_LINKS[link](eta[chosen])
+        other = np.flatnonzero(row_place < 0)
+        order = other[np.argsort(inverse[other], kind="stable")]
+        codes, starts = np.unique(inverse[order], return_index=True)
+        for code, part in zip(codes, np.split(order, starts[1:])):
+            out[part] = self.scorers[found[code]](x[part])
+        return out
+
+
 def score_resolved(resolved: DataFrame, versions: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     """Rows with a `version` -> rows with `result`, any mix of kinds."""
     models = versions.select("version", "params")
@@ -59,20 +110,13 @@ def score_resolved(resolved: DataFrame, versions: DataFrame, columns: Sequence[s
     shared = resolved.sparkSession.sparkContext.broadcast({r.version: r.params.asDict(True) for r in rows})
 
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        scorers = {}
+        scorer = VersionScorer(lambda v: shared.value[v])
         for version, *inputs in batches:
+            out = np.full(len(version), np.nan)
+            known = np.flatnonzero(version.notna().to_numpy())
             x = np.column_stack([c.to_numpy(dtype=float) for c in inputs])
-            out = np.full(len(x), np.nan)
-            known = version.notna().to_numpy()
-            codes = version.fillna(-1).to_numpy(dtype=np.int64)
-            order = np.argsort(codes[known], kind="stable")
-            places = np.flatnonzero(known)[order]
-            found, starts = np.unique(codes[places], return_index=True)
-            for v, part in zip(found, np.split(places, starts[1:])):
-                if v not in scorers:
-                    scorers[v] = batch_scorer(shared.value[v])
-                with np.errstate(all="ignore"):
-                    out[part] = scorers[v](x[part])
+            with np.errstate(all="ignore"):
+                out[known] = scorer(version.to_numpy()[known].astype(np.int64), x[known])
             yield pd.Series(out)
 
     run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
@@ -86,33 +130,42 @@ def score_resolved(resolved: DataFrame, versions: DataFrame, columns: Sequence[s
 def score_cogrouped(resolved: DataFrame, models: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     """The same where the models are too large to send everywhere: each meets its records by shuffle.
 
-    A version with many records is salted into groups of about ROWS_PER_GROUP rows, and only
-    its model row is repeated.
+    Versions are hashed into buckets whose number follows the rows and the model bytes. A bucket
+    with many records, because one of its versions is hot, is salted into groups of about
+    ROWS_PER_GROUP rows, and only its model rows are repeated.
     """
     x = bind_fields(columns, resolved.columns)
     names = [f"_x{i}" for i in range(len(x))]
     scored = resolved.where(F.col("version").isNotNull())
-    salts = scored.groupBy("version").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_GROUP).alias("_salts"))
+    used = models.join(scored.select("version").distinct(), "version", "left_semi")
+    count = max(1, scored.count() // ROWS_PER_GROUP, measured_bytes(used) // MODEL_BYTES_PER_GROUP)
+    bucket = F.pmod(F.xxhash64("version"), F.lit(count))
+    salts = scored.groupBy(bucket.alias("_bucket")).agg(
+        F.ceil(F.count(F.lit(1)) / ROWS_PER_GROUP).alias("_salts")
+    )
     left = (
-        scored.select("*", *[c.alias(n) for c, n in zip(x, names)])
-        .join(salts, "version")
+        scored.select("*", *[c.alias(n) for c, n in zip(x, names)], bucket.alias("_bucket"))
+        .join(salts, "_bucket")
         .withColumn("_salt", F.pmod(F.xxhash64(*resolved.columns), F.col("_salts")))
         .drop("_salts")
     )
-    right = models.join(salts, "version").select(
-        "version", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt"), "params"
+    right = used.withColumn("_bucket", bucket).join(salts, "_bucket").select(
+        "_bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt"), "version", "params"
     )
     schema = T.StructType([*resolved.schema.fields, T.StructField("result", T.DoubleType())])
     keep = resolved.columns
 
     def run(rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or model.empty:
+        if rows.empty:
             return pd.DataFrame(columns=[*keep, "result"])
+        known = dict(zip(model["version"], model["params"]))
+        scorer = VersionScorer(lambda v: _plain(known[v]))
         with np.errstate(all="ignore"):
-            result = batch_scorer(_plain(model["params"].iloc[0]))(rows[names].to_numpy(dtype=float))
+            result = scorer(rows["version"].to_numpy(np.int64), rows[names].to_numpy(dtype=float))
         return rows[keep].assign(result=result)
 
-    done = left.groupBy("version", "_salt").cogroup(right.groupBy("version", "_salt")).applyInPandas(run, schema)
+    keys = ["_bucket", "_salt"]
+    done = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
     rest = resolved.where(F.col("version").isNull()).withColumn("result", F.lit(None).cast("double"))
     return done.unionByName(rest)
 

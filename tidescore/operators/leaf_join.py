@@ -7,10 +7,11 @@ leaf of each tree leaves the join.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,64 +21,76 @@ from tidescore.functions.vectors import argmax_index
 from tidescore.schemas import FEATURES
 from tidescore.session import checked_broadcast
 
+LO = [f"lo{i}" for i in range(len(FEATURES))]
+HI = [f"hi{i}" for i in range(len(FEATURES))]
 LEAF_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType()),
         T.StructField("tree", T.IntegerType()),
         T.StructField("leaf", T.IntegerType()),
-        T.StructField("lo", T.ArrayType(T.DoubleType())),
-        T.StructField("hi", T.ArrayType(T.DoubleType())),
+        *[T.StructField(c, T.DoubleType()) for c in [*LO, *HI]],
         T.StructField("score", T.DoubleType()),
         T.StructField("probs", T.ArrayType(T.DoubleType())),
     ]
 )
 
+ARROW_TYPES = [
+    pa.int64(), pa.int32(), pa.int32(), *[pa.float64()] * (2 * len(FEATURES)), pa.float64(), pa.list_(pa.float64()),
+]
+
 
 def leaf_rows(version: int, nodes: Sequence) -> Iterator[tuple]:
-    """Leaves of one model with bounds lo < x <= hi; None means unbounded."""
+    """Leaves of one model as boxes lo <= x <= hi.
+
+    A split x > t becomes lo = the next double above t. An open upper end is NaN, which Spark
+    orders above every other double.
+    """
     by_tree: dict[int, dict] = {}
     for row in nodes:
         by_tree.setdefault(row["tree"], {})[row["node"]] = row
     for tree, rows in by_tree.items():
-        open_nodes = [(0, [None] * len(FEATURES), [None] * len(FEATURES))]
+        open_nodes = [(0, [-math.inf] * len(FEATURES), [math.nan] * len(FEATURES))]
         while open_nodes:
             number, lo, hi = open_nodes.pop()
             row = rows[number]
             if row["feature"] < 0:
                 probs = None if row["probs"] is None else list(row["probs"])
-                yield version, tree, number, lo, hi, row["score"], probs
+                yield version, tree, number, *lo, *hi, row["score"], probs
                 continue
             i, t = row["feature"], row["threshold"]
             left_hi, right_lo = list(hi), list(lo)
-            left_hi[i] = t if hi[i] is None else min(hi[i], t)
-            right_lo[i] = t if lo[i] is None else max(lo[i], t)
+            left_hi[i] = t if math.isnan(hi[i]) else min(hi[i], t)
+            right_lo[i] = max(lo[i], math.nextafter(t, math.inf))
             open_nodes += [(row["left"], lo, left_hi), (row["right"], right_lo, hi)]
 
 
 def leaf_table(versions: DataFrame) -> DataFrame:
     """`version, params` -> leaves. Runs where the model rows are."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [r for v, nodes in zip(batch["version"], batch["nodes"]) for r in leaf_rows(v, nodes)]
-            yield pd.DataFrame(rows, columns=LEAF_SCHEMA.names)
+            models = zip(batch.column("version").to_pylist(), batch.column("nodes").to_pylist())
+            rows = [r for v, nodes in models for r in leaf_rows(v, nodes)]
+            # Built by Arrow itself: a DataFrame would turn the open ends (NaN) into nulls.
+            columns = list(zip(*rows)) or [[] for _ in LEAF_SCHEMA.names]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, type=t) for c, t in zip(columns, ARROW_TYPES)], names=LEAF_SCHEMA.names
+            )
 
     trees = versions.where(F.col("params.kind").isin("tree", "forest"))
-    return trees.select("version", F.col("params.nodes").alias("nodes")).mapInPandas(run, LEAF_SCHEMA)
+    return trees.select("version", F.col("params.nodes").alias("nodes")).mapInArrow(run, LEAF_SCHEMA)
 
 
 def match_leaves(records: DataFrame, leaves: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     """Rows with a `version` -> one row per tree of that version with the leaf it falls in."""
     x = bind_fields(columns, records.columns)
-    lo, hi = F.col("lo"), F.col("hi")
     inside = reduce(
-        lambda a, b: a & b,
-        [(lo[i].isNull() | (x[i] > lo[i])) & (hi[i].isNull() | (x[i] <= hi[i])) for i in range(len(x))],
+        lambda a, b: a & b, [(v >= F.col(lo)) & (v <= F.col(hi)) for v, lo, hi in zip(x, LO, HI)]
     )
     boxes = leaves.withColumnRenamed("version", "l_version").withColumnRenamed("score", "leaf_score")
     return (
         records.join(checked_broadcast(boxes), (F.col("version") == F.col("l_version")) & inside)
-        .drop("l_version", "lo", "hi")
+        .drop("l_version", *LO, *HI)
     )
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidescore.schemas import FEATURES
+from tidescore.session import spread
 
 # Lower and upper end of each synthetic feature.
 FEATURE_RANGES = {
@@ -104,9 +105,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+SPREAD_KEYS = {"lineitem": LINE_KEYS, "orders": ["o_orderkey"]}
+
+
 def _run(spark: SparkSession, folder: str, name: str, sql: str) -> DataFrame:
+    source = table(spark, folder, name)
+    if name in SPREAD_KEYS:
+        source = spread(source, *SPREAD_KEYS[name])
     text = sql.replace("{", "{{").replace("}", "}}").replace(f"FROM {name}", f"FROM {{{name}}}")
-    return spark.sql(text, **{name: table(spark, folder, name)})
+    return spark.sql(text, **{name: source})
 
 
 def wine(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,12 +13,9 @@ from tidescore.plans.resolve_queries import CURRENT, EVENT_SCORE
 from tidescore.schemas import FEATURES, RECORD_SCHEMA
 from tidescore.session import scratch_path
 from tidescore.sources import replay
-from tidescore.sources.staged import read_staged, stage_in_order
+from tidescore.sources.staged import play, read_staged
 from tidescore.streaming import introspect, keyed, micro_batch, sinks
 
-SLICES = 3
-
-
 def event_rows(spark: SparkSession, folder: str) -> DataFrame:
     models = inputs.event_models(spark, folder).withColumn("zero", F.lit(0.0))
     records = inputs.event_records(spark, folder)
@@ -32,20 +29,17 @@ def line_rows(spark: SparkSession, folder: str) -> DataFrame:
     return keyed.model_rows(models, weights).unionByName(keyed.record_rows(records, "id", FEATURES))
 
 
-def staged(df: DataFrame, slices: int = SLICES) -> str:
-    path = scratch_path(df.sparkSession, "stage")
-    stage_in_order(df, path, slices)
-    return path
-
-
 def drain(df: DataFrame, path: str, checkpoint: str) -> None:
     """Run a stream over everything that is there, then stop."""
     sinks.table(df, path, checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def run_keyed(spark, source: str, shards: int, **options) -> tuple[DataFrame, str]:
+def run_keyed(rows: DataFrame, shards: int, **options) -> tuple[DataFrame, str]:
+    """Deliver `rows` as slices in time order and run a stream over them, one slice per batch."""
+    spark = rows.sparkSession
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("stage", "out", "checkpoint"))
+    play(rows, source)
     stream = read_staged(spark, source, keyed.INPUT_SCHEMA)
-    path, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
     drain(keyed.keyed_scoring(stream, shards=shards, **options), path, checkpoint)
     return spark.read.schema(keyed.OUTPUT_SCHEMA).parquet(path), checkpoint
 
@@ -57,7 +51,7 @@ def event_result(scored: DataFrame) -> DataFrame:
 @query("stream_keyed_score", EVENT_SCORE)
 def stream_keyed_score(spark, folder):
     """One key per user, one shard per key."""
-    scored, _ = run_keyed(spark, staged(event_rows(spark, folder)), shards=1)
+    scored, _ = run_keyed(event_rows(spark, folder), shards=1)
     return event_result(keyed.unscored(scored))
 
 
@@ -68,7 +62,7 @@ def stream_keyed_score(spark, folder):
 )
 def stream_sharded(spark, folder):
     """Two data types hold all records; shards spread each over the tasks."""
-    scored, _ = run_keyed(spark, staged(line_rows(spark, folder)), shards=8)
+    scored, _ = run_keyed(line_rows(spark, folder), shards=8)
     return keyed.unscored(scored).select("id", "version", F.round("result", 6).alias("result"))
 
 
@@ -79,20 +73,26 @@ def stream_sharded(spark, folder):
 )
 def stream_one_output_per_input(spark, folder):
     """Model messages and records without a model appear as empty results."""
-    scored, _ = run_keyed(spark, staged(event_rows(spark, folder)), shards=1, emit_models=True)
+    scored, _ = run_keyed(event_rows(spark, folder), shards=1, emit_models=True)
     return scored.groupBy("is_model", F.col("version").isNull().alias("empty")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("stream_restart", EVENT_SCORE)
 def stream_restart(spark, folder):
-    """Two runs on one checkpoint: the second starts with the models the first one left."""
+    """Two slices per run: the second batch of a run and the first of the next both find their models."""
     rows = event_rows(spark, folder)
-    cut = inputs.table(spark, folder, "events").agg(F.percentile_approx("event_id", 0.5).alias("c")).first().c
     source, path, checkpoint = (scratch_path(spark, n) for n in ("stage", "out", "checkpoint"))
-    for part in (rows.where(F.col("id") <= cut), rows.where(F.col("id") > cut)):
-        stage_in_order(part, source, 2)
-        stream = read_staged(spark, source, keyed.INPUT_SCHEMA)
-        drain(keyed.unscored(keyed.keyed_scoring(stream, shards=1)), path, checkpoint)
+    delivered = []
+
+    def run() -> None:
+        delivered.append(1)
+        if len(delivered) % 2 == 0:
+            stream = read_staged(spark, source, keyed.INPUT_SCHEMA)
+            drain(keyed.unscored(keyed.keyed_scoring(stream, shards=1)), path, checkpoint)
+
+    play(rows, source, run, at_least=4)
+    if len(delivered) % 2:
+        run()
     return event_result(spark.read.schema(keyed.OUTPUT_SCHEMA).parquet(path))
 
 
@@ -110,13 +110,12 @@ def stream_initial_state(spark, folder):
         F.lit("2000-01-01 00:00:00").cast("timestamp").alias("valid_from"),
         F.array(F.lit(0.0), F.lit(1.0)).alias("weights"),
     )
-    scored, _ = run_keyed(spark, staged(event_rows(spark, folder)), shards=1, initial=initial)
+    scored, _ = run_keyed(event_rows(spark, folder), shards=1, initial=initial)
     return event_result(keyed.unscored(scored))
 
 
 def micro_batch_workspace(spark, folder) -> str:
-    source = staged(event_rows(spark, folder))
-    workspace, checkpoint = scratch_path(spark, "workspace"), scratch_path(spark, "checkpoint")
+    source, workspace, checkpoint = (scratch_path(spark, n) for n in ("stage", "workspace", "checkpoint"))
 
     def split(batch):
         records = batch.where(~F.col("is_model")).select("data_type", "ts", "id", "features", "duration")
@@ -129,6 +128,7 @@ def micro_batch_workspace(spark, folder) -> str:
         value = F.col("weights")[0] + F.col("weights")[1] * F.col("features")[0]
         return resolved.withColumn("result", value).drop("weights", "features")
 
+    play(event_rows(spark, folder), source)
     stream = read_staged(spark, source, keyed.INPUT_SCHEMA)
     writer = micro_batch.registry_scoring(stream, workspace, split, score)
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
@@ -163,7 +163,7 @@ def _stats(df: DataFrame) -> DataFrame:
 @query("stream_two_slot_stats", f"WITH {CURRENT} SELECT {_STATS} FROM newest")
 def stream_two_slot_stats(spark, folder):
     """A model waits until the next record, so the statistics are those of the newest model in use."""
-    _, checkpoint = run_keyed(spark, staged(event_rows(spark, folder)), shards=1, swap="next_record")
+    _, checkpoint = run_keyed(event_rows(spark, folder), shards=1, swap="next_record")
     return _stats(introspect.serving_info(spark, checkpoint))
 
 
@@ -175,7 +175,7 @@ def stream_two_slot_stats(spark, folder):
 )
 def state_read(spark, folder):
     """Current statistics read from the state store of a stream that replaces models at once."""
-    _, checkpoint = run_keyed(spark, staged(event_rows(spark, folder)), shards=1)
+    _, checkpoint = run_keyed(event_rows(spark, folder), shards=1)
     return _stats(introspect.serving_info(spark, checkpoint))
 
 
@@ -185,13 +185,13 @@ def state_read(spark, folder):
     "FROM orders GROUP BY 1",
 )
 def state_keys(spark, folder):
-    _, checkpoint = run_keyed(spark, staged(line_rows(spark, folder)), shards=8)
+    _, checkpoint = run_keyed(line_rows(spark, folder), shards=8)
     return introspect.state_keys(spark, checkpoint).select("data_type", F.col("shards").cast("int").alias("shards"))
 
 
 @query("state_metadata")
 def state_metadata(spark, folder):
-    _, checkpoint = run_keyed(spark, staged(line_rows(spark, folder)), shards=8)
+    _, checkpoint = run_keyed(line_rows(spark, folder), shards=8)
     return introspect.stores(spark, checkpoint)
 
 
@@ -209,9 +209,10 @@ def stream_dead_letters(spark, folder):
         F.col("l_returnflag") == "N", F.substring("value", F.lit(1), F.length("value") - 1)
     ).otherwise(F.col("value"))
     rows = raw.select("ts", cut.alias("value"))
-    stream = read_staged(spark, staged(rows), rows.schema)
-    good, bad, checkpoint = (scratch_path(spark, n) for n in ("good", "bad", "checkpoint"))
-    writer = sinks.good_and_bad(clean.parse_records(stream), good, bad)
+    source, good, bad, checkpoint = (scratch_path(spark, n) for n in ("stage", "good", "bad", "checkpoint"))
+
+    play(rows, source)
+    writer = sinks.good_and_bad(clean.parse_records(read_staged(spark, source, rows.schema)), good, bad)
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     counts = [
         spark.read.parquet(path).select(F.lit(flag).alias("bad")) for path, flag in ((good, False), (bad, True))

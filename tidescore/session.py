@@ -47,6 +47,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows over all cores when the scan has fewer tasks than the cluster has cores.
+
+    A table of one row group is read by one task, and everything after it in that stage would
+    run there too. Large tables have more splits than cores and pass through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, F.xxhash64(*keys))
+
+
 def _scratch_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/tidescore-scratch/{spark.sparkContext.applicationId}"
 

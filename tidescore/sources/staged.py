@@ -1,31 +1,51 @@
-"""File streams: a table staged as time-ordered files, and the reader for them."""
+"""File streams: a table split into time slices that arrive one after the other."""
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidescore.functions.text import epoch_micros
+from tidescore.session import scratch_path
+
+ROWS_PER_SLICE = 1_000_000
+
 
+def play(df: DataFrame, target: str, after_each: Callable[[], None] | None = None, ts: str = "ts",
+         at_least: int = 3, rows_per_slice: int = ROWS_PER_SLICE) -> None:
+    """Deliver `df` to the folder `target` in time order, one file per slice.
 
-def stage_in_order(df: DataFrame, path: str, slices: int, ts: str = "ts") -> None:
-    """Append time slices one after the other, so that file times follow event times."""
-    fractions = [i / slices for i in range(1, slices)]
-    us = epoch_micros(F.col(ts))
-    cuts = df.select(F.percentile_approx(us, fractions, 10000).alias("c")).first().c if fractions else []
-    edges = [None, *sorted(set(cuts)), None]
-    for low, high in zip(edges, edges[1:]):
-        part = df
-        if low is not None:
-            part = part.where(us >= low)
-        if high is not None:
-            part = part.where(us < high)
-        # One file per slice: the reader admits whole files, and a slice must not be split in time.
-        part.repartition(1).write.mode("append").parquet(path)
+    The table is range-partitioned by time and written once. Each slice then moves into the
+    target folder as a whole, so a reader never sees half of one, and gets a file time one second
+    after the slice before, so a reader that takes one file per trigger takes them in order.
+    Slices hold about `rows_per_slice` rows, which bounds its micro-batches. `after_each` runs
+    after every delivery.
+    """
+    spark = df.sparkSession
+    slices = max(at_least, -(-df.count() // rows_per_slice))
+    waiting = scratch_path(spark, "slices")
+    split = df.repartitionByRange(slices, ts).withColumn("slice", F.spark_partition_id())
+    split.write.partitionBy("slice").parquet(waiting)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = Path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(Path(target))
+    first = int(time.time() - slices) * 1000
+    for number in range(slices):
+        name = f"slice={number}"
+        if not fs.exists(Path(f"{waiting}/{name}")):
+            continue
+        if not fs.rename(Path(f"{waiting}/{name}"), Path(f"{target}/{name}")):
+            raise OSError(f"could not deliver {name} to {target}")
+        for file in fs.listStatus(Path(f"{target}/{name}")):
+            fs.setTimes(file.getPath(), first + number * 1000, -1)
+        if after_each:
+            after_each()
 
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
-    )
+    """Stream over a folder of slices, by default one slice per micro-batch."""
+    reader = spark.readStream.schema(T.StructType([*schema.fields, T.StructField("slice", T.IntegerType())]))
+    return reader.option("maxFilesPerTrigger", files_per_trigger).parquet(path).drop("slice")

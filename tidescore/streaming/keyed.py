@@ -6,7 +6,7 @@ version numbers, the weights of sum models, and counters; documents stay in the
 
 Rows of one key in one micro-batch are ordered by (ts, models first, id) before they are
 applied. That buffer is bounded by the source's per-trigger limit divided over the shards;
-`read_staged` and the topic source both set one. For streams without state per key use
+`play` and the topic source both set one. For streams without state per key use
 `micro_batch`, which buffers nothing.
 """
 
@@ -116,6 +116,48 @@ def _add_stats(stats: tuple, ts: np.ndarray, duration: np.ndarray) -> tuple:
     )
 
 
+def _micros(ts: pd.Series) -> np.ndarray:
+    return ts.to_numpy("datetime64[us]").astype(np.int64)
+
+
+def _ordered(parts: list[tuple]) -> tuple:
+    """Concatenate (ts, id, ...) column groups and sort them by (ts, id)."""
+    if not parts:
+        return ()
+    columns = [np.concatenate(group) for group in zip(*parts)]
+    order = np.lexsort((columns[1], columns[0]))
+    return tuple(c[order] for c in columns)
+
+
+class Slots:
+    """Models of one key in order of effect: the current one, the one waiting, those that arrived."""
+
+    def __init__(self, current, pending) -> None:
+        self.had_current, self.had_pending = current.exists(), pending.exists()
+        known = [s.get() for s, have in ((current, self.had_current), (pending, self.had_pending)) if have]
+        self.first_new = len(known)
+        self.versions = np.array([k[0] for k in known], dtype=np.int64)
+        self.starts = np.array([k[1] for k in known], dtype=np.int64)
+        self.weights = np.array([list(k[2]) for k in known], dtype=float)
+        self.new_times = np.empty(0, dtype=np.int64)
+        self.new_versions = np.empty(0, dtype=np.int64)
+
+    def add(self, times=None, versions=None, weights=None) -> None:
+        if times is None:
+            return
+        self.new_times, self.new_versions = times, versions
+        self.versions = np.concatenate([self.versions, versions])
+        self.starts = np.concatenate([self.starts, times])
+        self.weights = np.concatenate([self.weights, weights]) if self.first_new else weights
+
+    def in_force(self, ts: np.ndarray) -> np.ndarray:
+        """Position of the slot in force at each time; -1 where no model is known yet."""
+        return self.first_new - 1 + np.searchsorted(self.new_times, ts, side="right")
+
+    def row(self, at: int) -> tuple:
+        return int(self.versions[at]), int(self.starts[at]), [float(w) for w in self.weights[at]]
+
+
 class VersionedScorer(StatefulProcessor):
     """Scores each record with the model current for its key.
 
@@ -146,57 +188,40 @@ class VersionedScorer(StatefulProcessor):
         for chunk in rows:
             flags = chunk["is_model"].to_numpy(dtype=bool)
             if flags.any():
-                models.append(chunk.loc[flags, ["ts", "id", "weights"]])
+                part = chunk.loc[flags]
+                models.append((_micros(part["ts"]), part["id"].to_numpy(np.int64), np.stack(part["weights"].to_numpy())))
             if not flags.all():
                 part = chunk.loc[~flags]
                 records.append(
-                    (part["ts"].to_numpy("datetime64[us]"), part["id"].to_numpy(np.int64),
-                     np.stack(part["features"].to_numpy()), part["duration"].to_numpy(np.int64))
+                    (_micros(part["ts"]), part["id"].to_numpy(np.int64), np.stack(part["features"].to_numpy()),
+                     part["duration"].to_numpy(np.int64))
                 )
-        arrived = pd.concat(models).sort_values(["ts", "id"]) if models else None
-        slots = self._known_slots()
-        first_new = len(slots)
-        if arrived is not None:
-            times = arrived["ts"].to_numpy("datetime64[us]").astype(np.int64)
-            for start, version, weights in zip(times, arrived["id"], arrived["weights"]):
-                slots.append((int(version), int(start), [float(w) for w in weights]))
-        else:
-            times = np.empty(0, dtype=np.int64)
-
+        slots = Slots(self.current, self.pending)
+        slots.add(*_ordered(models))
         if records:
-            ts, ids, x, duration = (np.concatenate(parts) for parts in zip(*records))
-            ts = ts.astype(np.int64)
-            order = np.lexsort((ids, ts))
-            ts, ids, x, duration = ts[order], ids[order], x[order], duration[order]
-            # Position of the slot in force for each record; -1 where no model is known yet.
-            slot = first_new - 1 + np.searchsorted(times, ts, side="right")
+            ts, ids, x, duration = _ordered(records)
+            slot = slots.in_force(ts)
             yield self._scored(key, slots, slot, ts, ids, x, duration)
         else:
             ts, slot, duration = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        if self.emit_models and arrived is not None:
-            yield self._frame(
-                key, True, arrived["id"].to_numpy(), times, [None] * len(arrived), [None] * len(arrived),
-                [None] * len(arrived), [None] * len(arrived),
-            )
-        self._keep(slots, first_new, slot, ts, duration)
-
-    def _known_slots(self) -> list[tuple]:
-        """Current model, then the one waiting; the waiting one is in force for the next record."""
-        return [tuple(s.get()) for s in (self.current, self.pending) if s.exists()]
+        if self.emit_models and models:
+            none = [None] * len(slots.new_times)
+            yield self._frame(key, True, slots.new_versions, slots.new_times, none, none, none, none)
+        self._keep(slots, slot, ts, duration)
 
     def _scored(self, key, slots, slot, ts, ids, x, duration) -> pd.DataFrame:
-        result = np.full(len(ts), np.nan)
-        for s in np.unique(slot[slot >= 0]):
-            weights = np.array(slots[s][2])
-            part = slot == s
-            total = np.full(int(part.sum()), weights[0])
-            for i, w in enumerate(weights[1:]):
-                total = total + w * x[part, i]
-            result[part] = total
         known = slot >= 0
-        versions = [slots[s][0] if s >= 0 else None for s in slot]
-        starts = [slots[s][1] if s >= 0 else None for s in slot]
-        return self._frame(key, False, ids, ts, versions, starts, np.where(known, result, None), duration)
+        at = slot[known]
+        result = np.full(len(ts), np.nan)
+        if len(at):
+            weights = slots.weights[at]
+            total = weights[:, 0].copy()
+            for i in range(x.shape[1]):
+                total += weights[:, i + 1] * x[known, i]
+            result[known] = total
+        versions, starts = pd.array([None] * len(ts), dtype="Int64"), pd.array([None] * len(ts), dtype="Int64")
+        versions[known], starts[known] = slots.versions[at], slots.starts[at]
+        return self._frame(key, False, ids, ts, versions, starts, pd.Series(result).where(known), duration)
 
     def _frame(self, key, is_model, ids, ts, versions, starts, results, duration) -> pd.DataFrame:
         return pd.DataFrame(
@@ -213,30 +238,28 @@ class VersionedScorer(StatefulProcessor):
             }
         )
 
-    def _keep(self, slots, first_new, slot, ts, duration) -> None:
+    def _keep(self, slots, slot, ts, duration) -> None:
         """New state: which slot is current, which one waits, and the current one's statistics."""
-        if not slots:
+        last = len(slots.versions) - 1
+        if last < 0:
             return
         used = int(slot.max()) if len(slot) else -1
-        last = len(slots) - 1
         if self.swap == "immediate":
             current = last
         elif used >= 0:
             current = used
         else:  # no record came: whatever was current stays, also when there was none
-            current = 0 if self.current.exists() else None
-        was = tuple(self.current.get())[0] if self.current.exists() else None
-        if current is not None:
-            version, start, weights = slots[current]
-            stats = tuple(self.stats.get()) if self.stats.exists() else None
-            carried = was is not None and current == 0 and stats is not None
-            base = stats if carried else _empty_stats(version, start)
+            current = 0 if slots.had_current else -1
+        if current >= 0:
+            carried = current == 0 and slots.had_current
+            base = tuple(self.stats.get()) if carried else _empty_stats(*slots.row(current)[:2])
             mine = slot == current
             self.stats.update(_add_stats(base, ts[mine], duration[mine]))
-            self.current.update((version, start, weights))
+            if not carried:
+                self.current.update(slots.row(current))
         if self.swap == "next_record" and last != current:
-            self.pending.update(slots[last])
-        else:
+            self.pending.update(slots.row(last))
+        elif slots.had_pending:
             self.pending.clear()
 
     def close(self) -> None:
