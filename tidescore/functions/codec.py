@@ -15,12 +15,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidescore.functions import vectors
 from tidescore.schemas import DESCRIPTOR_SCHEMA, FEATURES, MODEL_TYPES, RECORD_SCHEMA
 
 LOCATION_UNSUPPORTED = "Location based is not yet supported"
 
-# Flat layouts for the worker side: plain columns convert to Arrow much faster than nested rows.
+# Message fields beside the reason for refusal; all fields are null when there is one.
 _ERROR = T.StructField("error", T.StringType())
 RECORD_RESULT = T.StructType([*RECORD_SCHEMA.fields, _ERROR])
 DESCRIPTOR_RESULT = T.StructType([*DESCRIPTOR_SCHEMA.fields, _ERROR])
@@ -71,14 +70,8 @@ def _parse(cls, payload):
         return None, f"undecodable message: {type(exc).__name__}"
 
 
-def _nested(flat: Column, fields: T.StructType) -> Column:
-    """Flat decode result -> struct(rec, error); rec is null where there is no message."""
-    rec = F.struct(*[flat[f].alias(f) for f in fields.names])
-    return F.struct(F.when(flat["dataType"].isNotNull(), rec).alias("rec"), flat["error"].alias("error"))
-
-
 def decode_record(value: Column) -> Column:
-    """bytes -> struct(rec, error). An empty message is a valid record of zeros."""
+    """bytes -> struct of RECORD_RESULT. An empty message is a valid record of zeros."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         cls, _ = message_classes()
@@ -87,15 +80,16 @@ def decode_record(value: Column) -> Column:
         for batch in batches:
             parsed = [_parse(cls, payload) for payload in batch]
             rows = [gap if msg is None else read(msg) for msg, _ in parsed]
-            frame = pd.DataFrame(rows, columns=RECORD_SCHEMA.names)
-            yield frame.assign(error=pd.Series([error for _, error in parsed], dtype=object))
+            frame = {name: pd.Series(column) for name, column in zip(RECORD_SCHEMA.names, zip(*rows))}
+            yield pd.DataFrame({**frame, "error": pd.Series([error for _, error in parsed], dtype=object)})
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return vectors.bind(F.pandas_udf(run, RECORD_RESULT)(value), lambda flat: _nested(flat, RECORD_SCHEMA))
+    # Marked nondeterministic so that a filter on the outcome does not decode a second time.
+    return F.pandas_udf(run, RECORD_RESULT).asNondeterministic()(value)
 
 
 def decode_descriptor(value: Column) -> Column:
-    """bytes -> struct(rec, error). Location-based and empty-content models carry an error."""
+    """bytes -> struct of DESCRIPTOR_RESULT. Location-based and empty-content models carry an error."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         _, cls = message_classes()
@@ -119,7 +113,7 @@ def decode_descriptor(value: Column) -> Column:
             yield pd.DataFrame(rows, columns=DESCRIPTOR_RESULT.names, dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return vectors.bind(F.pandas_udf(run, DESCRIPTOR_RESULT)(value), lambda flat: _nested(flat, DESCRIPTOR_SCHEMA))
+    return F.pandas_udf(run, DESCRIPTOR_RESULT).asNondeterministic()(value)
 
 
 def encode_record(rec: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -171,6 +172,40 @@ def score_batches(df: DataFrame, params: dict, result: str = "result", columns:
     return df.withColumn(result, value)
 
 
+def score_timed(df: DataFrame, params: dict, result: str = "result", duration: str = "duration_ms",
+                columns: Sequence[str] = FEATURES) -> DataFrame:
+    """Score and measure: each row carries its share of the batch's scoring time, in milliseconds."""
+    scorer = batch_scorer(params)
+    layout = T.StructType([T.StructField(result, T.DoubleType()), T.StructField(duration, T.DoubleType())])
+
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for values in batches:
+            start = time.perf_counter()
+            with np.errstate(all="ignore"):
+                scores = scorer(_matrix(values))
+            share = (time.perf_counter() - start) * 1000.0 / max(len(scores), 1)
+            yield pd.DataFrame({result: scores, duration: share})
+
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.DataFrame]}
+    # Nondeterministic: the measured time must be taken once, not again for every use of it.
+    timed = F.pandas_udf(run, layout).asNondeterministic()
+    return df.select("*", timed(*bind_fields(columns, df.columns)).alias("_t")).select(*df.columns, "_t.*")
+
+
+def score_bundle(df: DataFrame, params: dict, signatures: DataFrame) -> DataFrame:
+    """Score a tensor column named by the bundle's first signature, into a column named by its output.
+
+    `signatures` is what `artifacts.model_signatures` lists for one bundle: a handful of rows.
+    """
+    first = signatures.agg(F.min("signature").alias("s"))
+    sides = (
+        signatures.join(F.broadcast(first), F.col("signature") == F.col("s"))
+        .groupBy("side").agg(F.min("tensor").alias("tensor")).collect()
+    )
+    names = {row.side: row.tensor for row in sides}
+    return df.withColumn(names["output"], score_vector(F.col(names["input"]), params))
+
+
 def score_vector(vector: Column, params: dict) -> Column:
     """Score an array column, for tensors that are not the eleven record fields."""
     return _result_udf(batch_scorer(params))(vector)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidescore.functions.codec import LOCATION_UNSUPPORTED, decode_descriptor, decode_record
-from tidescore.schemas import DESCRIPTOR_SCHEMA, RECORD_SCHEMA, SCORABLE_TYPES
+from tidescore.schemas import SCORABLE_TYPES
 
 UNSUPPORTED_TYPE = "Bad model type"
 
@@ -29,15 +29,14 @@ def parse_records(raw: DataFrame, value: str = "value") -> DataFrame:
     """Bytes -> record fields + error, other columns kept. Streaming safe."""
     keep = [c for c in raw.columns if c != value]
     return raw.select(*keep, value, decode_record(F.col(value)).alias("_d")).select(
-        *keep, value, *[F.col(f"_d.rec.{c}").alias(c) for c in RECORD_SCHEMA.names], F.col("_d.error").alias("error")
+        *keep, value, "_d.*"
     )
 
 
 def parse_descriptors(raw: DataFrame, value: str = "value") -> DataFrame:
     keep = [c for c in raw.columns if c != value]
     return raw.select(*keep, value, decode_descriptor(F.col(value)).alias("_d")).select(
-        *keep, value, *[F.col(f"_d.rec.{c}").alias(c) for c in DESCRIPTOR_SCHEMA.names],
-        F.col("_d.error").alias("error"),
+        *keep, value, "_d.*"
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidescore.functions.features import bind_fields
 from tidescore.functions.maths import inverse_link_by_name
 from tidescore.operators.batch_scoring import INVERSE_LINKS, batch_scorer
-from tidescore.operators.resolve import resolve
+from tidescore.operators.resolve import newest_per_instant, resolve
 from tidescore.schemas import FEATURES
 from tidescore.session import fits_broadcast, measured_bytes
 
@@ -33,8 +33,10 @@ def score_with_versions(records: DataFrame, versions: DataFrame, unscored: str =
     other = versions.where(~p["kind"].isin("linear", "glm") | (F.size(F.coalesce(p["terms"], F.array())) > 0))
     if other.isEmpty():
         return score_sums(records, versions, unscored, columns)
-    resolved = resolve(records, versions.select("data_type", "version", "valid_from"), unscored)
-    return score_resolved(resolved, versions, columns)
+    times = newest_per_instant(versions.select("data_type", "version", "valid_from"))
+    resolved = resolve(records, times, unscored)
+    # Versions replaced at the instant they arrived never apply and need not travel.
+    return score_resolved(resolved, versions.join(times.select("version"), "version", "left_semi"), columns)
 
 
 def score_sums(records: DataFrame, versions: DataFrame, unscored: str = "drop",

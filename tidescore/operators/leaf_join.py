@@ -1,8 +1,10 @@
-"""Trees as tables: each leaf is a box of per-feature bounds, scoring is a join.
+"""Trees as tables, scoring as joins, for rows that already carry a model version.
 
-For rows that already carry a model version this scores any number of tree versions in one
-join. The version is the hash key, the bounds are a residual condition, so only the matching
-leaf of each tree leaves the join.
+`descend` follows each row through the node table, one equi-join per level: a hash lookup per
+row and level whatever the number of versions and leaves. `match_leaves` answers the same
+question from the leaves alone: each leaf is a box of per-feature bounds, the version is the
+hash key and the bounds are a residual condition, so only the matching leaf of each tree leaves
+the join.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import types as T
 from tidescore.functions.features import bind_fields
 from tidescore.functions.vectors import argmax_index
 from tidescore.schemas import FEATURES
-from tidescore.session import checked_broadcast
+from tidescore.session import checked_broadcast, fits_broadcast
 
 LO = [f"lo{i}" for i in range(len(FEATURES))]
 HI = [f"hi{i}" for i in range(len(FEATURES))]
@@ -81,8 +83,47 @@ def leaf_table(versions: DataFrame) -> DataFrame:
     return trees.select("version", F.col("params.nodes").alias("nodes")).mapInArrow(run, LEAF_SCHEMA)
 
 
+def node_table(versions: DataFrame) -> DataFrame:
+    """`version, params` -> nodes; a leaf leads to itself."""
+    trees = versions.where(F.col("params.kind").isin("tree", "forest"))
+    n = trees.select("version", F.explode("params.nodes").alias("n")).select("version", "n.*")
+    leaf = F.col("feature") < 0
+    return n.select(
+        "version", "tree", "node", F.greatest("feature", F.lit(0)).alias("feature"),
+        F.coalesce("threshold", F.lit(0.0)).alias("threshold"), F.when(leaf, F.col("node")).otherwise(F.col("left")).alias("left"),
+        F.when(leaf, F.col("node")).otherwise(F.col("right")).alias("right"), "score", "probs",
+    )
+
+
+def descend(records: DataFrame, nodes: DataFrame, depth: int, columns: Sequence[str] = FEATURES) -> DataFrame:
+    """Rows with `version` and `tree` -> the leaf's `leaf_score` and `probs`, `depth` levels down."""
+    steps = nodes.select(
+        F.col("version").alias("n_version"), F.col("tree").alias("n_tree"), F.col("node").alias("n_node"),
+        "feature", "threshold", "left", "right",
+    )
+    ends = nodes.select(
+        F.col("version").alias("n_version"), F.col("tree").alias("n_tree"), F.col("node").alias("n_node"),
+        F.col("score").alias("leaf_score"), "probs",
+    )
+    small = fits_broadcast(nodes)
+    steps, ends = (F.broadcast(t) if small else t for t in (steps, ends))
+    here = (F.col("version") == F.col("n_version")) & (F.col("tree") == F.col("n_tree")) & (
+        F.col("_node") == F.col("n_node")
+    )
+    frame = records.select("*", F.array(*bind_fields(columns, records.columns)).alias("_x"), F.lit(0).alias("_node"))
+    keep = [c for c in frame.columns if c != "_node"]
+    go_left = F.get("_x", F.col("feature")) <= F.col("threshold")
+    for _ in range(depth):
+        frame = frame.join(steps, here).select(*keep, F.when(go_left, F.col("left")).otherwise(F.col("right")).alias("_node"))
+    return frame.join(ends, here).select(*records.columns, "leaf_score", "probs")
+
+
 def match_leaves(records: DataFrame, leaves: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """Rows with a `version` -> one row per tree of that version with the leaf it falls in."""
+    """Rows with a `version` -> one row per tree of that version with the leaf it falls in.
+
+    Every leaf of the version is tested against the row, so `descend` is the faster form from
+    a few leaves on; this one serves as its check.
+    """
     x = bind_fields(columns, records.columns)
     inside = reduce(
         lambda a, b: a & b, [(v >= F.col(lo)) & (v <= F.col(hi)) for v, lo, hi in zip(x, LO, HI)]

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tidescore.functions import vectors
 from tidescore.functions.features import bind_fields, double_vector
-from tidescore.operators import evaluate, leaf_join, scoring
+from tidescore.operators import batch_scoring, evaluate, leaf_join, scoring
 from tidescore.operators.batch_scoring import network_outputs, score_vector
 from tidescore.plans import inputs, models, sqltext
 from tidescore.plans.catalogue import query
 from tidescore.schemas import FEATURES, PARAMS_TYPE
+from tidescore.sources import artifacts
 
 KEYS = ", ".join(inputs.LINE_KEYS)
 VECTOR = "[" + ", ".join(FEATURES) + "]"
@@ -139,6 +140,22 @@ def tree_leaf_join(spark, folder):
     return keyed(leaf_join.score_tree_by_leaves(df, leaves), 6)
 
 
+@query(
+    "tree_descent_join",
+    f"WITH {sqltext.WINE} SELECT {KEYS}, round(CASE WHEN data_type = 'F' THEN {_tree(TREE_REG)} "
+    f"ELSE {_tree(TREE_CLASS)} END, 6) AS result FROM wine",
+)
+def tree_descent_join(spark, folder):
+    """The same two versions, followed level by level through the node table."""
+    df = inputs.wine(spark, folder).select(
+        "*", F.when(F.col("data_type") == "F", F.lit(1)).otherwise(F.lit(2)).cast("long").alias("version"),
+        F.lit(0).alias("tree"),
+    )
+    rows = spark.createDataFrame([(1, TREE_REG), (2, TREE_CLASS)], "version long, params " + PARAMS_TYPE.simpleString())
+    out = leaf_join.descend(df, leaf_join.node_table(rows), depth=4)
+    return out.select(*inputs.LINE_KEYS, F.round("leaf_score", 6).alias("result"))
+
+
 @query("forest_leaf_join", _forest_sql(SMALL_FOREST, f"({LABELS})[{FIRST_BEST}] AS result"))
 def forest_leaf_join(spark, folder):
     # Line keys may repeat; the row number of the scan tells equal lines apart.
@@ -186,6 +203,32 @@ def score_dense(spark, folder):
     return df.select("vec_id", score_vector(F.col("embedding"), DENSE).alias("result"))
 
 
+@query(
+    "score_bundle",
+    f"WITH {sqltext.network_ctes(DENSE, 'embeddings', _EMBEDDED, 'vec_id')} "
+    f"SELECT vec_id, CAST({FIRST_BEST} - 1 AS DOUBLE) AS label FROM layer3",
+)
+def score_bundle(spark, folder):
+    """Input and output names come from a signature listing: here, the table's own columns."""
+    df = inputs.table(spark, folder, "embeddings")
+    parameter = lambda n: F.array(F.struct(
+        F.lit(f"{n}:0").alias("name"), F.lit("DT_FLOAT").alias("dtype"), F.array(F.lit(-1)).alias("shape")
+    ))
+    signature = F.struct(parameter("embedding").alias("inputs"), parameter("label").alias("outputs"))
+    manifest = F.to_json(F.struct(F.create_map(F.lit("serving"), signature).alias("signatures")))
+    listing = artifacts.model_signatures(df.agg(F.count(F.lit(1)).alias("n")).select("n", manifest.alias("m")), "m", ["n"])
+    return batch_scoring.score_bundle(df, DENSE, listing).select("vec_id", "label")
+
+
+@query("score_timed", f"WITH {sqltext.WINE} SELECT quality, count(*) AS n, true AS timed FROM wine GROUP BY quality")
+def score_timed(spark, folder):
+    """Every record carries a scoring time above zero."""
+    out = batch_scoring.score_timed(inputs.wine(spark, folder), PERCEPTRON)
+    return out.groupBy("quality").agg(
+        F.count("result").alias("n"), (F.min("duration_ms") > 0.0).alias("timed")
+    )
+
+
 @query(
     "argmax_index",
     "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS DOUBLE) AS best FROM embeddings",

@@ -120,14 +120,17 @@ def _mixed_sql() -> str:
     )
 
 
-@query("score_mixed_kinds", _mixed_sql())
+MIXED = _mixed_sql()
+
+
+@query("score_mixed_kinds", MIXED)
 def score_mixed_kinds(spark, folder):
     """Every record is scored by the version valid at its time; refused models never take effect."""
     scored = dispatch.score_with_versions(inputs.wine(spark, folder), published(spark, folder))
     return scored.select(*inputs.LINE_KEYS, "version", F.round("result", 5).alias("result"))
 
 
-@query("score_mixed_kinds_shuffled", _mixed_sql())
+@query("score_mixed_kinds_shuffled", MIXED)
 def score_mixed_kinds_shuffled(spark, folder):
     """The form for models too large to send to every executor."""
     versions = published(spark, folder)

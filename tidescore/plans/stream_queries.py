@@ -9,12 +9,13 @@ from tidescore.functions import codec
 from tidescore.operators import clean
 from tidescore.plans import inputs, sqltext
 from tidescore.plans.catalogue import query
+from tidescore.plans.registry_queries import MIXED
 from tidescore.plans.resolve_queries import CURRENT, EVENT_SCORE
-from tidescore.schemas import FEATURES, RECORD_SCHEMA
+from tidescore.schemas import DESCRIPTOR_SCHEMA, FEATURES, RECORD_SCHEMA
 from tidescore.session import scratch_path
 from tidescore.sources import replay
 from tidescore.sources.staged import play, read_staged
-from tidescore.streaming import introspect, keyed, micro_batch, sinks
+from tidescore.streaming import introspect, keyed, micro_batch, serve, sinks
 
 def event_rows(spark: SparkSession, folder: str) -> DataFrame:
     models = inputs.event_models(spark, folder).withColumn("zero", F.lit(0.0))
@@ -220,6 +221,63 @@ def stream_dead_letters(spark, folder):
     return counts[0].unionByName(counts[1]).groupBy("bad").agg(F.count(F.lit(1)).alias("n"))
 
 
+def message_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders and lines as encoded messages of one stream, records cut short where lines are new."""
+    descriptors = inputs.order_descriptors(spark, folder)
+    models = descriptors.select(
+        F.lit("models").alias("topic"), codec.encode_descriptor(F.struct(*DESCRIPTOR_SCHEMA.names)).alias("value"),
+        F.col("valid_from").cast("timestamp").alias("timestamp"), F.col("version").alias("offset"),
+    )
+    lines = inputs.wine(spark, folder).withColumnRenamed("data_type", "dataType")
+    encoded = lines.select(
+        F.lit("mdata").alias("topic"), codec.encode_record(F.struct(*RECORD_SCHEMA.names)).alias("whole"),
+        F.col("ts").cast("timestamp").alias("timestamp"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
+        "l_returnflag",
+    )
+    short = F.substring("whole", F.lit(1), F.length("whole") - 1)
+    records = encoded.withColumn(
+        "value", F.when(F.col("l_returnflag") == "N", short).otherwise(F.col("whole"))
+    ).drop("whole", "l_returnflag")
+    both = models.unionByName(records).withColumn("partition", F.lit(0))
+    return both.select(*serve.MESSAGE_SCHEMA.names)
+
+
+def served(spark: SparkSession, folder: str) -> str:
+    source, workspace, checkpoint = (scratch_path(spark, n) for n in ("stage", "workspace", "checkpoint"))
+    play(message_rows(spark, folder), source, ts="timestamp")
+    writer = serve.serve(read_staged(spark, source, serve.MESSAGE_SCHEMA), workspace)
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return workspace
+
+
+_SERVED = MIXED.replace("FROM wine w ASOF", "FROM (SELECT * FROM wine WHERE l_returnflag <> 'N') w ASOF")
+
+
+@query(
+    "stream_serve",
+    f"SELECT l_orderkey * 8 + l_linenumber AS record, version, result FROM ({_SERVED}) AS s",
+)
+def stream_serve(spark, folder):
+    """Bytes in, scores out: decode, refuse, register, resolve and score, models of three kinds."""
+    scored = serve.read(spark, served(spark, folder), "scored")
+    return scored.select(
+        F.col("offset").alias("record"), F.shiftright("version", serve.PARTITION_BITS).alias("version"),
+        F.round("result", 5).alias("result"),
+    )
+
+
+@query(
+    "stream_serve_dead_letters",
+    "SELECT 'models' AS source, CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Bad model: broken document' "
+    "WHEN o_totalprice > 250000 THEN 'Location based is not yet supported' ELSE 'Bad model type' END AS error, "
+    "count(*) AS n FROM orders WHERE o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW') GROUP BY 1, 2 UNION ALL "
+    "SELECT 'mdata', 'undecodable message: DecodeError', count(*) FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1, 2",
+)
+def stream_serve_dead_letters(spark, folder):
+    dead = serve.read(spark, served(spark, folder), "dead")
+    return dead.groupBy("source", "error").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "stream_replay",
     "SELECT event_id, row_number() OVER (ORDER BY ts DESC, event_id DESC) - 1 AS position FROM events",

@@ -10,7 +10,7 @@ import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -237,27 +237,26 @@ def parse_pmml(content: bytes) -> dict:
     raise ModelError("no supported model in document")
 
 
-def parsed_documents(df: DataFrame, content: str = "content") -> DataFrame:
-    """Add `params` and `error` for PMML bytes in column `content`; failures become errors, not exceptions."""
-    names = [c for c in df.columns if c != content]
+def parse_documents(content: Column) -> Column:
+    """PMML bytes -> struct(params, error); null in, nulls out. Failures become errors, not exceptions."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             params, errors = [], []
             for payload in batch:
-                try:
-                    params.append(parse_pmml(bytes(payload) if payload is not None else b""))
-                    errors.append(None)
-                except ModelError as exc:
-                    params.append(None)
-                    errors.append(f"Bad model: {exc}")
+                value = error = None
+                if payload is not None:
+                    try:
+                        value = parse_pmml(bytes(payload))
+                    except ModelError as exc:
+                        error = f"Bad model: {exc}"
+                params.append(value)
+                errors.append(error)
             yield pd.DataFrame({"params": pd.Series(params, dtype=object), "error": pd.Series(errors, dtype=object)})
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    parse = F.pandas_udf(run, PARSED)
-    return df.select(*names, content, parse(F.col(content)).alias("_p")).select(
-        *names, content, F.col("_p.params").alias("params"), F.col("_p.error").alias("error")
-    )
+    # Marked nondeterministic so that a filter on the outcome does not parse a second time.
+    return F.pandas_udf(run, PARSED).asNondeterministic()(content)
 
 
 # --- writing -------------------------------------------------------------------------------

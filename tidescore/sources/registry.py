@@ -7,31 +7,27 @@ from pyspark.sql import functions as F
 
 from tidescore.operators.clean import descriptor_error, split_valid
 from tidescore.schemas import MODEL_VERSION_SCHEMA, PARAMS_TYPE
-from tidescore.sources.pmml import parsed_documents
+from tidescore.sources.pmml import parse_documents
 from tidescore.sources.tensor import dense_params
 
 
 def checked_versions(descriptors: DataFrame) -> DataFrame:
     """Add `params` and `error` to descriptor rows (version, valid_from, and the descriptor fields).
 
-    Each row gets either params or an error. Rows already rejected by type or location skip the
-    document parser.
+    Each row gets either params or an error, in one pass; a row already refused for its type or
+    location does not reach the document parser.
     """
     early = descriptors.withColumn("error", F.coalesce(F.col("error"), descriptor_error())
                                    if "error" in descriptors.columns else descriptor_error())
-    is_pmml = F.col("error").isNull() & (F.col("modeltype") == "PMML")
-    docs = parsed_documents(
-        early.where(is_pmml).drop("error").withColumnRenamed("data", "content")
-    ).withColumnRenamed("content", "data")
-    rest = early.where(~is_pmml).withColumn(
-        "params", F.when(F.col("error").isNull(), dense_params(F.col("data"))).cast(PARAMS_TYPE)
+    sound, kind = F.col("error").isNull(), F.col("modeltype")
+    parsed = early.withColumn("_p", parse_documents(F.when(sound & (kind == "PMML"), F.col("data"))))
+    dense = F.when(sound & (kind == "TENSORFLOW"), dense_params(F.col("data"))).cast(PARAMS_TYPE)
+    read = parsed.withColumn("params", F.coalesce(F.col("_p.params"), dense)).withColumn(
+        "error", F.coalesce("error", "_p.error")
     )
-    rest = rest.withColumn(
-        "error",
-        F.when(F.col("error").isNull() & F.col("params").isNull(), F.lit("Bad model: no layers"))
-        .otherwise(F.col("error")),
-    )
-    return docs.unionByName(rest)
+    return read.withColumn(
+        "error", F.when(F.col("params").isNull(), F.coalesce("error", F.lit("Bad model: no layers")))
+    ).drop("_p")
 
 
 def model_versions(descriptors: DataFrame) -> tuple[DataFrame, DataFrame]:
