@@ -81,7 +81,7 @@ def resolve(records: DataFrame, models: DataFrame, unscored: str = "drop") -> Da
     if not _lookup_is_small(newest, grid):
         return resolve_sorted(records, models, unscored)
     payload = [c for c in models.columns if c != "data_type"]
-    intervals = model_intervals(models).join(grid, "data_type")
+    intervals = model_intervals(models).join(F.broadcast(grid), "data_type")
     last = F.when(F.col("valid_to").isNull(), F.col("buckets") - 1).otherwise(
         _bucket(epoch_micros(F.col("valid_to")) - 1)
     )
