@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tidescore.schemas import DESCRIPTOR_SCHEMA, FEATURES, MODEL_TYPES, RECORD_SCHEMA
 
+# Fixed value: the reason given for a model without inline content.
 LOCATION_UNSUPPORTED = "Location based is not yet supported"
 
 # Message fields beside the reason for refusal; all fields are null when there is one.

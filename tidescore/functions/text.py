@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Characters that model names lose at their end.
 PMML_SUFFIX_LENGTH = 5
 TENSOR_SUFFIX_LENGTH = 3
 

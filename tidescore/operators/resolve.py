@@ -155,9 +155,9 @@ def resolve_single(records: DataFrame, models: DataFrame) -> DataFrame:
     """One model for all records, without a key: the newest version overall."""
     payload = [c for c in models.columns if c != "data_type"]
     newest = models.agg(F.max_by(F.struct(*payload), F.struct("valid_from", "version")).alias("m"))
-    # One row by construction. The constant key keeps this an equi-join.
-    one = newest.select(F.lit(1).alias("_k"), *[F.col(f"m.{c}").alias(c) for c in payload])
-    return records.withColumn("_k", F.lit(1)).join(F.broadcast(one), "_k").select(*records.columns, *payload)
+    # One row by construction, so a scalar subquery: no join at all.
+    tagged = records.withColumn("_m", newest.scalar()).where(F.col("_m").isNotNull())
+    return tagged.select(*records.columns, *[F.col(f"_m.{c}").alias(c) for c in payload])
 
 
 def current_models(models: DataFrame) -> DataFrame:

@@ -15,7 +15,6 @@ from tidescore.sources import registry
 from tidescore.sources.pmml import parse_pmml
 from tidescore.training import export, fit
 
-# Bins of the line-item tree features; a coarser grid than the default keeps fits short.
 FITS = {
     "tree_classifier": fit.fit_tree_classifier,
     "tree_regressor": fit.fit_tree_regressor,

@@ -22,6 +22,9 @@ def build_session(master: str | None = None, app: str = "tidescore", **conf) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # The JVM never compiles methods above 8000 bytes of code. Wide rows through joins exceed
+        # that as one method; beyond the limit Spark runs the operators one by one, compiled.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }

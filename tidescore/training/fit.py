@@ -1,4 +1,4 @@
-"""The six training programs. Settings are parameters; the defaults are the fixed values of the reports."""
+"""The six training programs. Settings are parameters; the defaults are fixed values."""
 
 from __future__ import annotations
 
@@ -66,6 +66,9 @@ def _fit_regressor(kind: str, df: DataFrame, estimator, columns: Sequence[str],
     return Fitted(kind, Pipeline(stages=[assembler(columns), estimator]).fit(data), 1, None, list(columns))
 
 
+# Fixed values below: trees 10; hidden layers 10 and 20, block size 128, seed 1234, 100 iterations;
+# linear 50 iterations, regularisation 0.1, elastic net 0.5; glm gamma with identity link, 100
+# iterations, regularisation 0.3.
 def fit_tree_classifier(df: DataFrame, columns: Sequence[str] = tuple(FEATURES), **settings) -> Fitted:
     return _fit_classifier("tree", df, DecisionTreeClassifier(**settings), columns)
 
