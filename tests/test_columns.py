@@ -135,7 +135,7 @@ def test_join_forms_equal_case_form(spark, records):
     df = records.withColumn("version", F.lit(1).cast("long"))
     expected = results(scoring.score(records, params))
     assert results(leaf_join.score_tree_by_leaves(df, leaf_join.leaf_table(row))) == expected
-    down = leaf_join.descend(df.withColumn("tree", F.lit(0)), leaf_join.node_table(row), 4)
+    down = leaf_join.descend(df.withColumn("tree", F.lit(0)), row)
     assert results(down.withColumnRenamed("leaf_score", "result")) == expected
 
 

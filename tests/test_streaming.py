@@ -192,6 +192,22 @@ def test_registry_round_trip_prunes_by_type(spark):
     assert "PartitionFilters: [isnotnull(data_type" in back._jdf.queryExecution().toString()
 
 
+def test_stream_of_versions_reaches_the_registry(spark):
+    from tidescore.plans import models
+    from tidescore.schemas import MODEL_VERSION_SCHEMA
+    from tidescore.streaming import micro_batch
+
+    rows = [(t, i, "n", "d", "PMML", datetime(2024, 1, 1), bytearray(b"x"), models.linear())
+            for i, t in enumerate(["a", "b", "a"])]
+    source, target, checkpoint = (scratch_path(spark, n) for n in ("s", "r", "c"))
+    spark.createDataFrame(rows, MODEL_VERSION_SCHEMA).write.parquet(source)
+    stream = spark.readStream.schema(MODEL_VERSION_SCHEMA).parquet(source)
+    writer = micro_batch.publish_versions(stream, target).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    back = registry.read_versions(spark, target)
+    assert sorted((r.data_type, r.version) for r in back.collect()) == [("a", 0), ("a", 2), ("b", 1)]
+
+
 def test_replay_goes_round(spark):
     table = replay.replay_table(spark.range(3).withColumnRenamed("id", "n"), ["n"])
     ticks = spark.range(7).select(F.current_timestamp().alias("timestamp"), F.col("id").alias("value"))

@@ -95,8 +95,34 @@ def node_table(versions: DataFrame) -> DataFrame:
     )
 
 
-def descend(records: DataFrame, nodes: DataFrame, depth: int, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """Rows with `version` and `tree` -> the leaf's `leaf_score` and `probs`, `depth` levels down."""
+def deepest(nodes: Sequence) -> int:
+    """Levels below the root of the deepest tree of one model."""
+    rows = {(r["tree"], r["node"]): r for r in nodes}
+    open_nodes, most = [((r["tree"], 0), 0) for r in nodes if r["node"] == 0], 0
+    while open_nodes:
+        (tree, number), level = open_nodes.pop()
+        row, most = rows[tree, number], max(most, level)
+        if row["feature"] >= 0:
+            open_nodes += [((tree, row["left"]), level + 1), ((tree, row["right"]), level + 1)]
+    return most
+
+
+def levels(versions: DataFrame) -> int:
+    """Levels below the root of the deepest tree among the versions; one number comes back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [deepest(nodes) for nodes in batch.column("nodes").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, type=pa.int32())], names=["level"])
+
+    trees = versions.where(F.col("params.kind").isin("tree", "forest"))
+    per_model = trees.select(F.col("params.nodes").alias("nodes")).mapInArrow(run, "level int")
+    return per_model.agg(F.max("level").alias("n")).first().n or 0
+
+
+def descend(records: DataFrame, versions: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
+    """Rows with `version` and `tree` -> the `leaf_score` and `probs` of the leaf they reach."""
+    nodes = node_table(versions)
     steps = nodes.select(
         F.col("version").alias("n_version"), F.col("tree").alias("n_tree"), F.col("node").alias("n_node"),
         "feature", "threshold", "left", "right",
@@ -113,7 +139,7 @@ def descend(records: DataFrame, nodes: DataFrame, depth: int, columns: Sequence[
     frame = records.select("*", F.array(*bind_fields(columns, records.columns)).alias("_x"), F.lit(0).alias("_node"))
     keep = [c for c in frame.columns if c != "_node"]
     go_left = F.get("_x", F.col("feature")) <= F.col("threshold")
-    for _ in range(depth):
+    for _ in range(levels(versions)):
         frame = frame.join(steps, here).select(*keep, F.when(go_left, F.col("left")).otherwise(F.col("right")).alias("_node"))
     return frame.join(ends, here).select(*records.columns, "leaf_score", "probs")
 

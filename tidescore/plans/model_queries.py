@@ -152,7 +152,7 @@ def tree_descent_join(spark, folder):
         F.lit(0).alias("tree"),
     )
     rows = spark.createDataFrame([(1, TREE_REG), (2, TREE_CLASS)], "version long, params " + PARAMS_TYPE.simpleString())
-    out = leaf_join.descend(df, leaf_join.node_table(rows), depth=4)
+    out = leaf_join.descend(df, rows)
     return out.select(*inputs.LINE_KEYS, F.round("leaf_score", 6).alias("result"))
 
 

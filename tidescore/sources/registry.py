@@ -40,9 +40,9 @@ def model_versions(descriptors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return versions, bad
 
 
-def append_versions(versions: DataFrame, path: str) -> None:
+def append_versions(versions: DataFrame, path: str, mode: str = "append") -> None:
     """Publish model versions; the table is partitioned by data type so that readers prune."""
-    versions.select(*MODEL_VERSION_SCHEMA.names).write.mode("append").partitionBy("data_type").parquet(path)
+    versions.select(*MODEL_VERSION_SCHEMA.names).write.mode(mode).partitionBy("data_type").parquet(path)
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:

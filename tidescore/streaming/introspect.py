@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidescore.operators.stats import KEYS, merge_stats
+from tidescore.operators.stats import merge_stats
 
 
 def state_values(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
@@ -51,5 +51,3 @@ def state_keys(spark: SparkSession, checkpoint: str) -> DataFrame:
     raw = state_values(spark, checkpoint, "current")
     return raw.groupBy(F.col("key.data_type").alias("data_type")).agg(F.count(F.lit(1)).alias("shards"))
 
-
-__all__ = ["KEYS", "serving_info", "state_keys", "state_values", "stores"]
