@@ -34,6 +34,13 @@ def build_session(master: str | None = None, app: str = "tidescore", **conf) ->
     return builder.getOrCreate()
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Stateful processors run on the RocksDB state store only; switch a session that has another."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, "") != ROCKSDB:
+        spark.conf.set(key, ROCKSDB)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a test folder where it is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

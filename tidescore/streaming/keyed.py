@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidescore.functions.features import bind_fields
 from tidescore.schemas import LONG_MAX, LONG_MIN
+from tidescore.session import use_rocksdb
 
 DEFAULT_SHARDS = 16
 
@@ -272,6 +273,7 @@ def keyed_scoring(stream: DataFrame, shards: int = DEFAULT_SHARDS, swap: str = "
 
     `initial` is (data_type, version, valid_from, weights): models in force before the stream.
     """
+    use_rocksdb(stream.sparkSession)
     grouped = None
     if initial is not None:
         every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
