@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidescore.llm import url_rules, warc_archive
+from tidescore.llm import bpe_automaton, packing, url_rules, warc_archive
+from tidescore.llm.bpe_text import default_path
 from tidescore.session import scratch_path
 
 #: Fixed values of the URL query: (verdict, host, path).
@@ -38,9 +39,24 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe_automaton.encode(table(spark, sf_dir, "documents"), default_path())
+    return bpe_automaton.decode(encoded, default_path()).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.col("text"), 256).alias("decoded_sha256"),
+    )
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), default_path(), size=1024, end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_bpe": op6_bpe,
     "op7_url_filters": op7_url_filters,
     "op8_warc": op8_warc,
+    "op9_packing": op9_packing,
 }
 
 CHECKS: dict[str, str] = {
