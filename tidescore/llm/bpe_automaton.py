@@ -82,6 +82,7 @@ class Automaton:
                     self.ends.append(-1)
                 node = self.step[key]
             self.ends[node] = token
+        self.reach = max(self.length.values())
         self.shorter = {}
         for token in live:
             node, last = 0, -1
@@ -92,7 +93,7 @@ class Automaton:
 
     def longest(self, word: bytes, at: int) -> int:
         step, ends, node, found = self.step, self.ends, 0, -1
-        for byte in word[at : at + 256]:
+        for byte in word[at : at + self.reach]:
             node = step.get(node << 8 | byte, -1)
             if node < 0:
                 return found
@@ -141,7 +142,8 @@ def compiled(text: str) -> tuple[Automaton, TextEncoder]:
     """Tables of one vocabulary, once per worker process."""
     vocabulary = parse_vocabulary(text)
     automaton = Automaton(vocabulary)
-    word = lambda w: np.array(automaton.encode_word(w.encode()), "<u4").tobytes()
+    packed = [np.array([i], "<u4").tobytes() for i in range(max(vocabulary.labels) + 1)]
+    word = lambda w: b"".join([packed[i] for i in automaton.encode_word(w.encode())])
     return automaton, TextEncoder(word, vocabulary.special)
 
 

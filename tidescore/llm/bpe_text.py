@@ -15,6 +15,9 @@ WORDS = regex.compile(WORD_PATTERN)
 SAFE_GAP = regex.compile(r"(?<=\S) (?=\S)")
 EDGE_SPACE = regex.compile(r"\A\s|\s\Z|\A\Z")
 LONGEST_KEPT = 48
+CLOSING = tuple(".,!?;:")
+KEPT = 250_000
+LATIN_END = "\u0250"  # below it, what Python calls a letter is one in every Unicode version
 
 
 def default_path() -> str:
@@ -70,7 +73,7 @@ class TextEncoder:
     chunks that are encoded independently; chunks and words seen before come from bounded caches.
     """
 
-    def __init__(self, encode_word: Callable[[str], bytes], special: dict[str, int], kept: int = 400_000):
+    def __init__(self, encode_word: Callable[[str], bytes], special: dict[str, int], kept: int = KEPT):
         self.encode_word, self.kept = encode_word, kept
         self.special = {s: np.array([i], "<u4").tobytes() for s, i in special.items()}
         self.cut = regex.compile("|".join(f"({regex.escape(s)})" for s in special)) if special else None
@@ -91,10 +94,19 @@ class TextEncoder:
         return b"".join([self.word(w) for w in WORDS.findall(text)])
 
     def after_space(self, chunk: str) -> bytes:
-        """Ids of a chunk that a single space precedes."""
+        """Ids of a chunk that a single space precedes; only plain words are kept as chunks."""
+        if chunk and max(chunk) < LATIN_END:
+            if chunk.isalpha():
+                return self.plain_word(chunk)
+            if chunk[-1:] in CLOSING and chunk[:-1].isalpha():
+                stem = chunk[:-1]
+                return (self.chunks.get(stem) or self.plain_word(stem)) + self.word(chunk[-1])
         if EDGE_SPACE.search(chunk):
             raise _Unsafe
-        found = self.run(" " + chunk)
+        return self.run(" " + chunk)
+
+    def plain_word(self, chunk: str) -> bytes:
+        found = self.encode_word(" " + chunk)
         if len(chunk) <= LONGEST_KEPT:
             if len(self.chunks) >= self.kept:
                 self.chunks.clear()

@@ -31,7 +31,7 @@ from tidescore.llm.bpe_text import TextEncoder, parse_vocabulary, printable_byte
 from tidescore.session import scratch_table
 
 BIN_BITS = 32  # bin number: partition above, count within the partition below
-WINDOW_PIECES, WINDOW_BYTES = 8192, 32_000_000
+WINDOW_PIECES, WINDOW_BYTES = 4096, 16_000_000
 
 
 class BestFit:
@@ -75,8 +75,10 @@ def library_encoder(text: str) -> TextEncoder:
     model, vocabulary = Tokenizer.from_str(text).model, parse_vocabulary(text)
     alphabet = {b: c for c, b in printable_bytes().items()}
 
+    packed = [np.array([i], "<u4").tobytes() for i in range(max(vocabulary.labels) + 1)]
+
     def word(w: str) -> bytes:
-        return np.array([t.id for t in model.tokenize(w.encode().decode("latin-1").translate(alphabet))], "<u4").tobytes()
+        return b"".join([packed[t.id] for t in model.tokenize(w.encode().decode("latin-1").translate(alphabet))])
 
     return TextEncoder(word, vocabulary.special)
 
@@ -116,6 +118,7 @@ def pack_partitions(docs: DataFrame, path: str, size: int, end_id: int, id_col:
                     pieces, held = [], 0
         if pieces:
             yield packed(pieces, fit, first_bin)
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, PIECES)
 
