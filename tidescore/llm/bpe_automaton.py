@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tidescore.llm.bpe_text import TextEncoder, Vocabulary, parse_vocabulary
 
 ROOT = 0
-KNOWN_ARCS = 1_000_000
+KNOWN_ARCS = 400_000
 ROWS_PER_BATCH = 512
 
 
@@ -54,7 +54,7 @@ class Automaton:
                     self.state[ab], self.left[ab], self.made[ab] = before, a, number
         self.live = live
         self._trie(live)
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
 
     def has_arc(self, state: int, token: int) -> bool:
         """Older arcs come with the copy; an arc made later exists where its first half's arc does."""
@@ -102,36 +102,39 @@ class Automaton:
         return found
 
     def arc(self, state: int, token: int) -> bool:
-        key = (state, token)
-        found = self.known.get(key)
-        if found is None:
-            if len(self.known) >= KNOWN_ARCS:
-                self.known.clear()
-            found = self.known[key] = self.has_arc(state, token)
+        """Look an arc up in the tables and note the answer."""
+        if len(self.known) >= KNOWN_ARCS:
+            self.known.clear()
+        found = self.known[state << 20 | token] = self.has_arc(state, token)
         return found
 
     def encode_word(self, word: bytes) -> list[int]:
+        """Walk from state to state along the longest arcs that exist; step back from dead positions."""
+        shorter, length, state_of, known = self.shorter, self.length, self.state, self.known
         out: list[int] = []
-        if not word:
-            return out
-        at, state, dead = 0, ROOT, set()
-        token = self.longest(word, 0)
-        while True:
-            while token >= 0 and (at + self.length[token] in dead or not self.arc(state, token)):
-                token = self.shorter[token]
+        at, state, dead, end = 0, ROOT, None, len(word)
+        token = self.longest(word, 0) if end else -1
+        while at < end:
+            while token >= 0:
+                if dead is None or at + length[token] not in dead:
+                    there = known.get(state << 20 | token)
+                    if there or there is None and self.arc(state, token):
+                        break
+                token = shorter[token]
             if token >= 0:
                 out.append(token)
-                at += self.length[token]
-                if at == len(word):
-                    return out
-                state, token = self.state[token], self.longest(word, at)
+                at += length[token]
+                state = state_of[token]
+                if at < end:
+                    token = self.longest(word, at)
             else:
                 if not out:
                     raise ValueError("a byte of the word has no token")
-                dead.add(at)
+                dead = (dead or set()) | {at}
                 last = out.pop()
-                at -= self.length[last]
-                state, token = self.state[out[-1]] if out else ROOT, self.shorter[last]
+                at -= length[last]
+                state, token = state_of[out[-1]] if out else ROOT, shorter[last]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.labels[i] for i in ids]).decode("utf-8", "replace")

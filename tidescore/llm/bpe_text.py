@@ -94,19 +94,16 @@ class TextEncoder:
         return b"".join([self.word(w) for w in WORDS.findall(text)])
 
     def after_space(self, chunk: str) -> bytes:
-        """Ids of a chunk that a single space precedes; only plain words are kept as chunks."""
-        if chunk and max(chunk) < LATIN_END:
-            if chunk.isalpha():
-                return self.plain_word(chunk)
-            if chunk[-1:] in CLOSING and chunk[:-1].isalpha():
-                stem = chunk[:-1]
-                return (self.chunks.get(stem) or self.plain_word(stem)) + self.word(chunk[-1])
-        if EDGE_SPACE.search(chunk):
+        """Ids of a chunk that a single space precedes."""
+        if chunk and max(chunk) < LATIN_END and chunk.isalpha():
+            found = self.encode_word(" " + chunk)
+        elif chunk[-1:] in CLOSING and chunk[:-1].isalpha() and max(chunk) < LATIN_END:
+            stem = chunk[:-1]
+            found = (self.chunks.get(stem) or self.encode_word(" " + stem)) + self.word(chunk[-1])
+        elif EDGE_SPACE.search(chunk):
             raise _Unsafe
-        return self.run(" " + chunk)
-
-    def plain_word(self, chunk: str) -> bytes:
-        found = self.encode_word(" " + chunk)
+        else:
+            found = self.run(" " + chunk)
         if len(chunk) <= LONGEST_KEPT:
             if len(self.chunks) >= self.kept:
                 self.chunks.clear()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidescore.llm import bpe_automaton, packing, quality, toxicity, url_rules, warc_archive
+from tidescore.llm import bpe_automaton, packing, quality, simhash, toxicity, url_rules, warc_archive
 from tidescore.llm.bpe_text import default_path
 from tidescore.session import scratch_path
 
@@ -47,6 +47,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held_fold=1)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe_automaton.encode(table(spark, sf_dir, "documents"), default_path())
     return bpe_automaton.decode(encoded, default_path()).select(
@@ -62,6 +66,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
+    "op4_simhash": op4_simhash,
     "op6_bpe": op6_bpe,
     "op7_url_filters": op7_url_filters,
     "op8_warc": op8_warc,
