@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidescore.llm import bpe_automaton, packing, quality, simhash, toxicity, url_rules, warc_archive
+from tidescore.llm import bpe_automaton, packing, quality, simhash, substring_dedup, toxicity, url_rules, warc_archive
 from tidescore.llm.bpe_text import default_path
 from tidescore.session import scratch_path
 
@@ -39,6 +39,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_duplicates(docs, window=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, held_fold=0)
 
@@ -65,6 +71,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
     "op6_bpe": op6_bpe,
