@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidescore.llm import bpe_automaton, packing, quality, simhash, substring_dedup, toxicity, url_rules, warc_archive
+from tidescore.llm import (
+    bpe_automaton,
+    hilbert_search,
+    packing,
+    quality,
+    rotated_codes,
+    simhash,
+    substring_dedup,
+    toxicity,
+    url_rules,
+    warc_archive,
+)
 from tidescore.llm.bpe_text import default_path
 from tidescore.session import scratch_path
 
@@ -39,6 +50,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_duplicates(docs, window=35).select(
@@ -57,6 +72,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op5_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotated_codes.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe_automaton.encode(table(spark, sf_dir, "documents"), default_path())
     return bpe_automaton.decode(encoded, default_path()).select(
@@ -71,9 +90,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hilbert_search": op1_hilbert_search,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
+    "op5_rotated_codes": op5_rotated_codes,
     "op6_bpe": op6_bpe,
     "op7_url_filters": op7_url_filters,
     "op8_warc": op8_warc,
