@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,3 +43,25 @@ def texts_of(batches: Iterator[pa.RecordBatch], text_at: int, rows: int = 512) -
         for at in range(0, batch.num_rows, rows):
             part = batch.slice(at, rows)
             yield part, part.column(text_at).to_pylist()
+
+
+def scored_rows(
+    docs: DataFrame, carried: Sequence[str], text_col: str, make: Callable[[], Callable[[list[str]], np.ndarray]]
+) -> DataFrame:
+    """`row` (struct of the carried columns) and `score` per row; `make` builds the scorer once per task."""
+    source = docs.select(
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = make()
+        for part, texts in texts_of(batches, 0, 256):
+            yield pa.RecordBatch.from_arrays([part.column(1), pa.array(scorer(texts), pa.float64())], ["row", "score"])
+
+    return source.mapInArrow(run, f"row {source.schema['row'].dataType.simpleString()}, score double")
+
+
+def predictions(scored: DataFrame, id_col: str, folds: int, held_fold: int) -> DataFrame:
+    held = F.coalesce(fold_of(F.col(f"row.`{id_col}`"), folds) == held_fold, F.lit(False))
+    return scored.select(
+        F.col(f"row.`{id_col}`").alias(id_col), held.alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))

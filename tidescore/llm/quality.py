@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidescore.llm.labelled import fold_of, labelled_sample, texts_of
+from tidescore.llm.labelled import fold_of, labelled_sample, predictions, scored_rows, texts_of
 
 BITS = 12
 BUCKETS = 1 << BITS
@@ -157,31 +157,39 @@ def votes(model: Model, texts: list[str], neighbours: int, power: float) -> np.n
     return (weight * model.labels[at]).sum(axis=1) / weight.sum(axis=1)
 
 
-def score(
-    docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", neighbours: int = 9,
-    power: float = 8.0,
+def scored(
+    docs: DataFrame, labels: DataFrame, carried: list[str], label_col: str, folds: int, held_fold: int, sample_rows: int,
+    space_rows: int, dimensions: int, neighbours: int, power: float, id_col: str, text_col: str,
 ) -> DataFrame:
-    """Per row: id, score from 0 to 1, predicted (score >= 0.5)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.col(id_col).alias("_id"))
+    sample = labelled_sample(
+        docs, labels, label_col, fold_of(F.col("doc"), folds) != held_fold, sample_rows, id_col, text_col)
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, sample, text_col, space_rows, dimensions))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in texts_of(batches, 0, 256):
-            p = np.full(len(texts), 0.5) if sent.value is None else votes(sent.value, texts, neighbours, power)
-            yield pa.RecordBatch.from_arrays([part.column(1), pa.array(np.clip(p, 0, 1))], ["_id", "score"])
+    def score(texts: list[str]) -> np.ndarray:
+        if sent.value is None:
+            return np.full(len(texts), 0.5)
+        return np.clip(votes(sent.value, texts, neighbours, power), 0, 1)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return source.mapInArrow(run, f"_id {kind}, score double").select(
-        F.col("_id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored_rows(docs, carried, text_col, lambda: score)
 
 
 def classify(
     docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 3, held_fold: int = 1,
-    sample_rows: int = 8192, space_rows: int = 3072, dimensions: int = 64, id_col: str = "doc_id", text_col: str = "text",
+    sample_rows: int = 8192, space_rows: int = 3072, dimensions: int = 64, neighbours: int = 9, power: float = 8.0,
+    id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Learn from labelled rows outside the held-out fold (at most `sample_rows`), then score every text."""
-    sample = labelled_sample(
-        docs, labels, label_col, fold_of(F.col("doc"), folds) != held_fold, sample_rows, id_col, text_col)
-    scored = score(docs, fit(docs, sample, text_col, space_rows, dimensions), id_col, text_col)
-    held = F.coalesce(fold_of(F.col(id_col), folds) == held_fold, F.lit(False))
-    return scored.select(id_col, held.alias("held_out"), "score", "predicted")
+    rows = scored(docs, labels, [id_col], label_col, folds, held_fold, sample_rows, space_rows, dimensions, neighbours,
+                  power, id_col, text_col)
+    return predictions(rows, id_col, folds, held_fold)
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 3, held_fold: int = 1,
+    sample_rows: int = 8192, space_rows: int = 3072, dimensions: int = 64, neighbours: int = 9, power: float = 8.0,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The rows of `docs`, all columns, whose score is at least 0.5."""
+    rows = scored(docs, labels, docs.columns, label_col, folds, held_fold, sample_rows, space_rows, dimensions,
+                  neighbours, power, id_col, text_col)
+    return rows.where(F.col("score") >= 0.5).select("row.*")

@@ -269,3 +269,12 @@ def near_duplicates(
         rooted.join(names, F.col("root") == F.col("of")).select(F.col("print").alias("known"), "component_id"), "named")
     return rows.join(named, F.col("print") == F.col("known")).select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_first(
+    docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One document of each component, that with the smallest id, with all columns; repeated rows of it once."""
+    found = near_duplicates(docs, shingle, distance, id_col, text_col)
+    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct()
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([id_col, text_col])

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidescore.llm.labelled import fold_of, labelled_sample, texts_of
+from tidescore.llm.labelled import fold_of, labelled_sample, predictions, scored_rows, texts_of
 
 BITS = 20
 BUCKETS = 1 << BITS
@@ -144,21 +144,28 @@ def fit(
     return Model(np.frombuffer(best["weights"], "<f4"), best["bias"], True)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, score from 0 to 1, predicted (score >= 0.5)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.col(id_col).alias("_id"))
+def scorer(model: Model):
+    """Builds the function from texts to scores between 0 and 1."""
+    def make():
+        grams = Grams()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, own = Grams(), sent.value
-        for part, texts in texts_of(batches, 0):
-            z = np.array([own.weights[grams(t)].sum(dtype=np.float64) for t in texts]) + own.bias
-            p = 1 / (1 + np.exp(-np.clip(z, -500, 500))) if own.known else np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays([part.column(1), pa.array(p)], ["_id", "score"])
+        def score(texts: list[str]) -> np.ndarray:
+            z = np.array([model.weights[grams(t)].sum(dtype=np.float64) for t in texts]) + model.bias
+            return 1 / (1 + np.exp(-np.clip(z, -500, 500))) if model.known else np.zeros(len(texts))
+
+        return score
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return source.mapInArrow(run, f"_id {kind}, score double").select(
-        F.col("_id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return make
+
+
+def scored(
+    docs: DataFrame, labels: DataFrame, carried: list[str], label_col: str, folds: int, held_fold: int, sample_rows: int,
+    id_col: str, text_col: str,
+) -> DataFrame:
+    sample = labelled_sample(
+        docs, labels, label_col, fold_of(F.col("doc"), folds) != held_fold, sample_rows, id_col, text_col)
+    sent = docs.sparkSession.sparkContext.broadcast(fit(sample))
+    return scored_rows(docs, carried, text_col, lambda: scorer(sent.value)())
 
 
 def classify(
@@ -166,8 +173,14 @@ def classify(
     sample_rows: int = 24_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Learn from labelled rows outside the held-out fold (at most `sample_rows`), then score every text."""
-    sample = labelled_sample(
-        docs, labels, label_col, fold_of(F.col("doc"), folds) != held_fold, sample_rows, id_col, text_col)
-    scored = score(docs, fit(sample), id_col, text_col)
-    held = F.coalesce(fold_of(F.col(id_col), folds) == held_fold, F.lit(False))
-    return scored.select(id_col, held.alias("held_out"), "score", "predicted")
+    rows = scored(docs, labels, [id_col], label_col, folds, held_fold, sample_rows, id_col, text_col)
+    return predictions(rows, id_col, folds, held_fold)
+
+
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int = 5, held_fold: int = 0,
+    sample_rows: int = 24_000, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The rows of `docs`, all columns, whose score is below 0.5."""
+    rows = scored(docs, labels, docs.columns, label_col, folds, held_fold, sample_rows, id_col, text_col)
+    return rows.where(F.col("score") < 0.5).select("row.*")
