@@ -5,19 +5,56 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidescore.llm import packing, quality, simhash, substring_dedup, toxicity
+from tidescore.llm.bpe_text import default_path
+from tidescore.llm.queries import table
 from tidescore.session import scratch_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
-#: The classifiers and the tokenizer have no SQL form; the tests compare stages with brute force.
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier does not reject."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    return simhash.keep_first(docs, shingle=3, distance=3)
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of passages that occur elsewhere; no document goes, a text may become empty."""
+    cleaned = substring_dedup.remove_duplicates(docs, window=35)
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 1024 tokens."""
+    return packing.pack(docs, default_path(), size=1024, end_id=2)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_quality),
+    ("toxicity", not_toxic),
+    ("simhash", one_of_each_group),
+    ("substrings", without_repeated_passages),
+    ("packing", packed),
+]
+
+#: The classifiers and the tokenizer have no SQL form; the tests compare each stage with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = scratch_table(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
