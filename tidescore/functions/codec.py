@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from operator import attrgetter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,19 +75,21 @@ def _parse(cls, payload):
 def decode_record(value: Column) -> Column:
     """bytes -> struct of RECORD_RESULT. An empty message is a valid record of zeros."""
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cls, _ = message_classes()
         read = attrgetter(*RECORD_SCHEMA.names)
         gap = (None,) * len(RECORD_SCHEMA.names)
+        kinds = [*[pa.float64()] * len(FEATURES), pa.string(), pa.string()]
         for batch in batches:
-            parsed = [_parse(cls, payload) for payload in batch]
-            rows = [gap if msg is None else read(msg) for msg, _ in parsed]
-            frame = {name: pd.Series(column) for name, column in zip(RECORD_SCHEMA.names, zip(*rows))}
-            yield pd.DataFrame({**frame, "error": pd.Series([error for _, error in parsed], dtype=object)})
+            parsed = [_parse(cls, payload) for payload in batch.to_pylist()]
+            rows = [(*(gap if msg is None else read(msg)), error) for msg, error in parsed]
+            columns = list(zip(*rows)) or [()] * len(kinds)
+            # Arrow keeps a NaN a value; pandas would make it a null, which reads as absent.
+            yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], RECORD_RESULT.names)
 
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     # Marked nondeterministic so that a filter on the outcome does not decode a second time.
-    return F.pandas_udf(run, RECORD_RESULT).asNondeterministic()(value)
+    return F.arrow_udf(run, RECORD_RESULT).asNondeterministic()(value)
 
 
 def decode_descriptor(value: Column) -> Column:
@@ -120,21 +123,21 @@ def decode_descriptor(value: Column) -> Column:
 def encode_record(rec: Column) -> Column:
     """struct of RECORD_SCHEMA -> bytes."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cls, _ = message_classes()
         for batch in batches:
-            columns = [batch[f].fillna(0.0).tolist() for f in FEATURES]
-            types = batch["dataType"].fillna("").tolist()
-            yield pd.Series(
+            columns = [batch.field(f).fill_null(0.0).to_pylist() for f in FEATURES]
+            types = batch.field("dataType").fill_null("").to_pylist()
+            yield pa.array(
                 [
                     cls(**dict(zip(FEATURES, row)), dataType=kind).SerializeToString()
                     for *row, kind in zip(*columns, types)
                 ],
-                dtype=object,
+                pa.binary(),
             )
 
-    run.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, T.BinaryType())(rec)
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, T.BinaryType())(rec)
 
 
 def encode_descriptor(rec: Column) -> Column:

@@ -60,8 +60,3 @@ def bind_fields(model_fields: Sequence[str], available: Sequence[str], strict: b
         else:
             bound.append(F.col(field).cast("double"))
     return bound
-
-
-def result_value(result: Column) -> Column:
-    """Class label text or number -> double."""
-    return result.cast("double")

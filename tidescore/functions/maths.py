@@ -27,7 +27,8 @@ def inverse_link(eta: Column, link: str) -> Column:
     if link == "log":
         return F.exp(eta)
     if link == "inverse":
-        return F.try_divide(F.lit(1.0), eta)
+        # 1/0 is infinite here and in the batch form, whatever the session says about division.
+        return F.when(eta == 0.0, F.lit(float("inf"))).otherwise(F.try_divide(F.lit(1.0), eta))
     if link == "logit":
         return logistic(eta)
     if link == "sqrt":

@@ -27,10 +27,6 @@ def argmax_index(scores: Column) -> Column:
     return bind(clean, lambda a: (F.array_position(a, F.array_max(a)) - 1).cast("double"))
 
 
-def argmax_label(scores: Column, labels: Column) -> Column:
-    return F.element_at(labels, (argmax_index(scores) + 1).cast("int"))
-
-
 def class_probabilities(counts: Column) -> Column:
     """Class counts of a node -> probability per class."""
     return bind(

@@ -66,6 +66,15 @@ def _network(params: dict):
     return run
 
 
+def leaf_probs(row: dict, labels: Sequence[str]) -> list[float]:
+    """Class distribution of a node: its own, else all for the class it scores, else unknown."""
+    if row["probs"]:
+        return list(row["probs"])
+    if row["score"] is None:
+        return [float("nan")] * len(labels)
+    return [float(float(v) == float(row["score"])) for v in labels]
+
+
 def _trees(params: dict):
     """Level-by-level descent of all rows at once, one tree after the other."""
     labels = None if not params["labels"] else np.array([float(v) for v in params["labels"]])
@@ -80,7 +89,7 @@ def _trees(params: dict):
         if labels is None or params["kind"] == "tree":
             value = np.array([[np.nan if r["score"] is None else r["score"]] for r in rows], dtype=float)
         else:
-            value = np.array([r["probs"] or [np.nan] * len(labels) for r in rows], dtype=float)
+            value = np.array([leaf_probs(r, params["labels"]) for r in rows], dtype=float)
         trees.append(
             (
                 np.where(leaf, 0, [r["feature"] for r in rows]),
@@ -111,7 +120,7 @@ def _trees(params: dict):
 INVERSE_LINKS = {
     "identity": lambda e: e,
     "log": np.exp,
-    "inverse": lambda e: 1.0 / e,
+    "inverse": lambda e: np.where(e == 0, np.inf, 1.0 / e),
     "logit": lambda e: 1.0 / (1.0 + np.exp(-e)),
     "sqrt": np.square,
     "cloglog": lambda e: 1.0 - np.exp(-np.exp(e)),
@@ -142,6 +151,36 @@ def batch_scorer(params: dict):
     }[params["kind"]](params)
 
 
+def trial(params: dict) -> str | None:
+    """Why a model cannot score a record, or None if it can."""
+    try:
+        width = None
+        for layer in params["layers"] or []:
+            rows = {len(w) for w in layer["weights"]}
+            if len(rows) != 1 or len(layer["bias"]) != len(layer["weights"]) or width not in (None, *rows):
+                return "Bad model: layer shapes do not fit"
+            width = len(layer["weights"])
+        for row in params["nodes"] or []:
+            if row["feature"] < 0 and (row["score"] is None if params["kind"] == "tree" or not params["labels"]
+                                       else np.isnan(leaf_probs(row, params["labels"])).any()):
+                return "Bad model: a leaf has no value"
+        with np.errstate(all="ignore"):
+            value = batch_scorer(params)(np.zeros((1, len(FEATURES))))
+        return None if np.shape(value) == (1,) else "Bad model: no single score"
+    except Exception as exc:  # whatever a strange document leads to
+        return f"Bad model: cannot be scored ({type(exc).__name__})"
+
+
+def scoring_error(params: Column) -> Column:
+    """The reason for refusing a model, null where it scores (or where there is no model)."""
+
+    @F.udf(T.StringType())
+    def run(row):
+        return None if row is None else trial(row.asDict(True))
+
+    return run.asNondeterministic()(params)
+
+
 def _matrix(columns: Sequence[pd.Series]) -> np.ndarray:
     if len(columns) == 1 and len(columns[0]) and isinstance(columns[0].iloc[0], (np.ndarray, list)):
         return np.stack(columns[0].to_numpy())
@@ -207,8 +246,20 @@ def score_bundle(df: DataFrame, params: dict, signatures: DataFrame) -> DataFram
 
 
 def score_vector(vector: Column, params: dict) -> Column:
-    """Score an array column, for tensors that are not the eleven record fields."""
-    return _result_udf(batch_scorer(params))(vector)
+    """Score an array column, for tensors that are not the eleven record fields; null for a null."""
+    scorer = batch_scorer(params)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out, known = np.full(len(batch), np.nan), np.flatnonzero(batch.notna().to_numpy())
+            if len(known):
+                with np.errstate(all="ignore"):
+                    out[known] = scorer(_matrix([batch.iloc[known]]))
+            yield pd.Series(out)
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    value = F.pandas_udf(run, T.DoubleType())(vector)
+    return F.when(vector.isNotNull(), F.coalesce(value, F.lit(float("nan"))))
 
 
 def network_outputs(vector: Column, params: dict) -> Column:
@@ -217,7 +268,11 @@ def network_outputs(vector: Column, params: dict) -> Column:
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series(list(scorer(_matrix([batch])).astype(float)))
+            out, known = [None] * len(batch), np.flatnonzero(batch.notna().to_numpy())
+            if len(known):
+                for i, row in zip(known, scorer(_matrix([batch.iloc[known]])).astype(float)):
+                    out[i] = row
+            yield pd.Series(out, dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, T.ArrayType(T.DoubleType()))(vector)

@@ -6,14 +6,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidescore.functions.features import bind_fields
 from tidescore.functions.maths import inverse_link_by_name
 from tidescore.operators.batch_scoring import INVERSE_LINKS, batch_scorer
-from tidescore.operators.resolve import newest_per_instant, resolve
+from tidescore.operators.resolve import newest_per_instant, resolve_after
 from tidescore.schemas import FEATURES
 from tidescore.session import fits_broadcast, measured_bytes
 
@@ -21,35 +21,48 @@ ROWS_PER_GROUP = 100_000
 MODEL_BYTES_PER_GROUP = 32 * 1024 * 1024
 
 
+def version_key(columns: Sequence[str]) -> Column:
+    """What names a model: its data type and its version, as far as the table has both."""
+    kind = [F.coalesce(F.col("data_type"), F.lit(""))] if "data_type" in columns else []
+    return F.when(F.col("version").isNotNull(), F.concat_ws("|", F.col("version").cast("string"), *kind))
+
+
+def is_sum(params: Column) -> Column:
+    """Whether a model is a weighted sum with a link: scored as columns whatever else is in the registry."""
+    return params["kind"].isin("linear", "glm") & (F.size(F.coalesce(params["terms"], F.array())) == 0)
+
+
 def score_with_versions(records: DataFrame, versions: DataFrame, unscored: str = "drop",
-                        columns: Sequence[str] = FEATURES) -> DataFrame:
+                        columns: Sequence[str] = FEATURES, snapshot: DataFrame | None = None) -> DataFrame:
     """Resolve each record's version and score it. Adds `version, valid_from, result`.
 
-    All versions plain sums: coefficients ride along with the version and the score is JVM
-    arithmetic. Any other kind among them: records carry the version number only and Arrow
-    batches look the model up.
+    Coefficients of sums ride along with the version and their score is JVM arithmetic. Models of
+    other kinds are looked up by data type and version in Arrow batches. `snapshot` holds the
+    models in force before `versions` arrived, one row per data type.
     """
-    p = F.col("params")
-    other = versions.where(~p["kind"].isin("linear", "glm") | (F.size(F.coalesce(p["terms"], F.array())) > 0))
-    if other.isEmpty():
-        return score_sums(records, versions, unscored, columns)
-    times = newest_per_instant(versions.select("data_type", "version", "valid_from"))
-    resolved = resolve(records, times, unscored)
-    # Versions replaced at the instant they arrived never apply and need not travel.
-    return score_resolved(resolved, versions.join(times.select("version"), "version", "left_semi"), columns)
-
-
-def score_sums(records: DataFrame, versions: DataFrame, unscored: str = "drop",
-               columns: Sequence[str] = FEATURES) -> DataFrame:
-    p = F.col("params")
-    plain = versions.select(
-        "data_type", "version", "valid_from", p["intercept"].alias("_b"), p["coefs"].alias("_w"), p["link"].alias("_l")
-    )
-    resolved = resolve(records, plain, unscored)
+    def light(table: DataFrame) -> DataFrame:
+        p = F.col("params")
+        plain = is_sum(p)
+        return table.select(
+            "data_type", "version", "valid_from", plain.alias("_sum"), F.when(plain, p["intercept"]).alias("_b"),
+            F.when(plain, p["coefs"]).alias("_w"), F.when(plain, p["link"]).alias("_l"))
+
+    resolved = resolve_after(records, None if snapshot is None else light(snapshot), light(versions), unscored)
     eta = F.col("_b")
     for i, x in enumerate(bind_fields(columns, records.columns)):
         eta = eta + F.col("_w")[i] * x
-    return resolved.withColumn("result", inverse_link_by_name(eta, F.col("_l"))).drop("_b", "_w", "_l")
+    scored = resolved.withColumn("_value", inverse_link_by_name(eta, F.col("_l"))).drop("_b", "_w", "_l")
+    every = versions if snapshot is None else versions.unionByName(snapshot.select(*versions.columns))
+    others = every.where(~is_sum(F.col("params")))
+    keep = [*records.columns, *[c for c in ("version", "valid_from") if c not in records.columns]]
+    if others.isEmpty():
+        return scored.select(*keep, F.col("_value").alias("result"))
+    # Versions replaced at the instant they arrived never apply and need not travel.
+    times = newest_per_instant(every.select("data_type", "version", "valid_from").distinct())
+    others = others.join(times.select("data_type", "version"), ["data_type", "version"], "left_semi")
+    key = F.when(~F.col("_sum"), version_key(scored.columns))
+    rest = _score_keyed(scored, key, _keyed_models(others), columns)
+    return rest.select(*keep, F.when(F.col("_sum"), F.col("_value")).otherwise(F.col("result")).alias("result"))
 
 
 class VersionScorer:
@@ -61,26 +74,26 @@ class VersionScorer:
 
     def __init__(self, params_of) -> None:
         self.params_of = params_of
-        self.place: dict[int, int] = {}
+        self.place: dict[str, int] = {}
         self.sums: list[list[float]] = []
         self.links: list[str] = []
-        self.scorers: dict[int, object] = {}
+        self.scorers: dict[str, object] = {}
 
-    def _learn(self, version: int) -> None:
-        params = self.params_of(version)
+    def _learn(self, key: str) -> None:
+        params = self.params_of(key)
         if params["kind"] in ("linear", "glm") and not params["terms"]:
-            self.place[version] = len(self.sums)
+            self.place[key] = len(self.sums)
             self.sums.append([params["intercept"], *params["coefs"]])
             self.links.append(params["link"] or "identity")
         else:
-            self.place[version] = -1
-            self.scorers[version] = batch_scorer(params)
+            self.place[key] = -1
+            self.scorers[key] = batch_scorer(params)
 
-    def __call__(self, versions: np.ndarray, x: np.ndarray) -> np.ndarray:
-        found, inverse = np.unique(versions, return_inverse=True)
+    def __call__(self, keys: pd.Series, x: np.ndarray) -> np.ndarray:
+        inverse, found = pd.factorize(keys)
         for v in found:
             if v not in self.place:
-                self._learn(int(v))
+                self._learn(v)
         places = np.array([self.place[v] for v in found], dtype=np.int64)
         row_place = places[inverse]
         out = np.full(len(x), np.nan)
@@ -102,73 +115,87 @@ class VersionScorer:
         return out
 
 
+def _keyed_models(versions: DataFrame) -> DataFrame:
+    return versions.select(version_key(versions.columns).alias("_key"), "params")
+
+
 def score_resolved(resolved: DataFrame, versions: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """Rows with a `version` -> rows with `result`, any mix of kinds."""
-    models = versions.select("version", "params")
+    """Rows with `data_type` and `version` -> rows with `result`, any mix of kinds."""
+    key = version_key([c for c in resolved.columns if c != "data_type" or c in versions.columns])
+    return _score_keyed(resolved, key, _keyed_models(versions), columns)
+
+
+def _score_keyed(rows: DataFrame, key: Column, models: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Adds `result` where `key` names one of `models` (_key, params); null where it is null."""
     if not fits_broadcast(models):
-        return score_cogrouped(resolved, models, columns)
+        return _score_cogrouped(rows, key, models, columns)
     # The check above bounds what passes through the driver here.
-    rows = models.collect()
-    shared = resolved.sparkSession.sparkContext.broadcast({r.version: r.params.asDict(True) for r in rows})
+    shared = rows.sparkSession.sparkContext.broadcast({r["_key"]: r["params"].asDict(True) for r in models.collect()})
 
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         scorer = VersionScorer(lambda v: shared.value[v])
-        for version, *inputs in batches:
-            out = np.full(len(version), np.nan)
-            known = np.flatnonzero(version.notna().to_numpy())
+        for keys, *inputs in batches:
+            out = np.full(len(keys), np.nan)
+            known = np.flatnonzero(keys.notna().to_numpy())
             x = np.column_stack([c.to_numpy(dtype=float) for c in inputs])
             with np.errstate(all="ignore"):
-                out[known] = scorer(version.to_numpy()[known].astype(np.int64), x[known])
+                out[known] = scorer(keys.iloc[known], x[known])
             yield pd.Series(out)
 
     run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
-    inputs = bind_fields(columns, resolved.columns)
-    value = F.pandas_udf(run, T.DoubleType())(F.col("version"), *inputs)
-    return resolved.withColumn("_r", value).select(
-        *resolved.columns, F.when(F.col("version").isNotNull(), F.col("_r")).alias("result")
+    # A null from pandas is a NaN score; rows without a key are the only ones without a value.
+    value = F.pandas_udf(run, T.DoubleType())(key, *bind_fields(columns, rows.columns))
+    return rows.withColumn("_key", key).withColumn("_r", value).select(
+        *rows.columns, F.when(F.col("_key").isNotNull(), F.coalesce("_r", F.lit(float("nan")))).alias("result")
     )
 
 
 def score_cogrouped(resolved: DataFrame, models: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """The same where the models are too large to send everywhere: each meets its records by shuffle.
+    """The same where the models are too large to send everywhere: each meets its records by shuffle."""
+    key = version_key([c for c in resolved.columns if c != "data_type" or c in models.columns])
+    return _score_cogrouped(resolved, key, _keyed_models(models), columns)
+
 
-    Versions are hashed into buckets whose number follows the rows and the model bytes. A bucket
-    with many records, because one of its versions is hot, is salted into groups of about
-    ROWS_PER_GROUP rows, and only its model rows are repeated.
+def _score_cogrouped(rows: DataFrame, key: Column, models: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Keys are hashed into buckets whose number follows the rows and the model bytes. A bucket with
+    many records, because one of its models is hot, is salted into groups of about ROWS_PER_GROUP
+    rows, and only its model rows are repeated.
     """
-    x = bind_fields(columns, resolved.columns)
+    keep = rows.columns
+    keyed = rows.withColumn("_key", key)
+    x = bind_fields(columns, rows.columns)
     names = [f"_x{i}" for i in range(len(x))]
-    scored = resolved.where(F.col("version").isNotNull())
-    used = models.join(scored.select("version").distinct(), "version", "left_semi")
+    scored = keyed.where(F.col("_key").isNotNull())
+    used = models.join(scored.select("_key").distinct(), "_key", "left_semi")
     count = max(1, scored.count() // ROWS_PER_GROUP, measured_bytes(used) // MODEL_BYTES_PER_GROUP)
-    bucket = F.pmod(F.xxhash64("version"), F.lit(count))
+    bucket = F.pmod(F.xxhash64("_key"), F.lit(count))
     salts = scored.groupBy(bucket.alias("_bucket")).agg(
         F.ceil(F.count(F.lit(1)) / ROWS_PER_GROUP).alias("_salts")
     )
     left = (
         scored.select("*", *[c.alias(n) for c, n in zip(x, names)], bucket.alias("_bucket"))
         .join(salts, "_bucket")
-        .withColumn("_salt", F.pmod(F.xxhash64(*resolved.columns), F.col("_salts")))
+        .withColumn("_salt", F.pmod(F.xxhash64(*keep), F.col("_salts")))
         .drop("_salts")
     )
     right = used.withColumn("_bucket", bucket).join(salts, "_bucket").select(
-        "_bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt"), "version", "params"
+        "_bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt"), "_key", "params"
     )
-    schema = T.StructType([*resolved.schema.fields, T.StructField("result", T.DoubleType())])
-    keep = resolved.columns
+    schema = T.StructType([*rows.schema.fields, T.StructField("result", T.DoubleType())])
 
     def run(rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         if rows.empty:
             return pd.DataFrame(columns=[*keep, "result"])
-        known = dict(zip(model["version"], model["params"]))
+        known = dict(zip(model["_key"], model["params"]))
         scorer = VersionScorer(lambda v: _plain(known[v]))
         with np.errstate(all="ignore"):
-            result = scorer(rows["version"].to_numpy(np.int64), rows[names].to_numpy(dtype=float))
+            result = scorer(rows["_key"], rows[names].to_numpy(dtype=float))
         return rows[keep].assign(result=result)
 
     keys = ["_bucket", "_salt"]
     done = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
-    rest = resolved.where(F.col("version").isNull()).withColumn("result", F.lit(None).cast("double"))
+    done = done.withColumn("result", F.coalesce("result", F.lit(float("nan"))))
+    rest = keyed.where(F.col("_key").isNull()).select(*keep, F.lit(None).cast("double").alias("result"))
     return done.unionByName(rest)
 
 

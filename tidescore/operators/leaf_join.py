@@ -14,7 +14,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,30 +71,42 @@ def leaf_table(versions: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            models = zip(batch.column("version").to_pylist(), batch.column("nodes").to_pylist())
-            rows = [r for v, nodes in models for r in leaf_rows(v, nodes)]
+            models = zip(*(batch.column(c).to_pylist() for c in ("data_type", "version", "nodes")))
+            rows = [(kind, *r) for kind, v, nodes in models for r in leaf_rows(v, nodes)]
             # Built by Arrow itself: a DataFrame would turn the open ends (NaN) into nulls.
-            columns = list(zip(*rows)) or [[] for _ in LEAF_SCHEMA.names]
+            columns = list(zip(*rows)) or [[] for _ in schema.names]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(columns, ARROW_TYPES)], names=LEAF_SCHEMA.names
+                [pa.array(c, type=t) for c, t in zip(columns, [pa.string(), *ARROW_TYPES])], names=schema.names
             )
 
+    schema = T.StructType([T.StructField("data_type", T.StringType()), *LEAF_SCHEMA.fields])
     trees = versions.where(F.col("params.kind").isin("tree", "forest"))
-    return trees.select("version", F.col("params.nodes").alias("nodes")).mapInArrow(run, LEAF_SCHEMA)
+    typed = "data_type" in versions.columns
+    kind = (F.col("data_type") if typed else F.lit(None).cast("string")).alias("data_type")
+    leaves = trees.select(kind, "version", F.col("params.nodes").alias("nodes")).mapInArrow(run, schema)
+    return leaves if typed else leaves.drop("data_type")
 
 
 def node_table(versions: DataFrame) -> DataFrame:
     """`version, params` -> nodes; a leaf leads to itself."""
     trees = versions.where(F.col("params.kind").isin("tree", "forest"))
-    n = trees.select("version", F.explode("params.nodes").alias("n")).select("version", "n.*")
+    names = [c for c in ("data_type", "version") if c in versions.columns]
+    n = trees.select(*names, F.explode("params.nodes").alias("n")).select(*names, "n.*")
     leaf = F.col("feature") < 0
     return n.select(
-        "version", "tree", "node", F.greatest("feature", F.lit(0)).alias("feature"),
+        *names, "tree", "node", F.greatest("feature", F.lit(0)).alias("feature"),
         F.coalesce("threshold", F.lit(0.0)).alias("threshold"), F.when(leaf, F.col("node")).otherwise(F.col("left")).alias("left"),
         F.when(leaf, F.col("node")).otherwise(F.col("right")).alias("right"), "score", "probs",
     )
 
 
+def same_model(records: DataFrame, table: DataFrame) -> Column:
+    """Version, and data type where both sides have it (the table's columns are prefixed)."""
+    same = F.col("version") == F.col("n_version")
+    both = "data_type" in records.columns and "n_data_type" in table.columns
+    return same & (F.col("data_type") == F.col("n_data_type")) if both else same
+
+
 def deepest(nodes: Sequence) -> int:
     """Levels below the root of the deepest tree of one model."""
     rows = {(r["tree"], r["node"]): r for r in nodes}
@@ -123,19 +135,12 @@ def levels(versions: DataFrame) -> int:
 def descend(records: DataFrame, versions: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     """Rows with `version` and `tree` -> the `leaf_score` and `probs` of the leaf they reach."""
     nodes = node_table(versions)
-    steps = nodes.select(
-        F.col("version").alias("n_version"), F.col("tree").alias("n_tree"), F.col("node").alias("n_node"),
-        "feature", "threshold", "left", "right",
-    )
-    ends = nodes.select(
-        F.col("version").alias("n_version"), F.col("tree").alias("n_tree"), F.col("node").alias("n_node"),
-        F.col("score").alias("leaf_score"), "probs",
-    )
+    place = [F.col(c).alias(f"n_{c}") for c in ("data_type", "version", "tree", "node") if c in nodes.columns]
+    steps = nodes.select(*place, "feature", "threshold", "left", "right")
+    ends = nodes.select(*place, F.col("score").alias("leaf_score"), "probs")
     small = fits_broadcast(nodes)
     steps, ends = (F.broadcast(t) if small else t for t in (steps, ends))
-    here = (F.col("version") == F.col("n_version")) & (F.col("tree") == F.col("n_tree")) & (
-        F.col("_node") == F.col("n_node")
-    )
+    here = same_model(records, steps) & (F.col("tree") == F.col("n_tree")) & (F.col("_node") == F.col("n_node"))
     frame = records.select("*", F.array(*bind_fields(columns, records.columns)).alias("_x"), F.lit(0).alias("_node"))
     keep = [c for c in frame.columns if c != "_node"]
     go_left = F.get("_x", F.col("feature")) <= F.col("threshold")
@@ -154,11 +159,9 @@ def match_leaves(records: DataFrame, leaves: DataFrame, columns: Sequence[str] =
     inside = reduce(
         lambda a, b: a & b, [(v >= F.col(lo)) & (v <= F.col(hi)) for v, lo, hi in zip(x, LO, HI)]
     )
-    boxes = leaves.withColumnRenamed("version", "l_version").withColumnRenamed("score", "leaf_score")
-    return (
-        records.join(checked_broadcast(boxes), (F.col("version") == F.col("l_version")) & inside)
-        .drop("l_version", *LO, *HI)
-    )
+    names = {c: f"n_{c}" for c in ("data_type", "version") if c in leaves.columns}
+    boxes = leaves.withColumnsRenamed({**names, "score": "leaf_score"})
+    return records.join(checked_broadcast(boxes), same_model(records, boxes) & inside).drop(*names.values(), *LO, *HI)
 
 
 def score_tree_by_leaves(records: DataFrame, leaves: DataFrame, result: str = "result") -> DataFrame:

@@ -15,7 +15,7 @@ OFFSET_BITS = 33  # layout of monotonically_increasing_id: partition number abov
 def ordered_chunks(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
     """Split rows into range partitions of the total order `order` and keep the split as a column.
 
-    Adds `chunk` (increases with the order) and `offset` (row position inside the chunk). Spark
+    Adds `_chunk` (increases with the order) and `_offset` (row position inside the chunk). Spark
     samples the range bounds, so a hot key is cut into as many chunks as its rows need. The
     table is written once because the bounds must not change between its readers.
     """
@@ -26,8 +26,8 @@ def ordered_chunks(df: DataFrame, order: Sequence[Column], label: str) -> DataFr
     )
     placed = split.select(
         *df.columns,
-        F.shiftright("_pos", OFFSET_BITS).cast("int").alias("chunk"),
-        F.col("_pos").bitwiseAND(F.lit((1 << OFFSET_BITS) - 1)).alias("offset"),
+        F.shiftright("_pos", OFFSET_BITS).cast("int").alias("_chunk"),
+        F.col("_pos").bitwiseAND(F.lit((1 << OFFSET_BITS) - 1)).alias("_offset"),
     )
     return scratch_table(placed, label)
 
@@ -35,20 +35,20 @@ def ordered_chunks(df: DataFrame, order: Sequence[Column], label: str) -> DataFr
 def with_global_index(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Zero-based row number over the whole table."""
     chunks = ordered_chunks(df, order, "index")
-    sizes = chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = chunks.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_rows"))
     # One row per range partition: as many rows as shuffle partitions, at any data size.
-    before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("chunk", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    return chunks.join(F.broadcast(starts), "chunk").select(
-        *df.columns, (F.col("start") + F.col("offset")).alias(name)
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    return chunks.join(F.broadcast(starts), "_chunk").select(
+        *df.columns, (F.col("_start") + F.col("_offset")).alias(name)
     )
 
 
 def carried_before(per_chunk: DataFrame, keys: Sequence[str], carry: dict[str, Column]) -> DataFrame:
-    """For each (keys, chunk): aggregates of that key's earlier chunks.
+    """For each (keys, _chunk): aggregates of that key's earlier chunks.
 
     `carry` maps output names to window aggregates over (keys ordered by chunk); one key has at
     most one row per chunk.
     """
-    before = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    return per_chunk.select(*keys, "chunk", *[c.over(before).alias(n) for n, c in carry.items()])
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return per_chunk.select(*keys, "_chunk", *[c.over(before).alias(n) for n, c in carry.items()])

@@ -12,11 +12,23 @@ from pyspark.sql import functions as F
 
 from tidescore.functions.text import epoch_micros
 from tidescore.operators.ordering import carried_before, ordered_chunks
-from tidescore.session import broadcast_limit, checked_broadcast
+from tidescore.session import broadcast_limit, checked_broadcast, scratch_table
 
 # Beyond these the lookup table is no longer small or no longer short to scan; see `resolve`.
 MAX_BROADCAST_MODELS = 2_000_000
 MAX_BUCKET_MODELS = 64
+OWN = "_rs_"  # names with this prefix are the joins' own
+
+
+def usable(records: DataFrame, models: DataFrame) -> DataFrame:
+    """Models that can apply at all: a data type and a time are set. Refuses columns that would collide."""
+    taken = {c.lower() for c in records.columns}
+    payload = [c for c in models.columns if c != "data_type"]
+    wrong = [c for c in payload if c.lower() in taken]
+    wrong += [c for c in [*records.columns, *payload] if c.lower().startswith(OWN)]
+    if wrong:
+        raise ValueError(f"columns {wrong} are taken: rename them before records meet models")
+    return models.where(F.col("data_type").isNotNull() & F.col("valid_from").isNotNull())
 
 
 def newest_per_instant(models: DataFrame) -> DataFrame:
@@ -24,39 +36,39 @@ def newest_per_instant(models: DataFrame) -> DataFrame:
     payload = [c for c in models.columns if c not in ("data_type", "valid_from")]
     return (
         models.groupBy("data_type", "valid_from")
-        .agg(F.max_by(F.struct(*payload), F.col("version")).alias("m"))
-        .select("data_type", "valid_from", *[F.col(f"m.{c}").alias(c) for c in payload])
+        .agg(F.max_by(F.struct(*payload), F.col("version")).alias("_rs_m"))
+        .select("data_type", "valid_from", *[F.col(f"_rs_m.{c}").alias(c) for c in payload])
     )
 
 
 def model_intervals(models: DataFrame) -> DataFrame:
-    """Validity [valid_from, valid_to) per version; valid_to is null for the current one."""
+    """Validity [valid_from, _rs_to) per version; _rs_to is null for the current one."""
     w = Window.partitionBy("data_type").orderBy("valid_from")
-    return newest_per_instant(models).withColumn("valid_to", F.lead("valid_from").over(w))
+    return newest_per_instant(models).withColumn("_rs_to", F.lead("valid_from").over(w))
 
 
 def _grid(models: DataFrame) -> DataFrame:
     """Per data type: origin, bucket width in microseconds and bucket count, about one model per bucket."""
     us = epoch_micros(F.col("valid_from"))
     return models.groupBy("data_type").agg(
-        F.min(us).alias("origin"),
-        F.count(F.lit(1)).alias("buckets"),
-        F.ceil((F.max(us) - F.min(us) + 1) / F.count(F.lit(1))).alias("width"),
+        F.min(us).alias("_rs_origin"),
+        F.count(F.lit(1)).alias("_rs_buckets"),
+        F.ceil((F.max(us) - F.min(us) + 1) / F.count(F.lit(1))).alias("_rs_width"),
     )
 
 
 def _bucket(micros):
     """Bucket number; the last bucket is open-ended, a time before the first model has none."""
-    raw = F.floor((micros - F.col("origin")) / F.col("width"))
-    return F.when(raw >= 0, F.least(raw, F.col("buckets") - 1)).cast("long")
+    raw = F.floor((micros - F.col("_rs_origin")) / F.col("_rs_width"))
+    return F.when(raw >= 0, F.least(raw, F.col("_rs_buckets") - 1)).cast("long")
 
 
-def _lookup_is_small(newest: DataFrame, grid: DataFrame) -> bool:
-    """Check size and evenness of the model side before it is sent to every executor."""
+def _lookup_is_small(intervals: DataFrame, grid: DataFrame) -> bool:
+    """Check size and evenness of the written model side before it is sent to every executor."""
     crowd = (
-        newest.join(grid, "data_type")
-        .groupBy("data_type", _bucket(epoch_micros(F.col("valid_from"))).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json(F.struct(*newest.columns)))).alias("bytes"))
+        intervals.join(grid, "data_type")
+        .groupBy("data_type", _bucket(epoch_micros(F.col("valid_from"))).alias("_rs_bucket"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json(F.struct(*intervals.columns)))).alias("bytes"))
         .agg(F.sum("n").alias("models"), F.max("n").alias("crowd"), F.sum("bytes").alias("bytes"))
         .first()
     )
@@ -64,85 +76,106 @@ def _lookup_is_small(newest: DataFrame, grid: DataFrame) -> bool:
     return (
         (crowd.models or 0) <= MAX_BROADCAST_MODELS
         and (crowd.crowd or 0) <= MAX_BUCKET_MODELS
-        and 3 * (crowd.bytes or 0) <= broadcast_limit(newest.sparkSession)
+        and 3 * (crowd.bytes or 0) <= broadcast_limit(intervals.sparkSession)
     )
 
 
 def resolve(records: DataFrame, models: DataFrame, unscored: str = "drop") -> DataFrame:
     """Latest-model join. `unscored="null"` keeps records that have no model yet.
 
-    The usual case, many records and few models, is two broadcast hash joins in the record
-    scan's own stage: data type -> time grid, then (data type, time bucket) -> versions, with the
-    exact interval as residual condition. Neither moves a record, so a hot data type costs
-    nothing. When the model side fails its size check, `resolve_sorted` answers.
+    The model side is reduced to intervals and written once. The usual case, many records and few
+    models, is two broadcast hash joins in the record scan's own stage: data type -> time grid,
+    then (data type, time bucket) -> versions, with the exact interval as residual condition.
+    Neither moves a record, so a hot data type costs nothing. When the model side fails its size
+    check, the sorted form answers, from the same intervals and with the same result.
     """
-    newest = newest_per_instant(models)
-    grid = _grid(newest)
-    if not _lookup_is_small(newest, grid):
-        return resolve_sorted(records, models, unscored)
+    intervals = scratch_table(model_intervals(usable(records, models)), "intervals")
+    grid = _grid(intervals)
+    if not _lookup_is_small(intervals, grid):
+        return _sorted(records, intervals.select(*models.columns), unscored)
     payload = [c for c in models.columns if c != "data_type"]
-    intervals = model_intervals(models).join(F.broadcast(grid), "data_type")
-    last = F.when(F.col("valid_to").isNull(), F.col("buckets") - 1).otherwise(
-        _bucket(epoch_micros(F.col("valid_to")) - 1)
+    last = F.when(F.col("_rs_to").isNull(), F.col("_rs_buckets") - 1).otherwise(
+        _bucket(epoch_micros(F.col("_rs_to")) - 1)
     )
-    placed = intervals.select(
-        F.col("data_type").alias("m_type"), *payload, "valid_to",
-        F.explode(F.sequence(_bucket(epoch_micros(F.col("valid_from"))), last)).alias("m_bucket"),
+    placed = intervals.join(F.broadcast(grid), "data_type").select(
+        F.col("data_type").alias("_rs_type"), *payload, "_rs_to",
+        F.explode(F.sequence(_bucket(epoch_micros(F.col("valid_from"))), last)).alias("_rs_place"),
     )
     located = records.join(
-        F.broadcast(grid.withColumnRenamed("data_type", "g_type")), F.col("data_type") == F.col("g_type"), "left"
-    ).withColumn("bucket", _bucket(epoch_micros(F.col("ts"))))
+        F.broadcast(grid.withColumnRenamed("data_type", "_rs_grid")), F.col("data_type") == F.col("_rs_grid"), "left"
+    ).withColumn("_rs_bucket", _bucket(epoch_micros(F.col("ts"))))
     applies = (
-        (F.col("data_type") == F.col("m_type"))
-        & (F.col("bucket") == F.col("m_bucket"))
+        (F.col("data_type") == F.col("_rs_type"))
+        & (F.col("_rs_bucket") == F.col("_rs_place"))
         & (F.col("ts") >= F.col("valid_from"))
-        & (F.col("valid_to").isNull() | (F.col("ts") < F.col("valid_to")))
+        & (F.col("_rs_to").isNull() | (F.col("ts") < F.col("_rs_to")))
     )
     how = "left" if unscored == "null" else "inner"
     return located.join(F.broadcast(placed), applies, how).select(*records.columns, *payload)
 
 
 def resolve_sorted(records: DataFrame, models: DataFrame, unscored: str = "drop") -> DataFrame:
-    """The same answer from one sort: union both streams, take the last model seen so far.
+    """The same answer from one sort: union both streams, take the last model seen so far."""
+    return _sorted(records, newest_per_instant(usable(records, models)).select(*models.columns), unscored)
 
-    Range chunks split a hot data type over many tasks; what a chunk inherits from earlier
+
+def _sorted(records: DataFrame, newest: DataFrame, unscored: str) -> DataFrame:
+    """Range chunks split a hot data type over many tasks; what a chunk inherits from earlier
     chunks of its data type is one row per (data type, chunk).
     """
-    payload = [c for c in models.columns if c != "data_type"]
+    payload = [c for c in newest.columns if c != "data_type"]
     fields = [c for c in records.columns if c not in ("data_type", "ts")]
-    newest = newest_per_instant(models.where(F.col("data_type").isNotNull()))
     left = newest.select(
-        "data_type", F.col("valid_from").alias("ts"), F.lit(0).alias("side"), F.col("version").alias("tie"),
-        F.struct(*payload).alias("model"),
+        "data_type", F.col("valid_from").alias("ts"), F.lit(0).alias("_rs_side"), F.col("version").alias("_rs_tie"),
+        F.struct(*payload).alias("_rs_model"),
     )
     right = records.select(
-        "data_type", "ts", F.lit(1).alias("side"), F.xxhash64(*records.columns).alias("tie"),
-        F.struct(*(fields or [F.lit(0).alias("_none")])).alias("rec"),
+        "data_type", "ts", F.lit(1).alias("_rs_side"), F.xxhash64(*records.columns).alias("_rs_tie"),
+        F.struct(*(fields or [F.lit(0).alias("_rs_none")])).alias("_rs_rec"),
     )
-    order = ["data_type", "ts", "side", "tie"]
+    order = ["data_type", "ts", "_rs_side", "_rs_tie"]
     union = left.unionByName(right, allowMissingColumns=True)
     chunks = ordered_chunks(union, [F.col(c) for c in order], "asof")
-    latest = chunks.groupBy("data_type", "chunk").agg(
-        F.max_by("model", F.when(F.col("side") == 0, F.col("ts"))).alias("model")
+    latest = chunks.groupBy("data_type", "_chunk").agg(
+        F.max_by("_rs_model", F.when(F.col("_rs_side") == 0, F.col("ts"))).alias("_rs_model")
     )
-    inherited = carried_before(latest, ["data_type"], {"inherited": F.last("model", ignorenulls=True)})
+    inherited = carried_before(latest, ["data_type"], {"_rs_inherited": F.last("_rs_model", ignorenulls=True)})
     seen = (
-        Window.partitionBy("data_type", "chunk").orderBy("ts", "side", "tie")
+        Window.partitionBy("data_type", "_chunk").orderBy("ts", "_rs_side", "_rs_tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    filled = chunks.withColumn("own", F.last("model", ignorenulls=True).over(seen)).where("side = 1")
-    joined = filled.join(inherited, ["data_type", "chunk"], "left").withColumn(
-        "model", F.coalesce("own", "inherited")
+    filled = chunks.withColumn("_rs_own", F.last("_rs_model", ignorenulls=True).over(seen)).where("_rs_side = 1")
+    joined = filled.join(inherited, ["data_type", "_chunk"], "left").withColumn(
+        "_rs_model", F.coalesce("_rs_own", "_rs_inherited")
     )
     if unscored != "null":
-        joined = joined.where(F.col("model").isNotNull())
+        joined = joined.where(F.col("_rs_model").isNotNull())
     values = {"data_type": F.col("data_type"), "ts": F.col("ts")}
-    values.update({c: F.col(f"rec.{c}") for c in fields})
+    values.update({c: F.col(f"_rs_rec.{c}") for c in fields})
+    # Field order of the payload as in the models, time included.
     return joined.select(
-        *[values[c].alias(c) for c in records.columns], *[F.col(f"model.{c}").alias(c) for c in payload]
+        *[values[c].alias(c) for c in records.columns], *[F.col(f"_rs_model.{c}").alias(c) for c in payload]
     )
 
 
+def resolve_after(records: DataFrame, snapshot: DataFrame | None, arrived: DataFrame, unscored: str = "drop") -> DataFrame:
+    """As `resolve` with `arrived`; where none of them applies yet, the data type's row in `snapshot` does.
+
+    `snapshot` has one row per data type. It applies whatever a record's time is: a late record is
+    scored with the model current when it arrives.
+    """
+    if snapshot is None:
+        return resolve(records, arrived, unscored)
+    payload = [c for c in arrived.columns if c != "data_type"]
+    newer = resolve(records, arrived, "null")
+    before = snapshot.select(
+        F.col("data_type").alias("_rs_type"), F.struct(*payload).alias("_rs_before"))
+    joined = newer.join(before, F.col("data_type") == F.col("_rs_type"), "left")
+    chosen = [F.when(F.col("version").isNotNull(), F.col(c)).otherwise(F.col(f"_rs_before.{c}")).alias(c) for c in payload]
+    out = joined.select(*records.columns, *chosen)
+    return out if unscored == "null" else out.where(F.col("version").isNotNull())
+
+
 def resolve_latest(records: DataFrame, models: DataFrame, unscored: str = "drop") -> DataFrame:
     """Score everything with the newest model of each data type, whatever the record's time."""
     payload = [c for c in models.columns if c != "data_type"]

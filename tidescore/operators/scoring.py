@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidescore.functions.features import bind_fields
 from tidescore.functions.maths import inverse_link, linear_predictor
 from tidescore.functions.vectors import argmax_index
-from tidescore.operators.batch_scoring import score_batches
+from tidescore.operators.batch_scoring import leaf_probs, score_batches
 from tidescore.schemas import FEATURES
 
 # Nested CASE up to this many leaves compiles well. Measured on 600k rows: a forest of 320 leaves
@@ -79,7 +79,7 @@ def tree_column(params: dict, x: Sequence[Column]) -> Column:
 def tree_probability_columns(params: dict, x: Sequence[Column]) -> dict[str, Column]:
     """`probability(label)` of a classification tree, from the counts in its leaf."""
     tree = trees_of(params)[0]
-    dist = descend(tree, x, lambda row: F.array(*[F.lit(float(p)) for p in row["probs"]]))
+    dist = descend(tree, x, lambda row: F.array(*[F.lit(p) for p in leaf_probs(row, params["labels"])]))
     return {label: F.element_at(dist, i + 1) for i, label in enumerate(params["labels"])}
 
 
@@ -105,7 +105,7 @@ def forest_frame(df: DataFrame, params: dict, x: Sequence[Column]) -> DataFrame:
         sums = []
         for k in range(len(params["labels"])):
             parts = [
-                _literal([row["probs"][k] for row in leaves[t]], "double")[F.col(f"_leaf{t}")]
+                _literal([leaf_probs(row, params["labels"])[k] for row in leaves[t]], "double")[F.col(f"_leaf{t}")]
                 for t in range(len(trees))
             ]
             sums.append(reduce(lambda a, b: a + b, parts) / count)

@@ -51,30 +51,30 @@ def running_stats(scored: DataFrame, id_columns: list[str], duration: str = "dur
     names = [*KEYS, "ts", *id_columns]
     rows = scored.select(*names, F.col(duration).alias("_d"))
     chunks = ordered_chunks(rows, [F.col(c) for c in names], "running")
-    per_chunk = chunks.groupBy(*KEYS, "chunk").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_d").alias("s"), F.min("_d").alias("lo"), F.max("_d").alias("hi")
+    per_chunk = chunks.groupBy(*KEYS, "_chunk").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_d").alias("_s"), F.min("_d").alias("_lo"), F.max("_d").alias("_hi")
     )
     earlier = carried_before(
-        per_chunk, KEYS, {"n0": F.sum("n"), "s0": F.sum("s"), "lo0": F.min("lo"), "hi0": F.max("hi")}
-    ).where(F.col("n0").isNotNull())
+        per_chunk, KEYS, {"_n0": F.sum("_n"), "_s0": F.sum("_s"), "_lo0": F.min("_lo"), "_hi0": F.max("_hi")}
+    ).where(F.col("_n0").isNotNull())
     inside = (
-        Window.partitionBy(*KEYS, "chunk").orderBy("ts", *id_columns)
+        Window.partitionBy(*KEYS, "_chunk").orderBy("ts", *id_columns)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     own = chunks.select(
-        *names, "chunk",
-        F.count(F.lit(1)).over(inside).alias("n"),
-        F.sum("_d").over(inside).alias("s"),
-        F.min("_d").over(inside).alias("lo"),
-        F.max("_d").over(inside).alias("hi"),
+        *names, "_chunk",
+        F.count(F.lit(1)).over(inside).alias("_n"),
+        F.sum("_d").over(inside).alias("_s"),
+        F.min("_d").over(inside).alias("_lo"),
+        F.max("_d").over(inside).alias("_hi"),
     )
     zero = F.lit(0)
-    return own.join(earlier, [*KEYS, "chunk"], "left").select(
+    return own.join(earlier, [*KEYS, "_chunk"], "left").select(
         *names,
-        (F.col("n") + F.coalesce("n0", zero)).alias("usage"),
-        (F.col("s") + F.coalesce("s0", zero)).alias("duration"),
-        F.least("lo", "lo0").alias("min_duration"),
-        F.greatest("hi", "hi0").alias("max_duration"),
+        (F.col("_n") + F.coalesce("_n0", zero)).alias("usage"),
+        (F.col("_s") + F.coalesce("_s0", zero)).alias("duration"),
+        F.least("_lo", "_lo0").alias("min_duration"),
+        F.greatest("_hi", "_hi0").alias("max_duration"),
     )
 
 

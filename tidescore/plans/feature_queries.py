@@ -155,6 +155,21 @@ def protobuf_roundtrip(spark, folder):
     return good.drop("value")
 
 
+@query(
+    "protobuf_nan_roundtrip",
+    f"WITH {sqltext.WINE} SELECT {KEYS}, duration % 3 = 0 AS unknown, CASE WHEN duration % 3 <> 0 THEN alcohol END AS alcohol "
+    "FROM wine",
+)
+def protobuf_nan_roundtrip(spark, folder):
+    """A NaN in a message stays one; only an absent field reads as zero."""
+    df = inputs.wine(spark, folder).withColumnRenamed("data_type", "dataType")
+    gaps = df.withColumn("alcohol", F.when(F.col("duration") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("alcohol")))
+    raw = gaps.select(*inputs.LINE_KEYS, codec.encode_record(F.struct(*RECORD_SCHEMA.names)).alias("value"))
+    good, _ = clean.split_valid(clean.parse_records(raw))
+    unknown = F.isnan("alcohol")
+    return good.select(*inputs.LINE_KEYS, unknown.alias("unknown"), F.when(~unknown, F.col("alcohol")).alias("alcohol"))
+
+
 @query(
     "record_dead_letters",
     "SELECT CASE WHEN l_returnflag = 'N' THEN 'undecodable message: DecodeError' WHEN l_returnflag = 'A' "

@@ -218,6 +218,37 @@ def dense_document_sql() -> str:
     )
 
 
+def layers_document(activation: str, weights: str, biases: int) -> str:
+    bias = ",".join(["0.0"] * biases)
+    return f'{{"layers":[{{"activation":"{activation}","normalization":"none","bias":[{bias}],"weights":{weights}}}]}}'
+
+
+_ROW = "[" + ",".join(["1.0"] * len(FEATURES)) + "]"
+# Documents that read well and cannot score a record: an unknown activation, rows of unequal length,
+# a layer for three inputs, a predictor that is not a number.
+UNSCORABLE = [
+    ("TENSORFLOW", layers_document("selu", f"[{_ROW},{_ROW}]", 2)),
+    ("TENSORFLOW", layers_document("identity", f"[{_ROW},[1.0,2.0]]", 2)),
+    ("TENSORFLOW", layers_document("identity", "[[1.0,2.0,3.0],[1.0,2.0,3.0]]", 2)),
+    ("PMML", f'{_HEAD}<RegressionModel functionName="regression">{_TARGET}<RegressionTable intercept="1">'
+             '<CategoricalPredictor name="alcohol" value="high" coefficient="50"/></RegressionTable>'
+             "</RegressionModel></PMML>"),
+]
+
+
+def unscorable_descriptors(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as model messages of which none can score: the order key decides on the fault."""
+    turn = "o_orderkey % 4"
+    kind = f"CASE {turn} " + " ".join(f"WHEN {i} THEN '{k}'" for i, (k, _) in enumerate(UNSCORABLE)) + " END"
+    text = f"CASE {turn} " + " ".join(f"WHEN {i} THEN '{d}'" for i, (_, d) in enumerate(UNSCORABLE)) + " END"
+    return _run(
+        spark, folder, "orders",
+        "SELECT o_orderkey AS version, o_orderdate AS valid_from, 'unscorable' AS name, o_orderpriority AS description, "
+        f"o_orderstatus AS dataType, {kind} AS modeltype, CAST({text} AS BINARY) AS data, "
+        "CAST(NULL AS STRING) AS location FROM orders",
+    )
+
+
 def order_descriptors(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as model messages: version, valid_from and the descriptor fields."""
     every = range(len(FEATURES))

@@ -60,6 +60,24 @@ for _name, _params in GLMS.items():
     _glm(_name, _params)
 
 
+RECIPROCAL = {**GLMS["inverse"], "intercept": 0.0, "coefs": [float(c == "alcohol") for c in FEATURES]}
+
+
+@query(
+    "glm_inverse_zero",
+    f"WITH {sqltext.WINE} SELECT {KEYS}, duration % 2 = 0 AS infinite, "
+    "CASE WHEN duration % 2 = 1 THEN round(1e0 / alcohol, 6) END AS result FROM wine",
+)
+def glm_inverse_zero(spark, folder):
+    """One over zero is infinite."""
+    df = inputs.wine(spark, folder)
+    df = df.withColumn("alcohol", F.when(F.col("duration") % 2 == 1, F.col("alcohol")).otherwise(0.0))
+    scored = scoring.score(df, RECIPROCAL)
+    infinite = F.col("result") == float("inf")
+    return scored.select(
+        *inputs.LINE_KEYS, infinite.alias("infinite"), F.when(~infinite, F.round("result", 6)).alias("result"))
+
+
 def _tree(params: dict) -> str:
     nodes = scoring.trees_of(params)[0]
     return sqltext.tree_case(nodes, lambda r: sqltext.number(r["score"]))
@@ -158,12 +176,12 @@ def tree_descent_join(spark, folder):
 
 @query("forest_leaf_join", _forest_sql(SMALL_FOREST, f"({LABELS})[{FIRST_BEST}] AS result"))
 def forest_leaf_join(spark, folder):
-    # Line keys may repeat; the row number of the scan tells equal lines apart.
-    df = inputs.wine(spark, folder).select(
-        "*", F.lit(1).cast("long").alias("version"), F.monotonically_increasing_id().alias("row")
-    )
+    # Line keys may repeat, but lines with equal keys and inputs score alike: count them, score one.
+    lines = inputs.wine(spark, folder).groupBy(*inputs.LINE_KEYS, *FEATURES).agg(F.count(F.lit(1)).alias("lines"))
+    df = lines.withColumn("version", F.lit(1).cast("long"))
     leaves = leaves_of(spark, SMALL_FOREST, 1)
-    return leaf_join.score_forest_by_leaves(df, leaves, models.LABELS, [*inputs.LINE_KEYS, "row"]).drop("row")
+    scored = leaf_join.score_forest_by_leaves(df, leaves, models.LABELS, [*inputs.LINE_KEYS, *FEATURES, "lines"])
+    return scored.select(*inputs.LINE_KEYS, "result", F.explode(F.sequence(F.lit(1), F.col("lines").cast("int")))).drop("col")
 
 
 @query(

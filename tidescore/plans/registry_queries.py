@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidescore.functions import codec, text
@@ -102,21 +102,24 @@ def registry_layers(spark, folder):
     )
 
 
-def _mixed_sql() -> str:
+def _mixed_sql(version: str = "o_orderkey", join: str = "ASOF JOIN", otherwise: tuple[str, str] | None = None) -> str:
     eta = "intercept" + "".join(f" + c{i} * {name}" for i, name in enumerate(FEATURES))
+    number, default = "m.version", ""
+    if otherwise:
+        number, default = f"coalesce(m.version, {otherwise[0]}) AS version", f"WHEN m.version IS NULL THEN {otherwise[1]} "
     choose = lambda a, b: f"CASE WHEN o_orderpriority = '2-HIGH' THEN {b} ELSE {a} END"
     coefs = ", ".join(
         f"{choose(inputs.coefficient_sql(i), inputs.glm_coefficient_sql(i))} AS c{i}" for i in range(len(FEATURES))
     )
     return (
-        f"WITH {sqltext.WINE}, models AS (SELECT o_orderstatus AS data_type, o_orderkey AS version, "
+        f"WITH {sqltext.WINE}, models AS (SELECT o_orderstatus AS data_type, {version} AS version, "
         f"o_orderdate AS valid_from, o_orderpriority AS kind, {inputs.DENSE_THRESHOLD} AS threshold, "
         f"{choose(inputs.ORDER_INTERCEPT, inputs.GLM_INTERCEPT)} AS intercept, {coefs} FROM orders WHERE {VALID} "
         "QUALIFY row_number() OVER (PARTITION BY o_orderstatus, o_orderdate ORDER BY o_orderkey DESC) = 1) "
-        f"SELECT {KEYS}, m.version, CASE m.kind WHEN '1-URGENT' THEN round({eta}, 5) "
-        f"WHEN '2-HIGH' THEN round(exp({eta}), 5) "
+        f"SELECT {KEYS}, {number}, CASE {default}WHEN m.kind = '1-URGENT' THEN round({eta}, 5) "
+        f"WHEN m.kind = '2-HIGH' THEN round(exp({eta}), 5) "
         "ELSE CASE WHEN CAST(w.alcohol AS FLOAT) > CAST(m.threshold AS FLOAT) THEN 1e0 ELSE 0e0 END END AS result "
-        "FROM wine w ASOF JOIN models m ON w.data_type = m.data_type AND w.ts >= m.valid_from"
+        f"FROM wine w {join} models m ON w.data_type = m.data_type AND w.ts >= m.valid_from"
     )
 
 
@@ -139,6 +142,33 @@ def score_mixed_kinds_shuffled(spark, folder):
     return scored.select(*inputs.LINE_KEYS, "version", F.round("result", 5).alias("result"))
 
 
+@query(
+    "mixed_kinds_per_type_versions",
+    _mixed_sql("row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey)"),
+)
+def mixed_kinds_per_type_versions(spark, folder):
+    """Every data type numbers its own versions from one, so a version alone names no model."""
+    w = Window.partitionBy("data_type").orderBy("version")
+    versions = published(spark, folder).withColumn("version", F.row_number().over(w).cast("long"))
+    scored = dispatch.score_with_versions(inputs.wine(spark, folder), versions)
+    return scored.select(*inputs.LINE_KEYS, "version", F.round("result", 5).alias("result"))
+
+
+@query(
+    "dead_letter_unscorable",
+    "SELECT CASE o_orderkey % 4 WHEN 1 THEN 'Bad model: layer shapes do not fit' "
+    "WHEN 3 THEN 'Bad model: CategoricalPredictor is not supported' "
+    "ELSE 'Bad model: cannot be scored (ValueError)' END AS error, count(*) AS n FROM orders GROUP BY 1",
+)
+def dead_letter_unscorable(spark, folder):
+    """Documents that parse and still cannot score a record are refused before they take effect."""
+    raw = inputs.unscorable_descriptors(spark, folder).select(
+        "version", "valid_from", codec.encode_descriptor(F.struct(*DESCRIPTOR_SCHEMA.names)).alias("value")
+    )
+    _, bad = registry.model_versions(clean.parse_descriptors(raw).drop("value"))
+    return clean.count_by_reason(clean.dead_letters(bad, "data", "models"))
+
+
 @query(
     "model_names",
     "SELECT p_partkey, p_name || '-' || p_partkey AS pmml_name, 'data/' || p_name || '-' || p_partkey AS tensor_name "
@@ -177,8 +207,18 @@ def model_signature(spark, folder):
     return rows.select("p_partkey", "signature", "side", "tensor", "dtype", F.col("dimensions")[1].alias("width"))
 
 
-@query("artifact_scan")
+@query(
+    "artifact_scan",
+    "SELECT replace(p_brand, '#', '_') AS brand, count(*) AS documents, CAST(sum(strlen(p_name) + 1) AS BIGINT) AS length "
+    "FROM part GROUP BY 1",
+)
 def artifact_scan(spark, folder):
-    """Files of the data folder by suffix, with name and length; contents are read only when used."""
-    files = artifacts.scan_artifacts(spark, folder, ".parquet")
-    return files.select(text.pmml_model_name(F.col("path")).alias("name"), "length")
+    """One document per brand, written, found again by its suffix and read; other files are passed over."""
+    path = scratch_path(spark, "documents")
+    parts = inputs.table(spark, folder, "part").select("p_name", F.translate("p_brand", "#", "_").alias("brand"))
+    parts.repartition("brand").write.partitionBy("brand").text(path)
+    parts.limit(1).select("p_name").write.json(f"{path}/brand=none")
+    files = artifacts.scan_artifacts(spark, path, ".txt")
+    lines = F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 1
+    return files.groupBy(F.regexp_extract("path", "brand=([^/]+)/", 1).alias("brand")).agg(
+        F.sum(lines).alias("documents"), F.sum("length").alias("length"))

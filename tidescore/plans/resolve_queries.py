@@ -44,6 +44,33 @@ def asof_window_form(spark, folder):
     return weighted(df).select("data_type", "event_id", "version", "result")
 
 
+NULL_TIMES = (
+    f"WITH {sqltext.EVENT_ASOF.replace('ASOF LEFT JOIN models m', 'ASOF LEFT JOIN timed m')} SELECT data_type, event_id, "
+    "version, round(weight * value, 6) AS result FROM resolved"
+).replace(", resolved AS (", ", timed AS (SELECT * FROM models WHERE version % 3 <> 0), resolved AS (")
+
+
+@query("asof_null_times", NULL_TIMES)
+def asof_null_times(spark, folder):
+    """A model without a time never applies."""
+    models = inputs.event_models(spark, folder)
+    models = models.withColumn("valid_from", F.when(F.col("version") % 3 != 0, F.col("valid_from")))
+    df = R.resolve(inputs.event_records(spark, folder), models, "null")
+    return weighted(df).select("data_type", "event_id", "version", "result")
+
+
+@query(
+    "asof_reserved_names",
+    f"WITH {sqltext.EVENT_ASOF} SELECT event_id, version, event_id % 7 AS bucket, event_id % 5 AS width, "
+    "event_id % 3 AS origin, event_id % 2 AS buckets, event_id % 11 AS chunk, event_id % 13 AS \"offset\" FROM resolved",
+)
+def asof_reserved_names(spark, folder):
+    """Record columns keep their values whatever they are called."""
+    names = {"bucket": 7, "width": 5, "origin": 3, "buckets": 2, "chunk": 11, "offset": 13}
+    records = inputs.event_records(spark, folder).withColumns({n: F.col("event_id") % k for n, k in names.items()})
+    return R.resolve(records, inputs.event_models(spark, folder), "null").select("event_id", "version", *names)
+
+
 HOT_SCORE = (
     f"WITH {sqltext.ORDER_ASOF} SELECT {KEYS}, version, round({sqltext.ORDER_SCORE}, 6) AS result "
     "FROM resolved WHERE version IS NOT NULL"
@@ -216,6 +243,15 @@ def stats_report(spark, folder):
     return _report(spark, folder).withColumn("average", F.round("average", 6))
 
 
-@query("stats_json")
+@query(
+    "stats_json",
+    f"WITH {CURRENT} SELECT 'model-' || version AS name, 'weight delivered by a signup' AS description, "
+    "strftime(since_arrival, '%Y/%m/%d %H:%M:%S') AS since, usage, "
+    'round(duration / CAST(usage AS DOUBLE), 6) AS average, lo AS "min", hi AS "max" FROM used',
+)
 def stats_json(spark, folder):
-    return as_json(_report(spark, folder))
+    """The report as JSON text, read back field by field."""
+    report = _report(spark, folder)
+    lines = as_json(report)
+    fields = lines.select(F.from_json(lines.columns[0], report.schema).alias("r")).select("r.*")
+    return fields.withColumn("average", F.round("average", 6))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,14 +11,17 @@ from tidescore.functions import codec
 from tidescore.operators import clean
 from tidescore.plans import inputs, sqltext
 from tidescore.plans.catalogue import query
-from tidescore.plans.registry_queries import MIXED
+from tidescore.plans.registry_queries import MIXED, _mixed_sql
 from tidescore.plans.resolve_queries import CURRENT, EVENT_SCORE
-from tidescore.schemas import DESCRIPTOR_SCHEMA, FEATURES, RECORD_SCHEMA
+from tidescore.schemas import DESCRIPTOR_SCHEMA, FEATURES, MODEL_VERSION_SCHEMA, PARAMS_TYPE, RECORD_SCHEMA
 from tidescore.session import scratch_path
-from tidescore.sources import replay
+from tidescore.sources import registry, replay
 from tidescore.sources.staged import play, read_staged
 from tidescore.streaming import introspect, keyed, micro_batch, serve, sinks
 
+REPLAY_SECONDS = 1800
+
+
 def event_rows(spark: SparkSession, folder: str) -> DataFrame:
     models = inputs.event_models(spark, folder).withColumn("zero", F.lit(0.0))
     records = inputs.event_records(spark, folder)
@@ -190,10 +195,17 @@ def state_keys(spark, folder):
     return introspect.state_keys(spark, checkpoint).select("data_type", F.col("shards").cast("int").alias("shards"))
 
 
-@query("state_metadata")
+# What Spark calls the operator and its store.
+@query(
+    "state_metadata",
+    "SELECT 0 AS \"operatorId\", 'transformWithStateInPandasExec' AS \"operatorName\", 'default' AS \"stateStoreName\", "
+    "count(DISTINCT o_orderstatus) > 0 AS partitioned FROM orders",
+)
 def state_metadata(spark, folder):
     _, checkpoint = run_keyed(line_rows(spark, folder), shards=8)
-    return introspect.stores(spark, checkpoint)
+    return introspect.stores(spark, checkpoint).select(
+        F.col("operatorId").cast("int").alias("operatorId"), "operatorName", "stateStoreName",
+        (F.col("numPartitions") > 0).alias("partitioned"))
 
 
 @query(
@@ -221,9 +233,15 @@ def stream_dead_letters(spark, folder):
     return counts[0].unionByName(counts[1]).groupBy("bad").agg(F.count(F.lit(1)).alias("n"))
 
 
-def message_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders and lines as encoded messages of one stream, records cut short where lines are new."""
+def message_rows(spark: SparkSession, folder: str, unscorable: bool = False) -> DataFrame:
+    """Orders and lines as encoded messages of one stream, records cut short where lines are new.
+
+    With `unscorable`, models that read well and cannot score stand in for those of low priority.
+    """
     descriptors = inputs.order_descriptors(spark, folder)
+    if unscorable:
+        bad = inputs.unscorable_descriptors(spark, folder).where("description = '5-LOW'")
+        descriptors = descriptors.where("description <> '5-LOW'").unionByName(bad)
     models = descriptors.select(
         F.lit("models").alias("topic"), codec.encode_descriptor(F.struct(*DESCRIPTOR_SCHEMA.names)).alias("value"),
         F.col("valid_from").cast("timestamp").alias("timestamp"), F.col("version").alias("offset"),
@@ -242,10 +260,10 @@ def message_rows(spark: SparkSession, folder: str) -> DataFrame:
     return both.select(*serve.MESSAGE_SCHEMA.names)
 
 
-def served(spark: SparkSession, folder: str) -> str:
+def served(spark: SparkSession, folder: str, unscorable: bool = False, initial: DataFrame | None = None) -> str:
     source, workspace, checkpoint = (scratch_path(spark, n) for n in ("stage", "workspace", "checkpoint"))
-    play(message_rows(spark, folder), source, ts="timestamp")
-    writer = serve.serve(read_staged(spark, source, serve.MESSAGE_SCHEMA), workspace)
+    play(message_rows(spark, folder, unscorable), source, ts="timestamp")
+    writer = serve.serve(read_staged(spark, source, serve.MESSAGE_SCHEMA), workspace, initial=initial)
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return workspace
 
@@ -259,13 +277,73 @@ _SERVED = MIXED.replace("FROM wine w ASOF", "FROM (SELECT * FROM wine WHERE l_re
 )
 def stream_serve(spark, folder):
     """Bytes in, scores out: decode, refuse, register, resolve and score, models of three kinds."""
-    scored = serve.read(spark, served(spark, folder), "scored")
+    return serve_result(serve.read(spark, served(spark, folder), "scored"))
+
+
+def serve_result(scored: DataFrame) -> DataFrame:
     return scored.select(
         F.col("offset").alias("record"), F.shiftright("version", serve.PARTITION_BITS).alias("version"),
         F.round("result", 5).alias("result"),
     )
 
 
+@query("stream_serve_bad_models", f"SELECT l_orderkey * 8 + l_linenumber AS record, version, result FROM ({_SERVED}) AS s")
+def stream_serve_bad_models(spark, folder):
+    """Models that cannot score stop nothing and replace nothing."""
+    return serve_result(serve.read(spark, served(spark, folder, unscorable=True), "scored"))
+
+
+_STARTED = _mixed_sql(join="ASOF LEFT JOIN", otherwise=("-1", "7.5e0")).replace(
+    "FROM wine w ASOF", "FROM (SELECT * FROM wine WHERE l_returnflag <> 'N') w ASOF")
+
+
+@query("stream_serve_initial", f"SELECT l_orderkey * 8 + l_linenumber AS record, version, result FROM ({_STARTED}) AS s")
+def stream_serve_initial(spark, folder):
+    """The server starts with the models of a registry: every record has one."""
+    params = F.struct(*[
+        {"kind": F.lit("linear"), "intercept": F.lit(7.5), "link": F.lit("identity"),
+         "coefs": F.array(*[F.lit(0.0)] * len(FEATURES))}.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in PARAMS_TYPE.fields])
+    types = inputs.table(spark, folder, "lineitem").select(F.col("l_linestatus").alias("data_type")).distinct()
+    values = {
+        "version": F.lit(-1) * (1 << serve.PARTITION_BITS), "name": F.lit("start"), "modeltype": F.lit("PMML"),
+        "valid_from": F.lit("1990-01-01 00:00:00"), "params": params, "data_type": F.col("data_type"),
+    }
+    initial = types.select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in MODEL_VERSION_SCHEMA.fields])
+    path = scratch_path(spark, "registry")
+    registry.append_versions(initial, path)
+    return serve_result(serve.read(spark, served(spark, folder, initial=registry.read_versions(spark, path)), "scored"))
+
+
+@query(
+    "serve_stats",
+    f"SELECT m.o_orderstatus AS data_type, s.version, count(*) AS usage, true AS ordered FROM ({_SERVED}) AS s "
+    "JOIN orders m ON s.version = m.o_orderkey GROUP BY 1, 2",
+)
+def serve_stats(spark, folder):
+    """Statistics of a server's run per model version, over all its batches."""
+    stats = serve.serve_stats(spark, served(spark, folder))
+    mean, low, high = F.col("avg_duration"), F.col("min_duration"), F.col("max_duration")
+    return stats.select(
+        "data_type", F.shiftright("version", serve.PARTITION_BITS).alias("version"), "usage",
+        ((low > 0) & (low <= mean * 1.000001) & (mean <= high * 1.000001)).alias("ordered"))
+
+
+@query(
+    "serve_current_stats",
+    f"WITH used AS (SELECT m.o_orderstatus AS data_type, s.version, m.o_orderdate AS since, count(*) AS usage FROM ({_SERVED}) "
+    "AS s JOIN orders m ON s.version = m.o_orderkey GROUP BY 1, 2, 3), newest AS (SELECT * FROM used QUALIFY row_number() "
+    "OVER (PARTITION BY data_type ORDER BY since DESC, version DESC) = 1), types AS (SELECT DISTINCT o_orderstatus AS "
+    "data_type FROM orders) SELECT data_type, coalesce('order-' || version, 'None') AS name, coalesce(usage, 0) AS usage "
+    "FROM types LEFT JOIN newest USING (data_type)",
+)
+def serve_current_stats(spark, folder):
+    """What a lookup shows: a row per data type, defaults where no model has been used."""
+    types = inputs.table(spark, folder, "orders").select(F.col("o_orderstatus").alias("data_type"))
+    return serve.serve_current(spark, served(spark, folder), types).select("data_type", "name", "usage")
+
+
 @query(
     "stream_serve_dead_letters",
     "SELECT 'models' AS source, CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Bad model: broken document' "
@@ -292,8 +370,12 @@ def stream_replay(spark, folder):
     sent = replay.endless_replay(replay.batch_ticks(spark, size), table, size)
     out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
     running = sinks.table(sent, out, checkpoint).start()
+    deadline = time.monotonic() + REPLAY_SECONDS
     while not running.recentProgress or running.lastProgress["batchId"] < 1:
         running.awaitTermination(1)
+        if time.monotonic() > deadline:
+            running.stop()
+            raise TimeoutError(f"one round of the replay took more than {REPLAY_SECONDS} s")
     running.stop()
     first = spark.read.parquet(out).where(F.col("sequence") < size)
     return first.select("event_id", "position")

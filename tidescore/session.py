@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,8 +75,32 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/tidescore-scratch/{spark.sparkContext.applicationId}"
 
 
+_open_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside when it ends; nothing read from them may outlive it."""
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        for path in made:
+            delete_path(spark, path)
 
 
 def scratch_table(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -94,10 +120,7 @@ def scratch_table(df: DataFrame, label: str, partition_by: list[str] | None = No
 
 def release_scratch(spark: SparkSession) -> None:
     """Delete the scratch tables of this application; call when their readers are finished."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(path, True)
+    delete_path(spark, _scratch_root(spark))
 
 
 def broadcast_limit(spark: SparkSession) -> int:

@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidescore.operators.batch_scoring import trial
 from tidescore.functions.maths import LINKS
 from tidescore.schemas import FEATURE_INDEX, FEATURES, MODEL_FIELD_NAMES, PARAMS_TYPE
 
@@ -54,11 +55,21 @@ def _child(element, name):
     return found[0]
 
 
+def _only(element, *names: str) -> None:
+    """Refuse children that this reader would pass over."""
+    for child in element:
+        if _local(child.tag) not in names:
+            raise ModelError(f"{_local(child.tag)} is not supported")
+
+
 def _regression(model) -> dict:
     table = _child(model, "RegressionTable")
     link = REGRESSION_LINKS.get(model.get("normalizationMethod", "none"))
     if link is None or model.get("functionName") != "regression":
         raise ModelError("unsupported regression form")
+    _only(table, "NumericPredictor", "Extension")
+    if len(_children(model, "RegressionTable")) != 1:
+        raise ModelError("unsupported regression form")
     params = empty_params("linear")
     params["intercept"] = float(table.get("intercept", "0"))
     params["link"] = link
@@ -92,6 +103,10 @@ def _general_regression(model) -> dict:
     link = model.get("linkFunction", "identity")
     if model.get("modelType") != "generalizedLinear" or link not in LINKS:
         raise ModelError("unsupported general regression form")
+    _only(model, "MiningSchema", "ParameterList", "FactorList", "CovariateList", "PPMatrix", "ParamMatrix", "PCovMatrix",
+          "Output", "ModelStats", "ModelExplanation", "Extension")
+    if any(len(element) for element in _children(model, "FactorList")):
+        raise ModelError("categorical predictors are not supported")
     cells: dict[str, list] = {}
     for cell in _children(_child(model, "PPMatrix"), "PPCell"):
         cells.setdefault(cell.get("parameterName"), []).append((cell.get("predictorName"), float(cell.get("value"))))
@@ -248,6 +263,9 @@ def parse_documents(content: Column) -> Column:
                 if payload is not None:
                     try:
                         value = parse_pmml(bytes(payload))
+                        # Every model scores one row before it may replace another.
+                        error = trial(value)
+                        value = value if error is None else None
                     except ModelError as exc:
                         error = f"Bad model: {exc}"
                 params.append(value)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidescore.operators.batch_scoring import scoring_error
 from tidescore.operators.clean import descriptor_error, split_valid
 from tidescore.schemas import MODEL_VERSION_SCHEMA, PARAMS_TYPE
 from tidescore.sources.pmml import parse_documents
@@ -25,19 +26,24 @@ def checked_versions(descriptors: DataFrame) -> DataFrame:
     read = parsed.withColumn("params", F.coalesce(F.col("_p.params"), dense)).withColumn(
         "error", F.coalesce("error", "_p.error")
     )
-    return read.withColumn(
-        "error", F.when(F.col("params").isNull(), F.coalesce("error", F.lit("Bad model: no layers")))
-    ).drop("_p")
+    # As the document parser does: a model that cannot score one row is refused.
+    tried = read.withColumn("_tried", scoring_error(F.when(F.col("params.kind") == "dense", F.col("params"))))
+    missing = F.when(F.col("params").isNull(), F.coalesce("error", F.lit("Bad model: no layers")))
+    return tried.withColumn("error", F.coalesce(missing, "_tried")).withColumn(
+        "params", F.when(F.col("error").isNull(), F.col("params"))).drop("_p", "_tried")
 
 
 def model_versions(descriptors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid versions of MODEL_VERSION_SCHEMA, dead letters with their reason)."""
     good, bad = split_valid(checked_versions(descriptors))
-    versions = good.select(
+    return version_rows(good), bad
+
+
+def version_rows(good: DataFrame) -> DataFrame:
+    return good.select(
         F.col("dataType").alias("data_type"), "version", "name", "description", "modeltype", "valid_from",
         F.col("data").alias("content"), "params",
     )
-    return versions, bad
 
 
 def append_versions(versions: DataFrame, path: str, mode: str = "append") -> None:
@@ -46,8 +52,10 @@ def append_versions(versions: DataFrame, path: str, mode: str = "append") -> Non
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.schema(MODEL_VERSION_SCHEMA).parquet(path)
-    return df.select(*MODEL_VERSION_SCHEMA.names)
+    """All versions. A folder name cannot hold the empty data type; it comes back as null and is put right."""
+    df = spark.read.schema(MODEL_VERSION_SCHEMA).parquet(path).select(*MODEL_VERSION_SCHEMA.names)
+    empty = df.where(F.col("data_type").isNull()).withColumn("data_type", F.lit(""))
+    return df.where(F.col("data_type").isNotNull()).unionByName(empty)
 
 
 def params_table(versions: DataFrame, part: str) -> DataFrame:

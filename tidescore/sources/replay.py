@@ -33,7 +33,7 @@ def batch_ticks(spark: SparkSession, rows_per_batch: int, advance_millis: int =
         spark.readStream.format("rate-micro-batch")
         .option("rowsPerBatch", rows_per_batch)
         .option("advanceMillisPerBatch", advance_millis)
-        .option("numPartitions", 1)
+        .option("numPartitions", spark.sparkContext.defaultParallelism)
         .load()
     )
 

@@ -63,7 +63,12 @@ def _fit_classifier(kind: str, df: DataFrame, estimator, columns: Sequence[str])
 def _fit_regressor(kind: str, df: DataFrame, estimator, columns: Sequence[str], label_type: str) -> Fitted:
     data = df.withColumn("quality", F.col("quality").cast(label_type))
     estimator.setFeaturesCol("features").setLabelCol("quality")
-    return Fitted(kind, Pipeline(stages=[assembler(columns), estimator]).fit(data), 1, None, list(columns))
+    # Not every estimator keeps its input between iterations; the assembled columns are held here.
+    held = data.select(*dict.fromkeys([*columns, "quality"])).persist()
+    try:
+        return Fitted(kind, Pipeline(stages=[assembler(columns), estimator]).fit(held), 1, None, list(columns))
+    finally:
+        held.unpersist()
 
 
 # Fixed values below: trees 10; hidden layers 10 and 20, block size 128, seed 1234, 100 iterations;
