@@ -11,7 +11,7 @@ from tidescore.functions import codec
 from tidescore.operators import clean
 from tidescore.plans import inputs, sqltext
 from tidescore.plans.catalogue import query
-from tidescore.plans.registry_queries import MIXED, _mixed_sql
+from tidescore.plans.registry_queries import MIXED, _mixed_sql, published
 from tidescore.plans.resolve_queries import CURRENT, EVENT_SCORE
 from tidescore.schemas import DESCRIPTOR_SCHEMA, FEATURES, MODEL_VERSION_SCHEMA, PARAMS_TYPE, RECORD_SCHEMA
 from tidescore.session import scratch_path
@@ -72,6 +72,17 @@ def stream_sharded(spark, folder):
     return keyed.unscored(scored).select("id", "version", F.round("result", 6).alias("result"))
 
 
+@query("stream_keyed_mixed", f"SELECT l_orderkey * 8 + l_linenumber AS id, version, result FROM ({MIXED}) AS s")
+def stream_keyed_mixed(spark, folder):
+    """Keyed state for models of every kind: state picks the version, the registry has its parameters."""
+    versions = published(spark, folder)
+    records = inputs.wine(spark, folder).withColumn("id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    rows = keyed.model_rows(versions).unionByName(keyed.record_rows(records, "id", FEATURES))
+    scored, _ = run_keyed(rows, shards=8)
+    done = keyed.complete(keyed.unscored(scored), versions)
+    return done.select("id", "version", F.round("result", 5).alias("result"))
+
+
 @query(
     "stream_one_output_per_input",
     f"WITH {sqltext.EVENT_ASOF} SELECT false AS is_model, version IS NULL AS empty, count(*) AS n FROM resolved "

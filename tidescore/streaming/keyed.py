@@ -2,7 +2,9 @@
 
 A key is (data type, shard). Model messages go to every shard of their data type, records to
 one shard by hash, so a data type with most of the records still uses many tasks. State holds
-version numbers, the weights of sum models, and counters; documents stay in the registry.
+version numbers, the weights of sum models, and counters; documents stay in the registry. Records
+of other kinds of models leave the stream with their version and inputs, and `complete` scores
+them with the registry's parameters.
 
 Rows of one key in one micro-batch are ordered by (ts, models first, id) before they are
 applied. That buffer is bounded by the source's per-trigger limit divided over the shards;
@@ -22,7 +24,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidescore.functions.features import bind_fields
-from tidescore.schemas import LONG_MAX, LONG_MIN
+from tidescore.operators.dispatch import score_resolved
+from tidescore.schemas import FEATURES, LONG_MAX, LONG_MIN
 from tidescore.session import use_rocksdb
 
 DEFAULT_SHARDS = 16
@@ -50,6 +53,7 @@ OUTPUT_SCHEMA = T.StructType(
         T.StructField("valid_from", T.TimestampType()),
         T.StructField("result", T.DoubleType()),
         T.StructField("duration", T.LongType()),
+        T.StructField("features", T.ArrayType(T.DoubleType())),
     ]
 )
 SLOT = [("version", T.LongType()), ("valid_from", T.LongType()), ("weights", T.ArrayType(T.DoubleType()))]
@@ -76,12 +80,12 @@ INITIAL_SCHEMA = T.StructType(
 )
 
 
-def model_rows(models: DataFrame, weights: Sequence[str]) -> DataFrame:
-    """Models -> stream layout; `weights` names intercept and coefficient columns."""
+def model_rows(models: DataFrame, weights: Sequence[str] | None = None) -> DataFrame:
+    """Models -> stream layout; `weights` names intercept and coefficient columns, None: another kind."""
     return models.select(
         "data_type", F.lit(True).alias("is_model"), F.col("valid_from").cast("timestamp").alias("ts"),
         F.col("version").alias("id"),
-        F.array(*[F.col(c).cast("double") for c in weights]).alias("weights"),
+        (F.array(*[F.col(c).cast("double") for c in weights]) if weights else F.lit(None).cast("array<double>")).alias("weights"),
         F.lit(None).cast("array<double>").alias("features"), F.lit(None).cast("long").alias("duration"),
     )
 
@@ -139,7 +143,7 @@ class Slots:
         self.first_new = len(known)
         self.versions = np.array([k[0] for k in known], dtype=np.int64)
         self.starts = np.array([k[1] for k in known], dtype=np.int64)
-        self.weights = np.array([list(k[2]) for k in known], dtype=float)
+        self.weights: list = [None if k[2] is None else np.array(k[2], dtype=float) for k in known]
         self.new_times = np.empty(0, dtype=np.int64)
         self.new_versions = np.empty(0, dtype=np.int64)
 
@@ -149,14 +153,25 @@ class Slots:
         self.new_times, self.new_versions = times, versions
         self.versions = np.concatenate([self.versions, versions])
         self.starts = np.concatenate([self.starts, times])
-        self.weights = np.concatenate([self.weights, weights]) if self.first_new else weights
+        self.weights += list(weights)
 
     def in_force(self, ts: np.ndarray) -> np.ndarray:
         """Position of the slot in force at each time; -1 where no model is known yet."""
         return self.first_new - 1 + np.searchsorted(self.new_times, ts, side="right")
 
     def row(self, at: int) -> tuple:
-        return int(self.versions[at]), int(self.starts[at]), [float(w) for w in self.weights[at]]
+        weights = self.weights[at]
+        return int(self.versions[at]), int(self.starts[at]), None if weights is None else [float(w) for w in weights]
+
+    def matrix(self, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of each slot in `at`, and whether they fit records of `width` - 1 inputs."""
+        used, place = np.unique(at, return_inverse=True)
+        rows, fits = np.zeros((len(used), width)), np.zeros(len(used), dtype=bool)
+        for i, slot in enumerate(used):
+            weights = self.weights[slot]
+            if weights is not None and len(weights) == width and not np.isnan(weights).any():
+                rows[i], fits[i] = weights, True
+        return rows[place], fits[place]
 
 
 class VersionedScorer(StatefulProcessor):
@@ -181,7 +196,8 @@ class VersionedScorer(StatefulProcessor):
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         for row in initialState.itertuples(index=False):
             start = int(row.valid_from.value // 1000)
-            self.current.update((int(row.version), start, [float(w) for w in row.weights]))
+            weights = None if row.weights is None else [float(w) for w in row.weights]
+            self.current.update((int(row.version), start, weights))
             self.stats.update(_empty_stats(int(row.version), start))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -190,12 +206,14 @@ class VersionedScorer(StatefulProcessor):
             flags = chunk["is_model"].to_numpy(dtype=bool)
             if flags.any():
                 part = chunk.loc[flags]
-                models.append((_micros(part["ts"]), part["id"].to_numpy(np.int64), np.stack(part["weights"].to_numpy())))
+                weights = np.empty(len(part), dtype=object)
+                weights[:] = [None if w is None else np.asarray(w, dtype=float) for w in part["weights"]]
+                models.append((_micros(part["ts"]), part["id"].to_numpy(np.int64), weights))
             if not flags.all():
                 part = chunk.loc[~flags]
                 records.append(
                     (_micros(part["ts"]), part["id"].to_numpy(np.int64), np.stack(part["features"].to_numpy()),
-                     part["duration"].to_numpy(np.int64))
+                     part["duration"].fillna(0).to_numpy(np.int64))
                 )
         slots = Slots(self.current, self.pending)
         slots.add(*_ordered(models))
@@ -213,18 +231,20 @@ class VersionedScorer(StatefulProcessor):
     def _scored(self, key, slots, slot, ts, ids, x, duration) -> pd.DataFrame:
         known = slot >= 0
         at = slot[known]
-        result = np.full(len(ts), np.nan)
+        result, sums = np.full(len(ts), np.nan), np.zeros(len(ts), dtype=bool)
         if len(at):
-            weights = slots.weights[at]
+            weights, fits = slots.matrix(at, x.shape[1] + 1)
             total = weights[:, 0].copy()
             for i in range(x.shape[1]):
                 total += weights[:, i + 1] * x[known, i]
-            result[known] = total
+            result[known], sums[known] = total, fits
         versions, starts = pd.array([None] * len(ts), dtype="Int64"), pd.array([None] * len(ts), dtype="Int64")
         versions[known], starts[known] = slots.versions[at], slots.starts[at]
-        return self._frame(key, False, ids, ts, versions, starts, pd.Series(result).where(known), duration)
+        # A record of a model that is no sum keeps its inputs for `complete`.
+        kept = [None if done or not has else row for done, has, row in zip(sums, known, x)]
+        return self._frame(key, False, ids, ts, versions, starts, pd.Series(result).where(sums), duration, kept)
 
-    def _frame(self, key, is_model, ids, ts, versions, starts, results, duration) -> pd.DataFrame:
+    def _frame(self, key, is_model, ids, ts, versions, starts, results, duration, features=None) -> pd.DataFrame:
         return pd.DataFrame(
             {
                 "data_type": key[0],
@@ -236,6 +256,7 @@ class VersionedScorer(StatefulProcessor):
                 "valid_from": pd.to_datetime(pd.Series(starts, dtype="Int64"), unit="us"),
                 "result": pd.Series(results, dtype="Float64"),
                 "duration": pd.Series(duration, dtype="Int64"),
+                "features": pd.Series([None] * len(ids) if features is None else features, dtype=object),
             }
         )
 
@@ -288,6 +309,14 @@ def keyed_scoring(stream: DataFrame, shards: int = DEFAULT_SHARDS, swap: str = "
     )
 
 
+def complete(scored: DataFrame, versions: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
+    """Score what the stream left open, by data type and version; works on a table or inside foreachBatch."""
+    inputs = [F.get("features", F.lit(i)).alias(c) for i, c in enumerate(columns)]
+    open_rows = scored.where(F.col("features").isNotNull()).drop("result")
+    done = score_resolved(open_rows.select("*", *inputs), versions, columns)
+    return scored.where(F.col("features").isNull()).drop("features").unionByName(done.drop("features", *columns))
+
+
 def unscored(scored: DataFrame, mode: str = "drop") -> DataFrame:
     """`drop` records that had no model, or keep them with null."""
     return scored if mode == "null" else scored.where(F.col("version").isNotNull() | F.col("is_model"))
