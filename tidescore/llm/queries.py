@@ -103,6 +103,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 CHECKS: dict[str, str] = {
+    "op2_substring_dedup": """
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+starts AS (SELECT rid, ws, unnest(range(1, len(ws) - 33)) AS i FROM w),
+copies AS (SELECT rid, i FROM starts QUALIFY count(*) OVER (PARTITION BY array_to_string(ws[i : i + 34], ' ')) > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS j FROM copies),
+words AS (SELECT rid, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY j) AS kept FROM words ANTI JOIN gone USING (rid, j) GROUP BY rid),
+lost AS (SELECT rid, count(*) AS n FROM gone GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(lost.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (rid) LEFT JOIN lost USING (rid)
+""",
+    "op5_rotated_codes": """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON vec_id = least.a LEFT JOIN counts ON vec_id = counts.a
+""",
     "op7_url_filters": """
 WITH rules(verdict, rhost, rpath) AS (VALUES """ + ", ".join(str(r) for r in URL_RULES) + """),
 after AS (SELECT page_id, row_number() OVER () AS rid,
