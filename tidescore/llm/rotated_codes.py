@@ -31,7 +31,8 @@ from tidescore.llm.vector_rows import item_type, matrix, rotation, runs, sound_r
 from tidescore.session import scratch_table
 
 PER_BUCKET = 32
-BLOCK = 2048
+BLOCK = 1024
+PAIRS = 16_384  # pairs whose values are held at a time
 EPS = 4.0
 
 
@@ -72,7 +73,8 @@ def linked_pairs(x: np.ndarray, code: np.ndarray, factor: np.ndarray, cosine: fl
     estimate = turned @ signs.T / factor[None, :].astype(np.float32)
     bound = EPS * np.sqrt(np.maximum(1 - factor**2, 0) / (factor**2 * max(1, dims - 1)))
     i, j = np.nonzero(np.triu(estimate + bound[None, :].astype(np.float32) >= cosine, 1))
-    near = np.concatenate([(x[i[a : a + 65_536]] * x[j[a : a + 65_536]]).sum(axis=1) >= cosine for a in range(0, len(i), 65_536)] or [np.zeros(0, bool)])
+    near = np.concatenate([np.zeros(0, bool), *((x[i[a : a + PAIRS]] * x[j[a : a + PAIRS]]).sum(axis=1) >= cosine
+                                                for a in range(0, len(i), PAIRS))])
     return i[near], j[near]
 
 
@@ -111,8 +113,8 @@ def block_links(kind: str, cosine: float, bits: int, count: int):
             used = np.unique(np.concatenate([i, j]))
             own = bands(x[used], bits, count)
             a, b = np.searchsorted(used, i), np.searchsorted(used, j)
-            fresh = np.argmax(own[a] == own[b], axis=1) == band if len(i) <= 1 << 20 else np.concatenate(
-                [np.argmax(own[a[s : s + 65_536]] == own[b[s : s + 65_536]], axis=1) == band for s in range(0, len(a), 65_536)])
+            fresh = np.concatenate([np.argmax(own[a[s : s + PAIRS]] == own[b[s : s + PAIRS]], axis=1) == band
+                                    for s in range(0, len(a), PAIRS)])
             n = np.bincount(i[fresh], weight[j[fresh]], len(rep)) + np.bincount(j[fresh], weight[i[fresh]], len(rep))
             some = np.flatnonzero(n)
             label = labels_of(len(rep), i, j)
