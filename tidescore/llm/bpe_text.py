@@ -16,7 +16,7 @@ SAFE_GAP = regex.compile(r"(?<=\S) (?=\S)")
 EDGE_SPACE = regex.compile(r"\A\s|\s\Z|\A\Z")
 LONGEST_KEPT = 48
 CLOSING = tuple(".,!?;:")
-KEPT = 250_000
+KEPT = 200_000  # entries of one generation of a cache
 LATIN_END = "\u0250"  # below it, what Python calls a letter is one in every Unicode version
 
 
@@ -77,7 +77,9 @@ class TextEncoder:
         self.encode_word, self.kept = encode_word, kept
         self.special = {s: np.array([i], "<u4").tobytes() for s, i in special.items()}
         self.cut = regex.compile("|".join(f"({regex.escape(s)})" for s in special)) if special else None
+        # Two generations: a full one becomes the older, which gives up what is still asked for.
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
@@ -95,18 +97,22 @@ class TextEncoder:
 
     def after_space(self, chunk: str) -> bytes:
         """Ids of a chunk that a single space precedes."""
-        if chunk and max(chunk) < LATIN_END and chunk.isalpha():
-            found = self.encode_word(" " + chunk)
-        elif chunk[-1:] in CLOSING and chunk[:-1].isalpha() and max(chunk) < LATIN_END:
-            stem = chunk[:-1]
-            found = (self.chunks.get(stem) or self.encode_word(" " + stem)) + self.word(chunk[-1])
-        elif EDGE_SPACE.search(chunk):
-            raise _Unsafe
-        else:
-            found = self.run(" " + chunk)
+        found = self.older.get(chunk)
+        if found is None:
+            simple = chunk.isascii() or max(chunk) < LATIN_END
+            if simple and chunk.isalpha():
+                found = self.encode_word(" " + chunk)
+            elif simple and chunk[-1:] in CLOSING and chunk[:-1].isalpha():
+                stem = chunk[:-1]
+                found = self.chunks.get(stem) or self.older.get(stem) or self.encode_word(" " + stem)
+                found += self.word(chunk[-1])
+            elif EDGE_SPACE.search(chunk):
+                raise _Unsafe
+            else:
+                found = self.run(" " + chunk)
         if len(chunk) <= LONGEST_KEPT:
             if len(self.chunks) >= self.kept:
-                self.chunks.clear()
+                self.older, self.chunks = self.chunks, {}
             self.chunks[chunk] = found
         return found
 
