@@ -118,7 +118,7 @@ def document_key(id_col: str, text_col: str) -> Column:
 
 
 def recurring_anchors(docs: DataFrame, window: int) -> DataFrame:
-    """Anchors that occur more than once: anchor, whether all of their blocks are equal (`pure`)."""
+    """Anchors that occur more than once: anchor, whether all of their blocks are equal (`pure`), and the least content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in texts_of(batches, 0):
@@ -130,7 +130,7 @@ def recurring_anchors(docs: DataFrame, window: int) -> DataFrame:
     rows = docs.select("text").mapInArrow(run, "anchor long, content long")
     return scratch_table(
         rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("a"), F.max("content").alias("b"))
-        .where(F.col("n") > 1).select("anchor", (F.col("a") == F.col("b")).alias("pure")),
+        .where(F.col("n") > 1).select("anchor", (F.col("a") == F.col("b")).alias("pure"), F.col("a").alias("content")),
         "anchors",
     )
 
@@ -166,16 +166,16 @@ def recurring_blocks(docs: DataFrame, pure: np.ndarray, mixed_map: np.ndarray, w
                 for i in np.flatnonzero(whole | edge):
                     at, n = int(first[i]), int(count[i])
                     hashes = windows[at : at + n].tobytes() if edge[i] else None
-                    out.append((anchor[i], content[i], key, at, n, bool(whole[i]), hashes))
+                    out.append((anchor[i], content[i], key, at, n, hashes))
             if out:
-                a, c, k, at, n, whole, hashes = zip(*out)
+                a, c, k, at, n, hashes = zip(*out)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.array(a, np.uint64).view(np.int64)), pa.array(np.array(c, np.uint64).view(np.int64)),
-                     pa.array(k, pa.int64()), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(whole),
+                     pa.array(k, pa.int64()), pa.array(at, pa.int32()), pa.array(n, pa.int32()),
                      pa.array(hashes, pa.binary())],
-                    ["anchor", "content", "key", "at", "n", "whole", "windows"])
+                    ["anchor", "content", "key", "at", "n", "windows"])
 
-    schema = "anchor long, content long, key long, at int, n int, whole boolean, windows binary"
+    schema = "anchor long, content long, key long, at int, n int, windows binary"
     return scratch_table(docs.select("text", "key").mapInArrow(run, schema), "blocks")
 
 
@@ -203,10 +203,6 @@ def copied_factors(docs: DataFrame, window: int) -> DataFrame:
     anchors = recurring_anchors(docs, window)
     found = recurring_blocks(
         docs, bitmap(anchors.where("pure")), bitmap(anchors.where("not pure")), window)
-    pure = anchors.where("pure").select(F.col("anchor").alias("known"))
-    whole = found.where("whole").join(pure, F.col("anchor") == F.col("known")).select(
-        "key", F.col("at").alias("low"), (F.col("at") + F.col("n") + (window - 1)).alias("high"))
-
     edges = found.where(F.col("windows").isNotNull())
     # Equal content means equal windows, so any member stands for its class.
     classes = scratch_table(
@@ -214,8 +210,10 @@ def copied_factors(docs: DataFrame, window: int) -> DataFrame:
             F.count(F.lit(1)).alias("members"), F.min("key").alias("key"), F.min("at").alias("at"),
             F.first("windows").alias("windows")),
         "block-classes")
-    copies = classes.where("members > 1").select(F.col("anchor").alias("known"), F.col("content").alias("same"))
-    equal = edges.join(copies, (F.col("anchor") == F.col("known")) & (F.col("content") == F.col("same"))).select(
+    # Blocks copied as a whole: all of an anchor whose blocks are equal, and classes with more than one member.
+    copies = anchors.where("pure").select("anchor", "content").union(
+        classes.where("members > 1").select("anchor", "content")).toDF("known", "same")
+    whole = found.join(copies, (F.col("anchor") == F.col("known")) & (F.col("content") == F.col("same"))).select(
         "key", F.col("at").alias("low"), (F.col("at") + F.col("n") + (window - 1)).alias("high"))
     each = unpacked(classes)
     shared = scratch_table(
@@ -225,7 +223,7 @@ def copied_factors(docs: DataFrame, window: int) -> DataFrame:
     single = unpacked(classes.where("members = 1"))
     ends = single.join(shared, (F.col("anchor") == F.col("known")) & (F.col("hash") == F.col("same"))).select(
         "key", F.col("at").alias("low"), (F.col("at") + window).alias("high"))
-    return whole.union(equal).union(ends)
+    return whole.union(ends)
 
 
 def remove_duplicates(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
