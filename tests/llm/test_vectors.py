@@ -48,6 +48,34 @@ def test_search_against_brute_force(spark, kind):
     assert hits / (20 * len(got)) >= 0.9
 
 
+def test_many_queries_in_a_block_are_dealt_out(spark, monkeypatch):
+    """No task scores more than a slice at a time, and shares give what whole blocks give."""
+    x = np.random.default_rng(6).standard_normal((900, 8)).astype("f4")
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    best, most = H.best_of, 256
+
+    def watched(scores, reps, k):
+        if len(scores) > most:
+            raise ValueError(f"{len(scores)} queries at a time")
+        return best(scores, reps, k)
+
+    monkeypatch.setattr(H, "best_of", watched)
+    whole = sorted(tuple(r) for r in H.search(frame, F.col("id") >= 0).collect())
+    monkeypatch.setattr(H, "SHARE_QUERIES", 50)
+    assert sorted(tuple(r) for r in H.search(frame, F.col("id") >= 0).collect()) == whole
+    assert len(whole) == 900 * 20
+
+
+def test_shares_meet_once(spark):
+    there = spark.range(300).select((F.col("id") % 3).alias("block"), F.col("id").alias("rep"))
+    asking = spark.range(1000).select(F.when(F.col("id") < 900, 0).otherwise(1).cast("long").alias("block"), F.col("id").alias("rep"))
+    data, queries = H.shares(there, asking, 100)
+    sizes = {(r.block, r.share): r["count"] for r in queries.groupBy("block", "share").count().collect()}
+    assert set(sizes) == {(0, i) for i in range(9)} | {(1, 0)} and max(sizes.values()) <= 150
+    met = data.alias("d").join(queries.alias("q"), ["block", "share"]).select("block", "d.rep", "q.rep")
+    assert met.count() == met.distinct().count() == 100 * 900 + 100 * 100
+
+
 def test_search_of_few_rows(spark):
     frame = spark.createDataFrame([(20, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 1.0]), (3, [2.0, 0.0])], "vec_id long, embedding array<double>")
     got = [tuple(r) for r in H.search(frame, F.col("id") % 20 == 0, dims=2).orderBy("rank").collect()]

@@ -32,6 +32,8 @@ from tidescore.session import scratch_table
 
 FIT_ROWS = 4096  # vectors that set the bounds of the projections
 FIT_QUERIES = 96  # queries that set the width of the windows
+SHARE_QUERIES = 4096  # queries of a block that go to one task, about as many as a block has rows
+SLICE_QUERIES = 256  # queries scored at a time
 
 
 def hilbert_number(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -143,6 +145,17 @@ def window_radius(placed: DataFrame, truth: DataFrame, recall: float, least: int
     return max(least, int(np.ceil(width or 0)))
 
 
+def shares(there: DataFrame, asking: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the blocks (`block`, `rep`) with `share`: a block's queries dealt out `most` a share or
+    so, and its data rows repeated for each share. Every query meets every data row of its block once.
+    """
+    counted = asking.groupBy(F.col("block").alias("of")).agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
+    parts = scratch_table(counted, "shares")
+    same = F.col("block") == F.col("of")
+    data = there.join(parts, same).select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("share"), "rep")
+    return data, asking.join(parts, same).select("block", F.pmod(F.xxhash64("rep"), "parts").alias("share"), "rep")
+
+
 def search(
     rows: DataFrame, is_query: Column, k: int = 20, curves: int = 16, dims: int = 6, recall: float = 0.95,
     least_window: int = 64, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -193,23 +206,28 @@ def search(
     vectors = classes.select(F.col("rep").alias("of"), "vector")
     there = placed.where("asking = 0").select(F.floor(F.col("place") / block).alias("block"), "rep")
     reach = F.sequence(F.floor(F.greatest(F.col("place") - radius, F.lit(0)) / block), F.floor((F.col("place") + radius) / block))
-    asking = placed.where("asking = 1").select(F.explode(reach).alias("block"), "rep").distinct()
+    # Two curves can reach one block, so a query may be in it twice; its lists merge below.
+    asking = placed.where("asking = 1").select(F.explode(reach).alias("block"), "rep")
+    there, asking = shares(there, asking, SHARE_QUERIES)
 
-    def with_vector(seats: DataFrame) -> DataFrame:
+    def with_vector(seats: DataFrame):
         joined = seats.join(vectors, F.col("rep") == F.col("of"))
-        return joined.select(*[F.col(c).alias(c) for c in ("block", "rep", "vector")])
+        return joined.select(*[F.col(c).alias(c) for c in ("block", "share", "rep", "vector")]).groupBy("block", "share")
 
     def rerank(data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(data) or not len(queries):
             return pd.DataFrame({"query": [], "rep": [], "score": []})
         x, q = matrix(data["vector"].tolist(), kind), matrix(queries["vector"].tolist(), kind)
-        row, column = best_of(q @ x.T, data["rep"].to_numpy(), spare)
-        # Summed the same way wherever a pair meets, so that its scores agree.
-        exact = (q[row] * x[column]).sum(axis=1)
-        return pd.DataFrame({"query": queries["rep"].to_numpy()[row], "rep": data["rep"].to_numpy()[column], "score": exact})
-
-    found = with_vector(there).groupBy("block").cogroup(with_vector(asking).groupBy("block")).applyInPandas(
-        rerank, "query long, rep long, score double")
+        reps, askers, best = data["rep"].to_numpy(), queries["rep"].to_numpy(), []
+        for at in range(0, len(q), SLICE_QUERIES):
+            part = q[at : at + SLICE_QUERIES]
+            row, column = best_of(part @ x.T, reps, spare)
+            # Summed the same way wherever a pair meets, so that its scores agree.
+            exact = (part[row] * x[column]).sum(axis=1)
+            best.append(pd.DataFrame({"query": askers[at + row], "rep": reps[column], "score": exact}))
+        return pd.concat(best)
+
+    found = with_vector(there).cogroup(with_vector(asking)).applyInPandas(rerank, "query long, rep long, score double")
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
     best = (
         found.groupBy("query", "rep").agg(F.max("score").alias("score"))
