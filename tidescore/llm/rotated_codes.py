@@ -6,9 +6,11 @@ and with D dimensions the error stays below eps * sqrt((1 - f * f) / (f * f * (D
 probability that falls exponentially with eps squared. Pairs whose bound reaches the threshold are
 recomputed exactly; no pair links on its estimate.
 
-Candidate pairs share a band of bits of some rotation's code. The bands are as wide as leaves some
-tens of vectors per bucket at the table's size, and there are so many that a pair at the threshold
-meets with probability 1 - `miss`. A bucket above a block is dealt out as pairs of blocks. A block
+Candidate pairs share a band of sign bits under random directions of their own. The bands are as wide as
+leaves some tens of vectors per bucket at the table's size, and there are so many that a pair at the
+threshold meets with probability 1 - `miss`: the directions are independent normal vectors, each of which
+gives a pair's vectors one sign with probability 1 - angle / pi, so bits and bands of a pair are independent
+and the rate is exact at any size and number of dimensions. Pairs that never meet are not found. A bucket above a block is dealt out as pairs of blocks. A block
 counts each pair only in the first band its two vectors share, and gives link counts and a spanning
 set of links, never all pairs.
 
@@ -20,6 +22,7 @@ id links with nothing and is not kept; repeated ids count as rows; an empty tabl
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,15 +51,16 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+@lru_cache(maxsize=1)
+def directions(dims: int, bits: int, count: int) -> np.ndarray:
+    """Independent normal directions of each band (band, dims, bits), the same on every executor."""
+    return np.random.default_rng(1).standard_normal((count, dims, bits))
+
+
 def bands(x: np.ndarray, bits: int, count: int) -> np.ndarray:
-    """Band values of unit vectors: one column per band, cut from the codes of as many rotations as needed."""
-    dims, out = x.shape[1], []
-    each = dims // bits
+    """Band values of unit vectors: one column per band."""
     weights = 1 << np.arange(bits, dtype=np.int64)
-    for r in range(-(-count // each)):
-        signs = x @ rotation(r + 1, dims, dims) > 0
-        out += [signs[:, i * bits : (i + 1) * bits] @ weights for i in range(each)]
-    return np.stack(out[:count], axis=1)
+    return np.stack([(x @ d > 0) @ weights for d in directions(x.shape[1], bits, count)], axis=1)
 
 
 def codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +132,7 @@ def block_links(kind: str, cosine: float, bits: int, count: int):
 
 
 def near_duplicates(
-    rows: DataFrame, cosine: float = 0.95, miss: float = 1e-3, id_col: str = "vec_id", vector_col: str = "embedding"
+    rows: DataFrame, cosine: float = 0.95, miss: float = 1e-6, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """Per row: id, n_links, component_id (smallest id reachable, itself included), kept (id = component_id)."""
     sound = sound_rows(rows, id_col, vector_col)
