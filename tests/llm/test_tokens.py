@@ -124,6 +124,25 @@ def test_packing_carries_only_so_many_bins(spark):
     assert np.frombuffer(bytes(kept.ids), "<u4").tolist() == [*library_ids("a b"), 2]
 
 
+def test_groups_do_not_grow_with_the_bins(spark):
+    """A third of all rows in bins that merge with nothing, and one bin per partition that fits one of them."""
+    rng = random.Random(3)
+    bins = [(p << packing.BIN_BITS | i, rng.randint(520, 1000)) for p in range(16) for i in range(1000)]
+    small = [(p << packing.BIN_BITS | 1000, rng.randint(20, 500)) for p in range(16)]
+    frame = spark.createDataFrame(bins + small, "bin long, fill long")
+    moved = packing.repack(frame, 16, 1024, 65_536).collect()
+    assert len(moved) <= 16 * 17
+    fills, sums = dict(bins + small), {}
+    for r in sorted(moved, key=lambda r: (r.parent, r.base)):
+        assert r.base == sums.get(r.parent, 0)
+        sums[r.parent] = r.base + fills[r.bin]
+    assert max(sums.values()) <= 1024 and {b for b, _ in small} <= {r.bin for r in moved}
+    fit = packing.BestFit(1024)
+    for fill in sorted(fills.values(), reverse=True):
+        fit.place(fill)
+    assert len(fills) - len(moved) + len(sums) == fit.opened
+
+
 def test_best_fit_takes_the_tightest_room():
     fit = packing.BestFit(10)
     assert [fit.place(n) for n in (7, 8, 2, 3, 5, 5)] == [(0, 0), (1, 0), (1, 8), (0, 7), (2, 0), (2, 5)]

@@ -6,8 +6,10 @@
    repack theirs by best fit, whole bins as items, then groups of groups, up to one root.
 3. Pieces learn their final sequence by a join on their first bin.
 
-Only bin numbers and fills travel up the tree. A group hands on at most `carried` bins, the emptiest;
-fuller ones are done as they are, so no group grows with the data and no piece is ever dropped.
+Only bin numbers and fills travel up the tree. Two bins merge only if one is at most half full, and best
+fit leaves at most one such bin per partition or group. So a group of `fan` merges at most `fan` fuller bins,
+the emptiest serving best: each member hands up its `fan` + 1 emptiest bins, cut before they meet, whatever
+the number of rows. The others are sequences as they stand; no piece is ever dropped.
 
 Defined cases: a null or empty text is a document of the end id alone; a document longer than a
 sequence has a shorter first piece and whole pieces after it; repeated rows are packed as often as
@@ -23,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidescore.llm.bpe_automaton import vocabulary_text
@@ -123,20 +125,24 @@ def pack_partitions(docs: DataFrame, path: str, size: int, end_id: int, id_col:
     return source.mapInArrow(run, PIECES)
 
 
-def repack(bins: DataFrame, divisor: int, size: int, carried: int) -> DataFrame:
-    """One level of the tree: bins (`bin`, `fill`) of one group by best fit into fewer (`parent`, `base`)."""
+def repack(bins: DataFrame, divisor: int, size: int, carried: int, fan: int = 16) -> DataFrame:
+    """One level of the tree: bins (`bin`, `fill`) of one group by best fit into fewer (`parent`, `base`).
+
+    Of each of a group's `fan` members only the emptiest bins are read, at most `carried` of them.
+    """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["fill", "bin"], kind="stable")
-        group = group.head(carried).iloc[::-1]
+        group = group.sort_values(["fill", "bin"], kind="stable").iloc[::-1]
         fit, opener, out = BestFit(size), {}, []
         for number, fill in zip(group["bin"], group["fill"]):
             at, base = fit.place(int(fill))
             out.append((number, opener.setdefault(at, number), base))
         return pd.DataFrame(out, columns=["bin", "parent", "base"])
 
-    key = F.floor(F.shiftright("bin", BIN_BITS) / divisor)
-    return bins.groupBy(key.alias("group")).applyInPandas(run, "bin long, parent long, base long")
+    partition = F.shiftright("bin", BIN_BITS)
+    emptiest = Window.partitionBy(F.floor(partition / (divisor // fan))).orderBy("fill", "bin")
+    handed = bins.withColumn("_n", F.row_number().over(emptiest)).where(F.col("_n") <= min(carried, fan + 1)).drop("_n")
+    return handed.groupBy(F.floor(partition / divisor).alias("group")).applyInPandas(run, "bin long, parent long, base long")
 
 
 def pack(
@@ -158,7 +164,7 @@ def pack(
     while True:
         sums = where.groupBy("sequence").agg(F.sum("fill").alias("total"))
         items = sums.where(F.col("total") < done).select(F.col("sequence").alias("bin"), F.col("total").alias("fill"))
-        moved = repack(items, divisor, size, carried).select(
+        moved = repack(items, divisor, size, carried, fan).select(
             F.col("bin").alias("moved"), "parent", F.col("base").alias("shift"))
         where = scratch_table(
             where.join(moved, F.col("sequence") == F.col("moved"), "left").select(
