@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidescore.llm import quality, toxicity
-from tidescore.llm.labelled import fold_of
+from tidescore.llm.labelled import fold_of, labelled_sample
 from tidescore.llm.queries import QUERIES, table
 
 CASES = [("op3_toxicity", "toxic", 5, 0), ("op10_quality", "quality", 3, 1)]
@@ -78,3 +78,13 @@ def test_grams_are_distinct():
     grams = toxicity.Grams()
     found = grams("abcdefgh abcdefgh ABCDEFGH")
     assert len(found) == len(set(found.tolist())) and set(found.tolist()) == set(grams("abcdefgh ABCDEFGH abcdefgh").tolist())
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    docs = [(i, f"text {i}") for i in range(40)] + [(7, f"again {i}") for i in range(400)] + [(8, None)] * 50
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    got = [labelled_sample(frame.repartition(n), labels, "toxic", F.lit(True), 40, "doc_id", "text").collect() for n in (1, 5)]
+    assert sorted(r.doc for r in got[0]) == list(range(40))
+    assert {(r.doc, r.text, r.label) for r in got[0]} == {(r.doc, r.text, r.label) for r in got[1]}
+    assert all((r.doc, r.text) in docs or (r.doc, r.text) == (8, "") for r in got[0])

@@ -24,7 +24,8 @@ def labelled_sample(
     """At most `rows` labelled rows for which `fold` (an expression over `doc`) holds: doc, label, rank, text.
 
     The rows are those first in the order of a hash of the id. Conflicting labels of one id count as
-    the larger; null ids and labels are left out. The list of ids is bounded by `rows`, so it is sent
+    the larger; of several texts of one id that with the smallest hash is taken, so an id is one row
+    however often it repeats; null ids and labels are left out. The list of ids is bounded by `rows`, so it is sent
     to the scan and only the texts of the sample move.
     """
     chosen = (
@@ -33,7 +34,9 @@ def labelled_sample(
         .orderBy(F.xxhash64("doc"), "doc").limit(rows)
     )
     texts = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    joined = texts.join(F.broadcast(chosen), "doc").repartition(SAMPLE_PARTS, F.xxhash64("doc", "text"))
+    single = texts.join(F.broadcast(chosen), "doc").groupBy("doc", "label").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")).select("doc", "text", "label")
+    joined = single.repartition(SAMPLE_PARTS, F.xxhash64("doc", "text"))
     return scratch_table(joined.withColumn("hash", F.xxhash64("doc")), "labelled")
 
 
