@@ -57,6 +57,17 @@ def test_texts(spark):
     assert S.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(500)]
+    a, b, c, d = (" ".join(rng.choices(words, k=80)) for _ in range(4))
+    rows = [(3, a), (7, a), (7, b), (None, a), (None, a.upper()), (None, c), (None, c.upper()), (None, c), (9, d), (9, d.upper()),
+            (None, None), (None, ""), (None, b)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, (r.text or "").lower()) for r in S.keep_first(frame).collect()]
+    assert sorted(got, key=str) == sorted([(3, a), (7, b), (None, c), (9, d), (None, "")], key=str)
+
+
 @pytest.mark.parametrize("bits", [22, 21])
 def test_words_one_bit_apart_share_a_key(bits):
     words = np.random.default_rng(bits).integers(0, 1 << bits, 3000)

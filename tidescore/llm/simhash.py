@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidescore.llm.labelled import texts_of
@@ -54,16 +54,21 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id and fingerprint as a signed long."""
-    source = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.col(id_col).alias("id"))
+    """Per row: id, hash of the text, and fingerprint as a signed long."""
+    source = docs.select(
+        F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.col(id_col).alias("id"), text_hash(text_col).alias("hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in texts_of(batches, 0):
             found = np.array([fingerprint(t, shingle) for t in texts], "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found)], ["id", "print"])
+            yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(found)], ["id", "hash", "print"])
 
-    return source.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, print long")
+    return source.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, hash long, print long")
 
 
 @lru_cache(maxsize=1)
@@ -253,16 +258,21 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     return edges.union(block_pairs(deferred, distance).select("a", "b"))
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """Per row: id, fingerprint (16 hex digits) and component_id, the smallest id linked to it by any chain."""
-    rows = scratch_table(fingerprints(docs, shingle, id_col, text_col), "prints")
+def rooted_classes(rows: DataFrame, distance: int) -> DataFrame:
+    """Distinct fingerprints of `rows` (id, print): print, its smallest id (least), and its component (root)."""
     classes = scratch_table(rows.groupBy("print").agg(F.min("id").alias("least")), "classes")
     found = components(links(classes, distance))
-    rooted = scratch_table(
+    return scratch_table(
         classes.join(found, F.col("print") == F.col("node"), "left")
         .select("print", "least", F.coalesce("root", "print").alias("root")), "rooted")
+
+
+def near_duplicates(
+    docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per row: id, fingerprint (16 hex digits) and component_id, the smallest id linked to it by any chain."""
+    rows = scratch_table(fingerprints(docs, shingle, id_col, text_col).select("id", "print"), "prints")
+    rooted = rooted_classes(rows, distance)
     names = scratch_table(
         rooted.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component_id")), "names")
     named = scratch_table(
@@ -274,7 +284,16 @@ def near_duplicates(
 def keep_first(
     docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One document of each component, that with the smallest id, with all columns; repeated rows of it once."""
-    found = near_duplicates(docs, shingle, distance, id_col, text_col)
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([id_col, text_col])
+    """One row of each component with all columns: the smallest id, null last; among its texts the smallest
+    (fingerprint, hash); repeated rows of it once. The row is known again by its id and text, as ids may repeat.
+    """
+    rows = scratch_table(fingerprints(docs, shingle, id_col, text_col), "prints")
+    # One row per fingerprint first, so that a large component of few fingerprints is a few rows.
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "print", "hash")
+    firsts = scratch_table(rows.groupBy("print").agg(F.min(order).alias("first")), "firsts")
+    rooted = rooted_classes(rows, distance).select(F.col("print").alias("known"), "root")
+    kept = firsts.join(rooted, F.col("print") == F.col("known")).groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.id").alias("_kept"), F.col("first.hash").alias("_kept_hash"))
+    keyed = docs.withColumn("_hash", text_hash(text_col))
+    same = F.col(id_col).eqNullSafe(F.col("_kept")) & (F.col("_hash") == F.col("_kept_hash"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, "_hash"]).drop("_hash")
