@@ -1,12 +1,17 @@
-"""Substring deduplication by parsing documents relative to blocks of the whole corpus.
+"""Substring deduplication by joining the documents' blocks with those of the whole corpus.
+
+Relative Lempel-Ziv would factor a document greedily, left to right, each factor the longest match with the
+reference blocks. That parse is replaced by joins of blocks on their anchors: the answer needs which windows
+occur elsewhere, not the factors, and a greedy parse needs every reference block at hand for each document.
 
 Every document is cut into reference blocks: each window of `window` words belongs to its smallest
 hashed gram (the leftmost one if equal), the anchor, and a block is a run of windows with one anchor.
 Cutting depends on content alone, so equal passages are cut alike wherever they stand, and the index
 of all blocks of the corpus is a table keyed by anchor.
 
-A document is then parsed from left to right against that index. A block that occurs elsewhere as a
-whole is a copied factor, at least one window long; neighbouring factors run together. Where a
+A document's blocks are then joined with that index, in no order and without extending matches. A block
+that occurs elsewhere as a whole is a copied factor, at least one window long; neighbouring factors run
+together. Where a
 passage begins or ends, a block differs from the others of its anchor and is not copied as a whole;
 at these factor boundaries its windows are looked up one by one among the blocks of the same anchor.
 Words under copied windows are the duplicate spans. This finds exactly the windows whose words start
