@@ -158,3 +158,36 @@ def train_tree_nodes(spark, folder):
     counts = leaves.select(F.posexplode("impurityStats").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n"))
     labels = F.array(*[F.lit(v) for v in fitted.labels])
     return counts.select(F.element_at(labels, F.col("k") + 1).alias("label"), "n")
+
+
+# The whole programs: eleven features and the programs' own settings. SQL cannot fit them; tests/test_training.py
+# holds them against their own coefficients and nodes.
+@query("train_linear_summary_full")
+def train_linear_summary_full(spark, folder):
+    return export.linear_summary(spark, fit.fit_linear(training_data(spark, folder)))
+
+
+@query("train_linear_coefficients_full")
+def train_linear_coefficients_full(spark, folder):
+    return export.coefficients(spark, fit.fit_linear(training_data(spark, folder)))
+
+
+@query("train_glm_summary_full")
+def train_glm_summary_full(spark, folder):
+    return export.glm_summary(spark, fit.fit_glm(training_data(spark, folder)))
+
+
+@query("train_glm_measures_full")
+def train_glm_measures_full(spark, folder):
+    return export.glm_measures(spark, fit.fit_glm(training_data(spark, folder), family="gaussian"))
+
+
+@query("train_glm_residuals_full")
+def train_glm_residuals_full(spark, folder):
+    """One deviance residual per row."""
+    return export.deviance_residuals(fit.fit_glm(training_data(spark, folder)))
+
+
+@query("train_tree_nodes_full")
+def train_tree_nodes_full(spark, folder):
+    return export.saved_nodes(spark, fit.fit_tree_classifier(training_data(spark, folder))).drop("impurityStats")
