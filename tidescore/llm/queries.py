@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidescore.llm import (
     bpe_automaton,
     hilbert_search,
+    merkle_manifest,
     packing,
     quality,
     rotated_codes,
@@ -89,6 +90,60 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), default_path(), size=1024, end_id=2)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), scratch_path(spark, "manifest")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, lowered).otherwise(F.col("text"))
+    merkle_manifest.write_manifest(
+        docs, path, ["doc_id", "source", "lang", "n_chars", "text"], presented={"text": changed})
+    return merkle_manifest.audit(spark, path).withColumnRenamed("id", "doc_id")
+
+
+def merkle_sql(leaf_steps: int = 6, top_steps: int = 3) -> str:
+    """The manifest with every step of the trees written out: enough for 16**6 rows a source and 16**3 sources."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+docs AS (SELECT doc_id, coalesce(':' || source, '-') AS tree, {head} AS head, text, xor(4294967295::BIGINT,
+    list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS crc FROM documents, crc_table),
+leaves AS (SELECT row_number() OVER () AS rid, doc_id, tree, sha256(head || {field('text')}) AS leaf,
+    sha256(head || CASE WHEN crc % 5 = 0 THEN {field(lowered)} ELSE {field('text')} END) AS shown FROM docs),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM leaves),
+n0 AS (SELECT tree, p, leaf AS d FROM placed),
+f0 AS (SELECT rid, doc_id, leaf, tree, p, shown AS folded, '' AS proof FROM placed)"""]
+
+    def step(k: int) -> None:
+        """Siblings of every node, the next nodes, and the rows' paths, one step up; a lone node stays."""
+        w = f"(PARTITION BY tree, p // 16 ORDER BY p ROWS BETWEEN "
+        parts.append(f"""
+s{k} AS (SELECT tree, p, d, count(*) OVER (PARTITION BY tree) = 1 AS alone,
+    coalesce(string_agg(d, '') OVER {w}UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS x,
+    coalesce(string_agg(d, '') OVER {w}1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS y FROM n{k}),
+n{k + 1} AS (SELECT tree, p // 16 AS p, CASE WHEN any_value(alone) THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY p)) END AS d
+    FROM s{k} GROUP BY tree, p // 16),
+f{k + 1} AS (SELECT rid, doc_id, leaf, f.tree, f.p // 16 AS p, CASE WHEN alone THEN folded ELSE sha256(x || folded || y) END AS folded,
+    proof || x || y AS proof{', subroot' if k > leaf_steps else ''} FROM f{k} f JOIN s{k} s ON f.tree = s.tree AND f.p = s.p)""")
+
+    for k in range(leaf_steps):
+        step(k)
+    # The trees' roots become the leaves of the one top tree.
+    parts.append(f"""
+roots AS (SELECT tree, d, row_number() OVER (ORDER BY tree) - 1 AS p FROM n{leaf_steps}),
+n{leaf_steps + 1} AS (SELECT '' AS tree, p, d FROM roots),
+f{leaf_steps + 1} AS (SELECT rid, doc_id, leaf, '' AS tree, r.p, folded, proof, d AS subroot FROM f{leaf_steps} f JOIN roots r ON f.tree = r.tree)""")
+    for k in range(leaf_steps + 1, leaf_steps + 1 + top_steps):
+        step(k)
+    end = leaf_steps + 1 + top_steps
+    return "WITH" + ",".join(parts) + f"""
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = d AS verified
+FROM f{end} JOIN n{end} USING (tree, p)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hilbert_search": op1_hilbert_search,
     "op2_substring_dedup": op2_substring_dedup,
@@ -100,9 +155,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 CHECKS: dict[str, str] = {
+    "op13_merkle_manifest": merkle_sql(),
     "op2_substring_dedup": """
 WITH w AS (SELECT row_number() OVER () AS rid, doc_id,
     list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
