@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidescore.llm import bpe_automaton, packing
-from tidescore.llm.bpe_text import default_path, parse_vocabulary
+from tidescore.llm.bpe_text import default_path, parse_vocabulary, printable_bytes
 
 PATH = default_path()
 LIBRARY = Tokenizer.from_file(PATH)
@@ -64,10 +64,25 @@ def test_gadgets_on_small_merges():
             tokens = out
         return tokens
 
-    for n in range(1, 13):
-        for bits in range(1 << n):
-            word = "".join("ab"[bits >> i & 1] for i in range(n))
-            assert automaton.encode_word(word.encode()) == by_rank(word), word
+    words = ["".join("ab"[bits >> i & 1] for i in range(n)) for n in range(1, 13) for bits in range(1 << n)]
+    together = automaton.encode_words([w.encode() for w in words])
+    for word, ids in zip(words, together):
+        assert automaton.encode_word(word.encode()) == np.frombuffer(ids, "<u4").tolist() == by_rank(word), word
+
+
+def test_words_side_by_side_and_alone():
+    """Words through the arrays, one by one, and through the library's model; some too long for the arrays."""
+    vocabulary = parse_vocabulary(open(PATH, encoding="utf-8").read())
+    automaton = bpe_automaton.Automaton(vocabulary)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("etaoin shrdluíß漢\x00\U0001F600", k=rng.choice([1, 3, 9, 20, 70, 200]))).encode()
+             for _ in range(1500)]
+    together = automaton.encode_words([*words, b""])
+    assert together[-1] == b""
+    spell = {b: c for c, b in printable_bytes().items()}
+    for word, ids in zip(words, together):
+        want = [t.id for t in LIBRARY.model.tokenize("".join(spell[b] for b in word))]
+        assert automaton.encode_word(word) == np.frombuffer(ids, "<u4").tolist() == want
 
 
 def test_other_files_are_refused():
