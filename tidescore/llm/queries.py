@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tidescore.llm import (
     bpe_automaton,
+    collocations,
     hilbert_search,
     merkle_manifest,
     packing,
     quality,
     rotated_codes,
+    sentence_pieces,
     simhash,
     substring_dedup,
     toxicity,
@@ -90,6 +92,19 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), default_path(), size=1024, end_id=2)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.best(collocations.mine(table(spark, sf_dir, "documents")), per_lang=2000)
+    return found.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sentence_pieces.default_path()
+    encoded = sentence_pieces.encode(table(spark, sf_dir, "documents"), path)
+    return sentence_pieces.decode(encoded, path).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text"), 256).alias("decoded_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents"), scratch_path(spark, "manifest")
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -155,10 +170,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
+    "op12_sentencepiece": op12_sentencepiece,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 CHECKS: dict[str, str] = {
+    "op11_collocations": """
+WITH w AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, regexp_split_to_array(regexp_replace(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]', ' ' || chr(10) || ' ', 'g'), '[ \\t]+') AS ws FROM documents),
+flat AS (SELECT rid, lang, unnest(list_filter(ws, lambda x: x <> '')) AS word, generate_subscripts(list_filter(ws, lambda x: x <> ''), 1) AS pos FROM w),
+occ AS (SELECT * FROM flat WHERE word <> chr(10)),
+grams AS (SELECT lang, word AS w1, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3, lead(word, 3) OVER o AS w4,
+    pos, lead(pos, 1) OVER o AS a2, lead(pos, 2) OVER o AS a3, lead(pos, 3) OVER o AS a4 FROM occ WINDOW o AS (PARTITION BY rid ORDER BY pos)),
+f AS (SELECT lang, ws, count(*) AS f FROM (
+    SELECT lang, [w1] AS ws FROM grams
+    UNION ALL SELECT lang, [w1, w2] FROM grams WHERE a2 = pos + 1
+    UNION ALL SELECT lang, [w1, w2, w3] FROM grams WHERE a3 = pos + 2
+    UNION ALL SELECT lang, [w1, w2, w3, w4] FROM grams WHERE a4 = pos + 3) GROUP BY lang, ws HAVING count(*) >= 30),
+totals AS (SELECT lang, count(*) AS n FROM occ GROUP BY lang),
+cand AS (SELECT * FROM f WHERE len(ws) > 1),
+parts AS (SELECT lang, ws, f, unnest(range(1, len(ws))) AS k FROM cand),
+cuts AS (SELECT p.lang, p.ws, p.f AS a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * p.f) // (x.f + y.f) AS score
+    FROM parts p JOIN f x ON x.lang = p.lang AND x.ws = p.ws[1 : k] JOIN f y ON y.lang = p.lang AND y.ws = p.ws[k + 1 :]
+    QUALIFY row_number() OVER (PARTITION BY p.lang, p.ws ORDER BY score, k) = 1),
+starts AS (SELECT lang, ws, f, unnest(range(1, len(ws))) AS i FROM cand),
+inner_parts AS (SELECT lang, ws, f, i, unnest(range(i + 1, len(ws) + 1)) AS j FROM starts),
+dropped AS (SELECT DISTINCT c.lang, c.ws FROM cand c JOIN inner_parts o
+    ON o.lang = c.lang AND o.ws[o.i : o.j] = c.ws AND len(o.ws) > len(c.ws) AND 100 * o.f >= 80 * c.f)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ws, ' ')) AS rank,
+    array_to_string(ws, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+FROM cuts ANTI JOIN dropped USING (lang, ws) JOIN totals USING (lang) QUALIFY rank <= 2000
+""",
     "op13_merkle_manifest": merkle_sql(),
     "op2_substring_dedup": """
 WITH w AS (SELECT row_number() OVER () AS rid, doc_id,
