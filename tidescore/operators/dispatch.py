@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ from tidescore.schemas import FEATURES
 from tidescore.session import fits_broadcast, measured_bytes
 
 ROWS_PER_GROUP = 100_000
+ROWS_PER_CLOCK = 1024  # rows that are scored between two looks at the clock
 MODEL_BYTES_PER_GROUP = 32 * 1024 * 1024
 
 
@@ -33,12 +36,17 @@ def is_sum(params: Column) -> Column:
 
 
 def score_with_versions(records: DataFrame, versions: DataFrame, unscored: str = "drop",
-                        columns: Sequence[str] = FEATURES, snapshot: DataFrame | None = None) -> DataFrame:
+                        columns: Sequence[str] = FEATURES, snapshot: DataFrame | None = None,
+                        duration: str | None = None) -> DataFrame:
     """Resolve each record's version and score it. Adds `version, valid_from, result`.
 
     Coefficients of sums ride along with the version and their score is JVM arithmetic. Models of
     other kinds are looked up by data type and version in Arrow batches. `snapshot` holds the
     models in force before `versions` arrived, one row per data type.
+
+    With `duration`, a column of that name holds the milliseconds a record's scoring took: its share of
+    the time of its slice of a batch (sums; of its slice's rows of its version, other kinds). Sums are
+    then scored in Arrow batches too.
     """
     def light(table: DataFrame) -> DataFrame:
         p = F.col("params")
@@ -48,21 +56,60 @@ def score_with_versions(records: DataFrame, versions: DataFrame, unscored: str =
             F.when(plain, p["coefs"]).alias("_w"), F.when(plain, p["link"]).alias("_l"))
 
     resolved = resolve_after(records, None if snapshot is None else light(snapshot), light(versions), unscored)
-    eta = F.col("_b")
-    for i, x in enumerate(bind_fields(columns, records.columns)):
-        eta = eta + F.col("_w")[i] * x
-    scored = resolved.withColumn("_value", inverse_link_by_name(eta, F.col("_l"))).drop("_b", "_w", "_l")
+    if duration:
+        pair = _timed_sum(columns, records.columns)
+        scored = resolved.withColumn("_pair", pair).withColumns(
+            {"_value": F.col("_pair.value"), "_spent": F.col("_pair.spent")}).drop("_pair", "_b", "_w", "_l")
+    else:
+        eta = F.col("_b")
+        for i, x in enumerate(bind_fields(columns, records.columns)):
+            eta = eta + F.col("_w")[i] * x
+        scored = resolved.withColumn("_value", inverse_link_by_name(eta, F.col("_l"))).drop("_b", "_w", "_l")
     every = versions if snapshot is None else versions.unionByName(snapshot.select(*versions.columns))
     others = every.where(~is_sum(F.col("params")))
     keep = [*records.columns, *[c for c in ("version", "valid_from") if c not in records.columns]]
+    took = [F.when(F.col("_sum"), F.col("_spent")).alias(duration)] if duration else []
     if others.isEmpty():
-        return scored.select(*keep, F.col("_value").alias("result"))
+        return scored.select(*keep, F.col("_value").alias("result"), *took)
     # Versions replaced at the instant they arrived never apply and need not travel.
     times = newest_per_instant(every.select("data_type", "version", "valid_from").distinct())
     others = others.join(times.select("data_type", "version"), ["data_type", "version"], "left_semi")
     key = F.when(~F.col("_sum"), version_key(scored.columns))
-    rest = _score_keyed(scored, key, _keyed_models(others), columns)
-    return rest.select(*keep, F.when(F.col("_sum"), F.col("_value")).otherwise(F.col("result")).alias("result"))
+    rest = _score_keyed(scored, key, _keyed_models(others), columns, timed=duration is not None)
+    took = [F.when(F.col("_sum"), F.col("_spent")).otherwise(F.col("_took")).alias(duration)] if duration else []
+    return rest.select(*keep, F.when(F.col("_sum"), F.col("_value")).otherwise(F.col("result")).alias("result"), *took)
+
+
+def _timed_sum(columns: Sequence[str], available: Sequence[str]) -> Column:
+    """Struct (value, spent) of rows with the coefficients of a sum in `_b`, `_w` and `_l`; other rows have neither."""
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for b, w, link, *inputs in batches:
+            value, spent = np.full(len(b), np.nan), np.full(len(b), np.nan)
+            known = b.is_valid().to_numpy(zero_copy_only=False)
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in inputs])
+            for low in range(0, len(b), ROWS_PER_CLOCK):
+                start = time.perf_counter()
+                rows = low + np.flatnonzero(known[low : low + ROWS_PER_CLOCK])
+                if not len(rows):
+                    continue
+                chosen = pa.array(rows)
+                weights = w.take(chosen).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+                eta = b.take(chosen).to_numpy(zero_copy_only=False).copy()
+                for i in range(weights.shape[1]):
+                    eta += weights[:, i] * x[rows, i]
+                links = np.array([k or "identity" for k in link.take(chosen).to_pylist()], dtype=object)
+                with np.errstate(all="ignore"):
+                    for k in set(links):
+                        value[rows[links == k]] = INVERSE_LINKS[k](eta[links == k])
+                spent[rows] = (time.perf_counter() - start) * 1000.0 / len(rows)
+            yield pa.StructArray.from_arrays(
+                [pa.array(c, pa.float64(), mask=~known) for c in (value, spent)], ["value", "spent"])
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
+    kind = T.StructType([T.StructField("value", T.DoubleType()), T.StructField("spent", T.DoubleType())])
+    # Two runs of a clock differ, so the pair is made once for both of its fields.
+    return F.arrow_udf(run, kind).asNondeterministic()("_b", "_w", "_l", *bind_fields(columns, available))
 
 
 class VersionScorer:
@@ -114,6 +161,18 @@ class VersionScorer:
             out[part] = self.scorers[found[code]](x[part])
         return out
 
+    def timed(self, keys: pd.Series, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores, and each row's share of the milliseconds its version took in its slice."""
+        out, spent = np.full(len(x), np.nan), np.zeros(len(x))
+        for low in range(0, len(x), ROWS_PER_CLOCK):
+            codes, _ = pd.factorize(keys.iloc[low : low + ROWS_PER_CLOCK])
+            order = np.argsort(codes, kind="stable")
+            for rows in np.split(low + order, np.flatnonzero(np.diff(codes[order])) + 1):
+                start = time.perf_counter()
+                out[rows] = self(keys.iloc[rows], x[rows])
+                spent[rows] = (time.perf_counter() - start) * 1000.0 / len(rows)
+        return out, spent
+
 
 def _keyed_models(versions: DataFrame) -> DataFrame:
     return versions.select(version_key(versions.columns).alias("_key"), "params")
@@ -125,28 +184,32 @@ def score_resolved(resolved: DataFrame, versions: DataFrame, columns: Sequence[s
     return _score_keyed(resolved, key, _keyed_models(versions), columns)
 
 
-def _score_keyed(rows: DataFrame, key: Column, models: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Adds `result` where `key` names one of `models` (_key, params); null where it is null."""
+def _score_keyed(rows: DataFrame, key: Column, models: DataFrame, columns: Sequence[str], timed: bool = False) -> DataFrame:
+    """Adds `result` where `key` names one of `models` (_key, params); null where it is null. `timed` adds `_took`."""
     if not fits_broadcast(models):
-        return _score_cogrouped(rows, key, models, columns)
+        return _score_cogrouped(rows, key, models, columns, timed)
     # The check above bounds what passes through the driver here.
     shared = rows.sparkSession.sparkContext.broadcast({r["_key"]: r["params"].asDict(True) for r in models.collect()})
 
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         scorer = VersionScorer(lambda v: shared.value[v])
         for keys, *inputs in batches:
-            out = np.full(len(keys), np.nan)
+            out, took = np.full(len(keys), np.nan), np.full(len(keys), np.nan)
             known = np.flatnonzero(keys.notna().to_numpy())
             x = np.column_stack([c.to_numpy(dtype=float) for c in inputs])
             with np.errstate(all="ignore"):
-                out[known] = scorer(keys.iloc[known], x[known])
-            yield pd.Series(out)
+                if timed:
+                    out[known], took[known] = scorer.timed(keys.iloc[known], x[known])
+                else:
+                    out[known] = scorer(keys.iloc[known], x[known])
+            yield pd.DataFrame({"value": out, "took": took})
 
-    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.DataFrame]}
     # A null from pandas is a NaN score; rows without a key are the only ones without a value.
-    value = F.pandas_udf(run, T.DoubleType())(key, *bind_fields(columns, rows.columns))
-    return rows.withColumn("_key", key).withColumn("_r", value).select(
-        *rows.columns, F.when(F.col("_key").isNotNull(), F.coalesce("_r", F.lit(float("nan")))).alias("result")
+    pair = F.pandas_udf(run, "value double, took double").asNondeterministic()(key, *bind_fields(columns, rows.columns))
+    took = [F.when(F.col("_key").isNotNull(), F.col("_r.took")).alias("_took")] if timed else []
+    return rows.withColumn("_key", key).withColumn("_r", pair).select(
+        *rows.columns, F.when(F.col("_key").isNotNull(), F.coalesce("_r.value", F.lit(float("nan")))).alias("result"), *took
     )
 
 
@@ -156,7 +219,7 @@ def score_cogrouped(resolved: DataFrame, models: DataFrame, columns: Sequence[st
     return _score_cogrouped(resolved, key, _keyed_models(models), columns)
 
 
-def _score_cogrouped(rows: DataFrame, key: Column, models: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _score_cogrouped(rows: DataFrame, key: Column, models: DataFrame, columns: Sequence[str], timed: bool = False) -> DataFrame:
     """Keys are hashed into buckets whose number follows the rows and the model bytes. A bucket with
     many records, because one of its models is hot, is salted into groups of about ROWS_PER_GROUP
     rows, and only its model rows are repeated.
@@ -181,21 +244,23 @@ def _score_cogrouped(rows: DataFrame, key: Column, models: DataFrame, columns: S
     right = used.withColumn("_bucket", bucket).join(salts, "_bucket").select(
         "_bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt"), "_key", "params"
     )
-    schema = T.StructType([*rows.schema.fields, T.StructField("result", T.DoubleType())])
+    added = ["result", "_took"] if timed else ["result"]
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(n, T.DoubleType()) for n in added]])
 
     def run(rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         if rows.empty:
-            return pd.DataFrame(columns=[*keep, "result"])
+            return pd.DataFrame(columns=[*keep, *added])
         known = dict(zip(model["_key"], model["params"]))
         scorer = VersionScorer(lambda v: _plain(known[v]))
         with np.errstate(all="ignore"):
-            result = scorer(rows["_key"], rows[names].to_numpy(dtype=float))
-        return rows[keep].assign(result=result)
+            x = rows[names].to_numpy(dtype=float)
+            values = scorer.timed(rows["_key"], x) if timed else (scorer(rows["_key"], x),)
+        return rows[keep].assign(**dict(zip(added, values)))
 
     keys = ["_bucket", "_salt"]
     done = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
     done = done.withColumn("result", F.coalesce("result", F.lit(float("nan"))))
-    rest = keyed.where(F.col("_key").isNull()).select(*keep, F.lit(None).cast("double").alias("result"))
+    rest = keyed.where(F.col("_key").isNull()).select(*keep, *[F.lit(None).cast("double").alias(n) for n in added])
     return done.unionByName(rest)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidescore.functions.text import epoch_micros
 from tidescore.operators.ordering import carried_before, ordered_chunks
-from tidescore.session import broadcast_limit, checked_broadcast, scratch_table
+from tidescore.session import broadcast_limit, checked_broadcast, row_bytes, scratch_table
 
 # Beyond these the lookup table is no longer small or no longer short to scan; see `resolve`.
 MAX_BROADCAST_MODELS = 2_000_000
@@ -68,7 +68,7 @@ def _lookup_is_small(intervals: DataFrame, grid: DataFrame) -> bool:
     crowd = (
         intervals.join(grid, "data_type")
         .groupBy("data_type", _bucket(epoch_micros(F.col("valid_from"))).alias("_rs_bucket"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json(F.struct(*intervals.columns)))).alias("bytes"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(intervals)).alias("bytes"))
         .agg(F.sum("n").alias("models"), F.max("n").alias("crowd"), F.sum("bytes").alias("bytes"))
         .first()
     )

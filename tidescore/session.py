@@ -6,9 +6,11 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
@@ -75,13 +77,15 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/tidescore-scratch/{spark.sparkContext.applicationId}"
 
 
-_open_scopes: list[list[str]] = []
+# The innermost scope of this thread: batches of two streams run side by side, each in a thread of its own.
+_scope: ContextVar[list[str] | None] = ContextVar("tidescore_scope", default=None)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    if _open_scopes:
-        _open_scopes[-1].append(path)
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
@@ -94,11 +98,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete the scratch tables made inside when it ends; nothing read from them may outlive it."""
     made: list[str] = []
-    _open_scopes.append(made)
+    token = _scope.set(made)
     try:
         yield
     finally:
-        _open_scopes.remove(made)
+        _scope.reset(token)
         for path in made:
             delete_path(spark, path)
 
@@ -128,10 +132,33 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.tidescore.broadcastBytes", str(DEFAULT_BROADCAST_BYTES)))
 
 
+def value_bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value: the length of strings and binaries, eight for numbers and the like, sums of what is nested."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.NumericType, T.BooleanType)):
+        size = F.size(value) * 8
+    elif isinstance(kind, T.ArrayType):
+        each = lambda total, item: total + value_bytes(item, kind.elementType)
+        size = F.aggregate(value, F.lit(0).cast("long"), each)
+    elif isinstance(kind, T.MapType):
+        size = value_bytes(F.map_entries(value), T.ArrayType(T.StructType(
+            [T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])))
+    elif isinstance(kind, T.StructType):
+        size = sum((value_bytes(value[f.name], f.dataType) for f in kind.fields), F.lit(0).cast("long"))
+    else:
+        return F.lit(8).cast("long")
+    return F.coalesce(size.cast("long"), F.lit(0).cast("long")) + 8
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row's values."""
+    return sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16).cast("long"))
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Size of a table's values as JSON text: an upper-side estimate, computed on the executors."""
-    row = df.select(F.sum(F.length(F.to_json(F.struct(*df.columns))) + 32).alias("n")).first()
-    return int(row.n or 0)
+    """Size of a table's values, added up on the executors without rendering any."""
+    return int(df.select(F.sum(row_bytes(df)).alias("n")).first().n or 0)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
