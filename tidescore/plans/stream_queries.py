@@ -17,7 +17,7 @@ from tidescore.schemas import DESCRIPTOR_SCHEMA, FEATURES, MODEL_VERSION_SCHEMA,
 from tidescore.session import scratch_path
 from tidescore.sources import registry, replay
 from tidescore.sources.staged import play, read_staged
-from tidescore.streaming import introspect, keyed, micro_batch, serve, sinks
+from tidescore.streaming import event_time, introspect, keyed, micro_batch, serve, sinks, workspace
 
 REPLAY_SECONDS = 1800
 
@@ -83,6 +83,44 @@ def stream_keyed_mixed(spark, folder):
     return done.select("id", "version", F.round("result", 5).alias("result"))
 
 
+_DAYS_PER_SLICE, _LATE_DAYS = 5, 6
+
+
+def _slice_sql(ts: str, key: str) -> str:
+    """Number of the batch a row comes in: by its time, some rows one batch late, some three."""
+    return (f"(date_diff('day', (SELECT min(ts)::DATE FROM events), {ts}::DATE) // {_DAYS_PER_SLICE} "
+            f"+ CASE WHEN {key} % 7 = 0 THEN 1 ELSE 0 END + CASE WHEN {key} % 31 = 0 THEN 3 ELSE 0 END)")
+
+
+_IN_TIME = (
+    f"WITH {sqltext.EVENTS}, arrived AS (SELECT valid_from AS ts, version AS id, {_slice_sql('valid_from', 'version')} AS batch "
+    f"FROM models UNION ALL SELECT ts, event_id, {_slice_sql('ts', 'event_id')} FROM records), "
+    "marks AS (SELECT batch, coalesce(max(max(epoch_ms(ts))) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) "
+    f"- {_LATE_DAYS * 86_400_000}, -1) AS mark FROM arrived GROUP BY batch), "
+    f"last AS (SELECT max(epoch_ms(ts)) - {_LATE_DAYS * 86_400_000} AS mark FROM arrived), "
+    f"m AS (SELECT models.* FROM models JOIN marks ON batch = {_slice_sql('valid_from', 'version')} WHERE epoch_us(valid_from) > mark * 1000), "
+    f"r AS (SELECT records.* FROM records JOIN marks ON batch = {_slice_sql('ts', 'event_id')}, last "
+    "WHERE epoch_us(ts) > marks.mark * 1000 AND epoch_us(ts) <= last.mark * 1000) "
+    "SELECT r.data_type, event_id, version, round(weight * value, 6) AS result FROM r ASOF JOIN m "
+    "ON r.data_type = m.data_type AND r.ts >= m.valid_from"
+)
+
+
+@query("stream_event_time", _IN_TIME)
+def stream_event_time(spark, folder):
+    """Records and models that come out of time order: each record meets the model of its own time, late rows go."""
+    rows = event_rows(spark, folder)
+    first = inputs.table(spark, folder, "events").agg(F.to_date(F.min("ts")).alias("d")).first().d
+    day = F.date_diff(F.to_date("ts"), F.lit(first))
+    arrival = F.floor(day / _DAYS_PER_SLICE) + F.when(F.col("id") % 7 == 0, 1).otherwise(0) + F.when(
+        F.col("id") % 31 == 0, 3).otherwise(0)
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("stage", "out", "checkpoint"))
+    play(rows, source, arrival=arrival)
+    stream = read_staged(spark, source, keyed.INPUT_SCHEMA)
+    drain(event_time.event_time_scoring(stream, f"{_LATE_DAYS} days", shards=2), path, checkpoint)
+    return event_result(keyed.unscored(spark.read.schema(keyed.OUTPUT_SCHEMA).parquet(path)))
+
+
 @query(
     "stream_one_output_per_input",
     f"WITH {sqltext.EVENT_ASOF} SELECT false AS is_model, version IS NULL AS empty, count(*) AS n FROM resolved "
@@ -271,12 +309,12 @@ def message_rows(spark: SparkSession, folder: str, unscorable: bool = False) ->
     return both.select(*serve.MESSAGE_SCHEMA.names)
 
 
-def served(spark: SparkSession, folder: str, unscorable: bool = False, initial: DataFrame | None = None) -> str:
-    source, workspace, checkpoint = (scratch_path(spark, n) for n in ("stage", "workspace", "checkpoint"))
+def served(spark: SparkSession, folder: str, unscorable: bool = False, initial: DataFrame | None = None, fan: int = 8) -> str:
+    source, target, checkpoint = (scratch_path(spark, n) for n in ("stage", "workspace", "checkpoint"))
     play(message_rows(spark, folder, unscorable), source, ts="timestamp")
-    writer = serve.serve(read_staged(spark, source, serve.MESSAGE_SCHEMA), workspace, initial=initial)
+    writer = serve.serve(read_staged(spark, source, serve.MESSAGE_SCHEMA), target, initial=initial, fan=fan)
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return workspace
+    return target
 
 
 _SERVED = MIXED.replace("FROM wine w ASOF", "FROM (SELECT * FROM wine WHERE l_returnflag <> 'N') w ASOF")
@@ -341,6 +379,37 @@ def serve_stats(spark, folder):
         ((low > 0) & (low <= mean * 1.000001) & (mean <= high * 1.000001)).alias("ordered"))
 
 
+@query(
+    "serve_compacted",
+    f"SELECT l_orderkey * 8 + l_linenumber AS record, version, result, true AS few_folders FROM ({_SERVED}) AS s",
+)
+def serve_compacted(spark, folder):
+    """A server whose folders are merged two by two: the same rows, and no tier left with two folders."""
+    space = workspace.Workspace(spark, served(spark, folder, fan=2))
+    held = space.manifest()
+    tiers = [[tier for _, tier in folders] for folders in held.tables.values()]
+    few = held.batch > 0 and all(len(t) == len(set(t)) for t in tiers)
+    return serve_result(space.read("scored", held)).withColumn("few_folders", F.lit(few))
+
+
+@query(
+    "serve_durations",
+    f"SELECT m.o_orderstatus AS data_type, s.version, count(*) AS usage, true AS timed, true AS summed FROM ({_SERVED}) AS s "
+    "JOIN orders m ON s.version = m.o_orderkey GROUP BY 1, 2",
+)
+def serve_durations(spark, folder):
+    """Scoring times record by record: every record has one, and the statistics are their sum, least and largest."""
+    path = served(spark, folder)
+    of_records = serve.read(spark, path, "scored").groupBy("data_type", "version").agg(
+        F.count("duration").alias("n"), F.min("duration").alias("low"), F.max("duration").alias("high"), F.sum("duration").alias("total"))
+    both = serve.serve_stats(spark, path).join(of_records, ["data_type", "version"])
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 1e-6 * F.abs(F.col(b))
+    return both.select(
+        "data_type", F.shiftright("version", serve.PARTITION_BITS).alias("version"), "usage",
+        ((F.col("n") == F.col("usage")) & (F.col("low") > 0)).alias("timed"),
+        (near("duration", "total") & near("min_duration", "low") & near("max_duration", "high")).alias("summed"))
+
+
 @query(
     "serve_current_stats",
     f"WITH used AS (SELECT m.o_orderstatus AS data_type, s.version, m.o_orderdate AS since, count(*) AS usage FROM ({_SERVED}) "

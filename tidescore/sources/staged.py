@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,19 +15,25 @@ ROWS_PER_SLICE = 1_000_000
 
 
 def play(df: DataFrame, target: str, after_each: Callable[[], None] | None = None, ts: str = "ts",
-         at_least: int = 3, rows_per_slice: int = ROWS_PER_SLICE) -> None:
+         at_least: int = 3, rows_per_slice: int = ROWS_PER_SLICE, arrival: Column | None = None) -> None:
     """Deliver `df` to the folder `target` in time order, one file per slice.
 
     The table is range-partitioned by time and written once. Each slice then moves into the
     target folder as a whole, so a reader never sees half of one, and gets a file time one second
     after the slice before, so a reader that takes one file per trigger takes them in order.
     Slices hold about `rows_per_slice` rows, which bounds its micro-batches. `after_each` runs
-    after every delivery.
+    after every delivery. `arrival` names each row's slice itself, counted from 0, for rows that come
+    out of time order.
     """
     spark = df.sparkSession
-    slices = max(at_least, -(-df.count() // rows_per_slice))
     waiting = scratch_path(spark, "slices")
-    split = df.repartitionByRange(slices, ts).withColumn("slice", F.spark_partition_id())
+    if arrival is None:
+        slices = max(at_least, -(-df.count() // rows_per_slice))
+        split = df.repartitionByRange(slices, ts).withColumn("slice", F.spark_partition_id())
+    else:
+        split = df.withColumn("slice", arrival.cast("int"))
+        slices = (split.agg(F.max("slice").alias("n")).first().n or 0) + 1
+        split = split.repartition(slices, "slice")
     split.write.partitionBy("slice").parquet(waiting)
     Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = Path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
