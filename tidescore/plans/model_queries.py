@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidescore.functions import vectors
 from tidescore.functions.features import bind_fields, double_vector
-from tidescore.operators import batch_scoring, evaluate, leaf_join, scoring
+from tidescore.operators import batch_scoring, bit_vectors, evaluate, leaf_join, scoring
 from tidescore.operators.batch_scoring import network_outputs, score_vector
 from tidescore.plans import inputs, models, sqltext
 from tidescore.plans.catalogue import query
@@ -184,6 +184,21 @@ def forest_leaf_join(spark, folder):
     return scored.select(*inputs.LINE_KEYS, "result", F.explode(F.sequence(F.lit(1), F.col("lines").cast("int")))).drop("col")
 
 
+@query("forest_bitvector_join", _forest_sql(FOREST, f"({LABELS})[{FIRST_BEST}] AS result"))
+def forest_bitvector_join(spark, folder):
+    """The whole forest of 320 leaves: a row meets one interval of thresholds per feature."""
+    df = inputs.wine(spark, folder).withColumn("version", F.lit(1).cast("long"))
+    rows = spark.createDataFrame([(1, FOREST)], "version long, params " + PARAMS_TYPE.simpleString())
+    return bit_vectors.score_forest_by_bits(df, rows, models.LABELS).select(*inputs.LINE_KEYS, "result")
+
+
+@query("tree_bitvector_join", _select(f"round({_tree(TREE_REG)}, 6)"))
+def tree_bitvector_join(spark, folder):
+    df = inputs.wine(spark, folder).withColumn("version", F.lit(1).cast("long"))
+    rows = spark.createDataFrame([(1, TREE_REG), (2, TREE_CLASS)], "version long, params " + PARAMS_TYPE.simpleString())
+    return bit_vectors.score_tree_by_bits(df, rows).select(*inputs.LINE_KEYS, F.round("result", 6).alias("result"))
+
+
 @query(
     "score_mlp",
     f"WITH {sqltext.WINE}, {sqltext.network_ctes(PERCEPTRON, 'wine', VECTOR, KEYS)} "
