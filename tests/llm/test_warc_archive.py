@@ -8,7 +8,9 @@ from tidescore.session import scratch_path
 
 ROWS = [(1, "http://a/", "same"), (5, "http://b/", "same"), (3, "http://c/\r\nX-Evil: 1", "same"), (4, None, None),
         (6, "http://d/", ""), (7, "http://e/", "é\r\n\r\nWARC/1.1\r\n" * 50), (None, "http://f/", "alone"),
-        (None, "http://g/", "same"), (5, "http://b/", "same"), (8, "http://h/", "long " * 50_000)]
+        (None, "http://g/", "same"), (5, "http://b/", "same"), (8, "http://h/", "long " * 50_000),
+        *[(20 + i, f"http://a.b/{end}X-Record-Key: 999{end}WARC-Type: revisit", "hostile") for i, end in
+          enumerate(["\u2028", "\u2029", "\x85", "\x0b", "\x0c", "\r", "\n"])]]
 
 
 def archive(spark, rows, **options):

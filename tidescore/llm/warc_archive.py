@@ -53,7 +53,7 @@ def field(name: str, value: Column) -> Column:
 
 def one_line(text: Column) -> Column:
     """A value that cannot end its header line early."""
-    return F.regexp_replace(text, r"[\r\n]+", " ")
+    return F.regexp_replace(text, r"[\r\n\x0B\f\x85\u2028\u2029]+", " ")
 
 
 def write_archive(
@@ -83,12 +83,12 @@ def write_archive(
         field("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         field("WARC-Record-ID", record_urn(F.col("record_id"), F.col("strong"))),
         field("WARC-Date", F.lit(date)),
+        field("X-Record-Key", F.col("record_id")),
+        field("X-Refers-To-Key", F.when(revisit, F.col("holder"))),
         field("WARC-Target-URI", one_line(F.col("uri"))),
         field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         field("WARC-Profile", F.when(revisit, REVISIT_PROFILE)),
         field("WARC-Refers-To", F.when(revisit, record_urn(F.col("holder"), F.col("strong")))),
-        field("X-Record-Key", F.col("record_id")),
-        field("X-Refers-To-Key", F.when(revisit, F.col("holder"))),
         field("Content-Type", F.lit("text/html; charset=utf-8")),
         field("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes"))),
         F.lit(EOL),
@@ -107,7 +107,8 @@ def checked_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def header_value(name: str) -> Column:
-    found = F.regexp_extract("header", rf"(?m)^{name}: ([^\r\n]*)$", 1)
+    # Only the line feed of the header's own line ends separates lines (d).
+    found = F.regexp_extract("header", rf"(?md)^{name}: ([^\r\n]*)\r$", 1)
     return F.when(found != "", found)
 
 
