@@ -88,3 +88,59 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark):
     assert sorted(r.doc for r in got[0]) == list(range(40))
     assert {(r.doc, r.text, r.label) for r in got[0]} == {(r.doc, r.text, r.label) for r in got[1]}
     assert all((r.doc, r.text) in docs or (r.doc, r.text) == (8, "") for r in got[0])
+
+
+def test_ties_go_to_the_first_neighbours():
+    """Equal vectors in a sample: the nine first vote, whatever a partial sort would pick."""
+    model = quality.Model(np.ones(quality.TERMS, np.float32), np.eye(quality.TERMS, 4, dtype=np.float32),
+                          np.tile(np.float32([1, 0, 0, 0]), (3000, 1)), (np.arange(3000) >= 9).astype(np.float32))
+    near = np.ones((3, 3000), np.float32)
+    near[1, 2000:2004], near[2, 5] = 2, 0
+    at = np.sort(quality.nearest(near, 9), axis=1)
+    assert at[0].tolist() == list(range(9)) and at[1].tolist() == [*range(5), *range(2000, 2004)]
+    assert at[2].tolist() == [0, 1, 2, 3, 4, 6, 7, 8, 9]
+    assert quality.nearest(near[:, :4], 9).tolist() == [[0, 1, 2, 3]] * 3
+    values = np.random.default_rng(3).integers(0, 6, (200, 50)).astype(np.float32)
+    for row, found in zip(values, quality.nearest(values, 7)):
+        assert sorted(found) == sorted(np.argsort(-row, kind="stable")[:7])
+    assert model.labels[:9].sum() == 0
+
+
+def test_toxicity_against_a_plain_fit(spark):
+    """Counts, ratios and the regression in plain Python over gram strings: the same scores."""
+    rng = np.random.default_rng(8)
+    kind, rude = "calm plain kind words about rivers and bread".split(), "vile nasty scum idiot trash".split()
+    texts = [" ".join(rng.choice(kind, 12)) + (" " + " ".join(rng.choice(rude, 3)) if i % 3 == 0 else "") for i in range(120)]
+    y = np.array([i % 3 == 0 for i in range(120)], float)
+    frame = spark.createDataFrame([(t, int(v)) for t, v in zip(texts, y)], "text string, label int")
+    score = toxicity.scorer(toxicity.fit(frame))()
+    probes = [*texts[:20], "", "you vile idiot", "bread and rivers"]
+
+    grams = toxicity.Grams()
+    sets = [set(grams(t).tolist()) for t in texts]
+    many = {g: (sum(g in s for s, v in zip(sets, y) if not v), sum(g in s for s, v in zip(sets, y) if v)) for g in set().union(*sets)}
+    ratio = {g: np.log((t + 1) / (y.sum() + 2)) - np.log((p + 1) / ((1 - y).sum() + 2)) for g, (p, t) in many.items() if p + t >= 6}
+    ratio = {g: r for g, r in ratio.items() if abs(r) >= 1.75}
+    weight, seen, bias, seen_bias = dict.fromkeys(ratio, 0.0), dict.fromkeys(ratio, 1e-12), np.log(y.mean() / (1 - y.mean())), 1e-12
+    for _ in range(100):
+        error = [1 / (1 + np.exp(-(bias + sum(ratio[g] * weight[g] for g in s & ratio.keys())))) - v for s, v in zip(sets, y)]
+        for g in ratio:
+            slope = ratio[g] * sum(e for e, s in zip(error, sets) if g in s) / len(sets) + 1e-4 * weight[g]
+            seen[g] += slope * slope
+            weight[g] -= 0.1 * slope / np.sqrt(seen[g])
+        seen_bias += np.mean(error) ** 2
+        bias -= 0.1 * np.mean(error) / np.sqrt(seen_bias)
+    plain = [1 / (1 + np.exp(-(bias + sum(ratio[g] * weight[g] for g in set(grams(t).tolist()) & ratio.keys())))) for t in probes]
+    assert np.allclose(score(probes), plain, atol=1e-4) and plain[-2] > 0.5 > plain[-1]
+
+
+def test_buckets_of_grams():
+    """A text's buckets are those of its distinct byte grams."""
+    def bucket(data):
+        value = int.from_bytes(data, "little") | len(data) << 56
+        return value * int(toxicity.MIX) % 2**64 >> 64 - toxicity.BITS
+
+    for text in ("", "a", "Größe, größe!", "x" * 50):
+        data = f" {text.lower()}      ".encode()
+        want = {bucket(data[i : i + n]) for n in (5, 7) for i in range(len(data) - 6)}
+        assert want <= set(toxicity.Grams()(text).tolist())

@@ -148,11 +148,23 @@ def fit(docs: DataFrame, sample: DataFrame, text_col: str, space_rows: int, dime
     return Model(idf, space, vectors, (rows["label"].to_numpy() > 0).astype(np.float32))
 
 
+def nearest(near: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k largest values of each row; of equal ones those of smaller columns."""
+    if k >= near.shape[1]:
+        return np.tile(np.arange(near.shape[1]), (len(near), 1))
+    at = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(near, at, 1).min(axis=1)
+    for row in np.flatnonzero((near >= least[:, None]).sum(axis=1) > k):
+        among = np.flatnonzero(near[row] >= least[row])
+        at[row] = among[np.argsort(-near[row, among], kind="stable")[:k]]
+    return at
+
+
 def votes(model: Model, texts: list[str], neighbours: int, power: float) -> np.ndarray:
     x = unit(weighted(counts_of(texts), model.idf) @ model.space)
     near = x @ model.vectors.T
     k = min(neighbours, near.shape[1])
-    at = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < near.shape[1] else np.tile(np.arange(k), (len(x), 1))
+    at = nearest(near, k)
     weight = np.maximum(np.take_along_axis(near, at, 1), 1e-6).astype(np.float64) ** power
     return (weight * model.labels[at]).sum(axis=1) / weight.sum(axis=1)
 
