@@ -1,9 +1,11 @@
 import collections
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidescore.llm import substring_dedup as D
 from tidescore.llm.queries import QUERIES, table
@@ -52,6 +54,15 @@ def test_repeated_rows_null_ids_long_texts_and_empty_tables(spark):
     assert D.remove_duplicates(frame.limit(0)).count() == 0
 
 
+def test_thousands_of_equal_rows(spark):
+    """Work grows with the rows, not with their square; every copy loses the same words."""
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    start = time.monotonic()
+    got = D.remove_duplicates(rows).groupBy("doc_id", "n_words", "n_removed", "text").count().collect()
+    assert [tuple(r) for r in got] == [(7, 300, 300, "", 5000)] and time.monotonic() - start < 60
+
+
 def test_false_hits_of_a_full_bitmap_change_nothing(spark, monkeypatch):
     texts = [" ".join(f"w{(i * 7 + j) % 90}" for j in range(80)) for i in range(40)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

@@ -240,7 +240,7 @@ def remove_duplicates(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
     source = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), document_key(id_col, text_col).alias("key"))
     factors = scratch_table(
         copied_factors(source, window).groupBy(F.col("key").alias("of")).agg(
-            F.collect_list(F.struct("low", "high")).alias("factors")),
+            F.collect_set(F.struct("low", "high")).alias("factors")),  # rows with one id and text share their factors
         "factors")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("_rest"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("_text"), document_key(id_col, text_col).alias("_key"))
