@@ -61,3 +61,28 @@ def test_run_gives_the_last_stage(spark, folder, stages):
     columns = [c for c in stages[-1][1].columns if c not in ("sequence_id", "offset")]
     got = corpus_pipeline.run(spark, folder).select(columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, stages[-1][1].select(columns).collect()))
+
+
+def test_odd_rows_through_all_stages(spark, folder, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows, a clashing column; and an empty table."""
+    few = table(spark, folder, "documents").limit(60).collect()
+    odd = [(None, None, None, None, None), (None, "word", None, None, 4), (-1, "", "en", "s", 0), (-2, None, "en", "s", None),
+           (-3, "long words " * 40_000, "en", "s", 440_000)]
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = [tuple(r[n] for n in names) for r in few] + odd + [tuple(few[0][n] for n in names)] * 3
+    frame = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, score string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, folder, "labels").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = table(spark, str(tmp_path), "documents")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, str(tmp_path)).cache()
+        assert after.columns == frame.columns and after.count() <= docs.count()
+        docs = after
+    texts = [r.text for r in docs.collect()]
+    assert len(set(texts)) >= len(texts) - 3 and docs.where("doc_id IS NULL").count() <= 2
+    last = corpus_pipeline.run(spark, str(tmp_path))
+    assert last.agg({"length": "sum"}).first()[0] >= len(texts) and last.count() >= len(texts)
+    none = tmp_path / "none"
+    for name, source in (("documents", frame.limit(0)), ("labels", table(spark, folder, "labels").limit(0))):
+        source.write.parquet(f"{none}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(none)).count() == 0
