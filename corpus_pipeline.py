@@ -1,4 +1,12 @@
-"""The corpus pipeline: stages over `documents`, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over `documents`, each written as Parquet and read again by the next.
+
+Defined cases: a null text counts as empty in every stage and, where it stays to the last, is a piece of the
+end id alone. Rows with a null id are documents like others; labels without an id teach nothing. Rows that
+repeat are one group of near-duplicates, so one of them stays; so do texts without words, which share one
+fingerprint. Ties between a group's documents go to the smallest id. Very long texts are read whole. Without a
+labelled example the classifiers reject nothing. Other columns, also of names that a stage uses itself, are
+carried as they are. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -16,17 +24,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents with a score of at least 0.5; empty texts are scored like others."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier does not reject."""
+    """Documents with a score below 0.5; empty texts are scored like others."""
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
+    """One row of each group of near-duplicates, that with the smallest id, a row without an id last."""
     return simhash.keep_first(docs, shingle=3, distance=3)
 
 
