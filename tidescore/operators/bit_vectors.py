@@ -221,10 +221,12 @@ def _all(left: DataFrame, keys: Sequence[str]) -> Column:
 def score_forest_by_bits(records: DataFrame, versions: DataFrame, labels: Sequence[str], result: str = "result") -> DataFrame:
     """The mean of the reached leaves' class distributions, then the best label, the first among equals."""
     found = leaf_numbers(records, versions)
-    mean = [
-        F.aggregate("probs", F.lit(0.0), lambda total, p, k=k: total + F.get(p, F.lit(k))) / F.size("probs") for k in range(len(labels))]
+
+    def mean(k: int) -> Column:
+        return F.aggregate("probs", F.lit(0.0), lambda total, p: total + F.get(p, F.lit(k))) / F.size("probs")
+
     values = F.array(*[F.lit(float(v)) for v in labels])
-    return found.withColumn("_mean", F.array(*mean)).select(
+    return found.withColumn("_mean", F.array(*[mean(k) for k in range(len(labels))])).select(
         *records.columns, F.element_at(values, (argmax_index(F.col("_mean")) + 1).cast("int")).alias(result))
 
 

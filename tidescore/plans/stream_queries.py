@@ -436,6 +436,74 @@ def stream_serve_dead_letters(spark, folder):
     return dead.groupBy("source", "error").agg(F.count(F.lit(1)).alias("n"))
 
 
+def run_batches(sent: DataFrame, count: int) -> str:
+    """Run an endless stream for its first batches; the folder of its rows."""
+    out, checkpoint = (scratch_path(sent.sparkSession, n) for n in ("out", "checkpoint"))
+    running = sinks.table(sent, out, checkpoint).start()
+    deadline = time.monotonic() + REPLAY_SECONDS
+    while not running.recentProgress or running.lastProgress["batchId"] < count - 1:
+        running.awaitTermination(1)
+        if time.monotonic() > deadline:
+            running.stop()
+            raise TimeoutError(f"{count} batches of the replay took more than {REPLAY_SECONDS} s")
+    running.stop()
+    return out
+
+
+_MODEL_BATCHES, _RECORDS_PER_MODEL = 3, 5
+
+
+@query(
+    "stream_replay_models",
+    "WITH p AS (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS pair FROM part), "
+    "e AS (SELECT event_id, row_number() OVER (ORDER BY ts DESC, event_id DESC) - 1 AS position, count(*) OVER () AS n FROM events), "
+    f"s AS (SELECT unnest(range(2 * {_RECORDS_PER_MODEL} * (SELECT count(*) FROM part))) AS sequence) "
+    "SELECT 'models' AS topic, 2 * pair AS sequence, 60 * (2 * pair) AS second, 'pmml-' || p_name AS value FROM p UNION ALL "
+    "SELECT 'models', 2 * pair + 1, 60 * (2 * pair + 1), 'tensor-' || p_name FROM p UNION ALL "
+    f"SELECT 'mdata', sequence, {60 // _RECORDS_PER_MODEL} * sequence, event_id::VARCHAR FROM s JOIN e ON position = sequence % n",
+)
+def stream_replay_models(spark, folder):
+    """Records every twelve seconds and models every minute in one stream, the models' kinds alternating: one round of models."""
+    events = inputs.table(spark, folder, "events").select("ts", "event_id", F.col("event_id").cast("string").alias("value"))
+    parts = inputs.table(spark, folder, "part").select(
+        "p_partkey", F.concat(F.lit("pmml-"), "p_name").alias("pmml"), F.concat(F.lit("tensor-"), "p_name").alias("tensor"))
+    paths = [scratch_path(spark, n) for n in ("replay-records", "replay-models")]
+    replay.replay_table(events, ["ts", "event_id"]).write.parquet(paths[0])
+    replay.alternating_models(parts, ["p_partkey"]).withColumnRenamed("model", "value").write.parquet(paths[1])
+    records, models = (spark.read.parquet(p) for p in paths)
+    size = models.count()
+    sent = replay.two_speed_replay(
+        spark, records, records.count(), models, size, _RECORDS_PER_MODEL, models_per_batch=-(-size // _MODEL_BATCHES))
+    rows = spark.read.parquet(run_batches(sent, _MODEL_BATCHES))
+    last = F.when(F.col("topic") == "models", size).otherwise(size * _RECORDS_PER_MODEL)
+    return rows.where(F.col("sequence") < last).select(
+        "topic", "sequence", F.unix_seconds("sent_at").alias("second"), "value")
+
+
+_BATCHED = (
+    f"WITH {sqltext.EVENT_ASOF}, numbered AS (SELECT *, date_diff('day', (SELECT min(ts)::DATE FROM events), ts::DATE) // 5 AS batch "
+    "FROM resolved), arrived AS (SELECT data_type, version, valid_from, "
+    "date_diff('day', (SELECT min(ts)::DATE FROM events), valid_from::DATE) // 5 AS batch FROM models), "
+    "touched AS (SELECT DISTINCT data_type, batch FROM numbered UNION SELECT DISTINCT data_type, batch FROM arrived), "
+    "newest AS (SELECT t.data_type, t.batch, max_by(a.version, (a.valid_from, a.version)) AS version FROM touched t JOIN arrived a "
+    "ON a.data_type = t.data_type AND a.batch <= t.batch GROUP BY 1, 2) "
+    "SELECT n.batch AS batch_id, n.data_type, n.version, count(r.event_id) AS usage FROM newest n LEFT JOIN numbered r "
+    "ON r.data_type = n.data_type AND r.version = n.version AND r.batch <= n.batch GROUP BY 1, 2, 3"
+)
+
+
+@query("state_changes", _BATCHED)
+def state_changes(spark, folder):
+    """What a poller sees after every batch: the statistics of each key that the batch touched."""
+    rows = event_rows(spark, folder)
+    first = inputs.table(spark, folder, "events").agg(F.to_date(F.min("ts")).alias("d")).first().d
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("stage", "out", "checkpoint"))
+    play(rows, source, arrival=F.floor(F.date_diff(F.to_date("ts"), F.lit(first)) / 5))
+    drain(keyed.keyed_scoring(read_staged(spark, source, keyed.INPUT_SCHEMA), shards=1), path, checkpoint)
+    return introspect.stats_changes(spark, checkpoint, 0).select(
+        F.col("batch_id").cast("long").alias("batch_id"), "data_type", "version", "usage")
+
+
 @query(
     "stream_replay",
     "SELECT event_id, row_number() OVER (ORDER BY ts DESC, event_id DESC) - 1 AS position FROM events",
@@ -448,14 +516,6 @@ def stream_replay(spark, folder):
     table = spark.read.parquet(path)
     size = table.count()
     sent = replay.endless_replay(replay.batch_ticks(spark, size), table, size)
-    out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
-    running = sinks.table(sent, out, checkpoint).start()
-    deadline = time.monotonic() + REPLAY_SECONDS
-    while not running.recentProgress or running.lastProgress["batchId"] < 1:
-        running.awaitTermination(1)
-        if time.monotonic() > deadline:
-            running.stop()
-            raise TimeoutError(f"one round of the replay took more than {REPLAY_SECONDS} s")
-    running.stop()
+    out = run_batches(sent, 2)
     first = spark.read.parquet(out).where(F.col("sequence") < size)
     return first.select("event_id", "position")

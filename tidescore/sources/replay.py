@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidescore.operators.ordering import with_global_index
+from tidescore.sources.kafka import DATA_TOPIC, MODELS_TOPIC
 
 
 def replay_table(records: DataFrame, order_by: list[str]) -> DataFrame:
@@ -49,3 +50,27 @@ def endless_replay(ticks: DataFrame, table: DataFrame, size: int) -> DataFrame:
         F.pmod(F.col("value"), F.lit(size)).alias("position"),
     )
     return numbered.join(table, "position")
+
+
+def two_speed_replay(
+    spark: SparkSession, records: DataFrame, record_count: int, models: DataFrame, model_count: int,
+    records_per_model: int = 60, models_per_batch: int = 1, model_millis: int = 60_000,
+) -> DataFrame:
+    """Both producers as one endless stream: a model every `model_millis`, `records_per_model` records in that time.
+
+    The tables are numbered (`replay_table`, `alternating_models`), hold what is sent in `value`, and are sent
+    round and round. Rows: topic, sequence (from 0 per topic), sent_at, position, value. A batch is the time of
+    `models_per_batch` models.
+    """
+    def paced(topic: str, table: DataFrame, size: int, each: int) -> DataFrame:
+        rows = each * models_per_batch
+        ticks = batch_ticks(spark, rows, model_millis * models_per_batch)
+        # All ticks of a batch have its time; a row's own is as many paces later as it has predecessors there.
+        later = F.pmod("sequence", F.lit(rows)) * (model_millis * 1000 // each)
+        own = F.timestamp_micros(F.unix_micros("sent_at") + later)
+        return endless_replay(ticks, table.select("position", "value"), size).select(
+            F.lit(topic).alias("topic"), "sequence", own.alias("sent_at"), "position", "value")
+
+    if record_count < 1 or model_count < 1:
+        raise ValueError("nothing to send round and round")
+    return paced(MODELS_TOPIC, models, model_count, 1).unionByName(paced(DATA_TOPIC, records, record_count, records_per_model))

@@ -13,6 +13,44 @@ def state_values(spark: SparkSession, checkpoint: str, variable: str) -> DataFra
     return spark.read.format("statestore").option("stateVarName", variable).load(checkpoint)
 
 
+def last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the newest batch whose state is complete; -1 before the first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+    return max((int(n) for n in names if n.isdigit()), default=-1)
+
+
+def state_changes(
+    spark: SparkSession, checkpoint: str, variable: str, first: int, last: int | None = None, data_type: str | None = None
+) -> DataFrame:
+    """What batches `first` to `last` (the newest by default) changed in a state variable: batch_id, change_type, key, value.
+
+    A poller asks for one key from the batch after the `last_batch` it has seen, so a poll reads the change logs
+    of the batches since and not the state. No batches give no rows.
+    """
+    newest = last_batch(spark, checkpoint)
+    last = newest if last is None else min(last, newest)
+    reader = spark.read.format("statestore").option("stateVarName", variable).option("readChangeFeed", True)
+    span = (first, last) if first <= last else (max(newest, 0), max(newest, 0))
+    rows = reader.option("changeStartBatchId", span[0]).option("changeEndBatchId", span[1]).load(checkpoint)
+    if first > last:
+        rows = rows.limit(0)
+    if data_type is not None:
+        rows = rows.where(F.col("key.data_type") == data_type)
+    return rows.select("batch_id", "change_type", "key", "value")
+
+
+def stats_changes(
+    spark: SparkSession, checkpoint: str, first: int, last: int | None = None, data_type: str | None = None
+) -> DataFrame:
+    """Statistics as each batch left them, per key it touched: batch_id, data_type, shard, version, usage, durations."""
+    rows = state_changes(spark, checkpoint, "stats", first, last, data_type).where("change_type = 'update'")
+    return rows.select(
+        "batch_id", "key.data_type", "key.shard", "value.version", "value.usage", "value.duration", "value.min_duration",
+        "value.max_duration")
+
+
 def serving_info(spark: SparkSession, checkpoint: str, data_type: str | None = None) -> DataFrame:
     """Current statistics per data type, shards merged; empty where the key is unknown.
 
