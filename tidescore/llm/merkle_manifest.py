@@ -219,12 +219,19 @@ def paths_below(blocks: DataFrame) -> DataFrame:
     return held.mapInPandas(run, f"tree string, place long, {ABOVE}")
 
 
-def paths_down(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
-    """The lowest blocks with what is above them; `tops`: what is above each tree (tree, before, after, subroot, root)."""
+def paths_down(levels: list[DataFrame], tops: DataFrame | None = None) -> DataFrame:
+    """The lowest blocks with what is above them; `tops`: what is above each tree (tree, before, after, subroot,
+    root), None if its own root is the last.
+    """
     known = None
     for n in range(len(levels) - 1, -1, -1):
         blocks = levels[n]
-        ends = blocks.where(F.col("total") <= BLOCK).join(tops, "tree")
+        ends = blocks.where(F.col("total") <= BLOCK)
+        if tops is None:
+            none = F.array().cast("array<string>")
+            ends = ends.withColumns({"before": none, "after": none, "subroot": F.lit(""), "root": F.lower(F.hex("apex"))})
+        else:
+            ends = ends.join(tops, "tree")
         if known is not None:
             ends = ends.unionByName(
                 blocks.where(F.col("total") > BLOCK).join(known.withColumnRenamed("place", "block"), ["tree", "block"]))
@@ -246,11 +253,7 @@ def audit(spark: SparkSession, path: str, with_proof: bool = False) -> DataFrame
     leaves = spark.read.parquet(f"{path}/leaves")
     if leaves.isEmpty():
         return spark.createDataFrame([], schema).withColumn("id", F.col("id").cast("long"))
-    none = F.array().cast("array<string>")
-    top = stored_levels(spark, f"{path}/top")
-    crown = top[-1].select(F.lit("").alias("tree"), none.alias("before"), none.alias("after"), F.lit("").alias("subroot"),
-                           F.lower(F.hex("apex")).alias("root"))
-    over = paths_below(paths_down(top, crown))
+    over = paths_below(paths_down(stored_levels(spark, f"{path}/top")))
     names = spark.read.parquet(f"{path}/roots")
     tops = names.join(over.drop("tree", "subroot"), "place").select(
         F.col("name").alias("tree"), "before", "after", F.lower(F.hex("digest")).alias("subroot"), "root")
