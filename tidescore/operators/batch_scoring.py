@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidescore.functions.features import bind_fields
+from tidescore.operators.kinds import Kind, batch_of, registered
 from tidescore.schemas import FEATURES
 
 
@@ -144,11 +145,10 @@ def _sum(params: dict):
     return run
 
 
-def batch_scorer(params: dict):
-    """params -> function from an (n, inputs) array to n values."""
-    return {
-        "linear": _sum, "glm": _sum, "tree": _trees, "forest": _trees, "network": _network, "dense": _network,
-    }[params["kind"]](params)
+def batch_scorer(params: dict, known: dict[str, Kind] | None = None):
+    """params -> function from an (n, inputs) array to n values; `known` are the added kinds a query has carried along."""
+    own = {"linear": _sum, "glm": _sum, "tree": _trees, "forest": _trees, "network": _network, "dense": _network}
+    return own[params["kind"]](params) if params["kind"] in own else batch_of(params, registered() if known is None else known)
 
 
 def trial(params: dict) -> str | None:

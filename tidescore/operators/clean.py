@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidescore.functions.codec import LOCATION_UNSUPPORTED, decode_descriptor, decode_record
-from tidescore.schemas import SCORABLE_TYPES
+from tidescore.operators.kinds import scorable_types
 
 UNSUPPORTED_TYPE = "Bad model type"
 
@@ -15,7 +15,7 @@ def descriptor_error() -> Column:
     """Reason to refuse a descriptor before its content is read; null when it may go on."""
     return (
         F.when(F.col("data").isNull(), F.lit(LOCATION_UNSUPPORTED))
-        .when(F.col("modeltype").isNull() | ~F.col("modeltype").isin(*SCORABLE_TYPES), F.lit(UNSUPPORTED_TYPE))
+        .when(F.col("modeltype").isNull() | ~F.col("modeltype").isin(*scorable_types()), F.lit(UNSUPPORTED_TYPE))
         .otherwise(F.lit(None).cast("string"))
     )
 

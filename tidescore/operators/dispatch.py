@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tidescore.functions.features import bind_fields
 from tidescore.functions.maths import inverse_link_by_name
 from tidescore.operators.batch_scoring import INVERSE_LINKS, batch_scorer
+from tidescore.operators.kinds import registered
 from tidescore.operators.resolve import newest_per_instant, resolve_after
 from tidescore.schemas import FEATURES
 from tidescore.session import fits_broadcast, measured_bytes
@@ -119,8 +120,9 @@ class VersionScorer:
     costs one gather; the other kinds are scored version by version.
     """
 
-    def __init__(self, params_of) -> None:
+    def __init__(self, params_of, known: dict | None = None) -> None:
         self.params_of = params_of
+        self.known = known  # added kinds
         self.place: dict[str, int] = {}
         self.sums: list[list[float]] = []
         self.links: list[str] = []
@@ -134,7 +136,7 @@ class VersionScorer:
             self.links.append(params["link"] or "identity")
         else:
             self.place[key] = -1
-            self.scorers[key] = batch_scorer(params)
+            self.scorers[key] = batch_scorer(params, self.known)
 
     def __call__(self, keys: pd.Series, x: np.ndarray) -> np.ndarray:
         inverse, found = pd.factorize(keys)
@@ -189,10 +191,11 @@ def _score_keyed(rows: DataFrame, key: Column, models: DataFrame, columns: Seque
     if not fits_broadcast(models):
         return _score_cogrouped(rows, key, models, columns, timed)
     # The check above bounds what passes through the driver here.
+    known_kinds = registered()
     shared = rows.sparkSession.sparkContext.broadcast({r["_key"]: r["params"].asDict(True) for r in models.collect()})
 
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        scorer = VersionScorer(lambda v: shared.value[v])
+        scorer = VersionScorer(lambda v: shared.value[v], known_kinds)
         for keys, *inputs in batches:
             out, took = np.full(len(keys), np.nan), np.full(len(keys), np.nan)
             known = np.flatnonzero(keys.notna().to_numpy())
@@ -244,6 +247,7 @@ def _score_cogrouped(rows: DataFrame, key: Column, models: DataFrame, columns: S
     right = used.withColumn("_bucket", bucket).join(salts, "_bucket").select(
         "_bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt"), "_key", "params"
     )
+    known_kinds = registered()
     added = ["result", "_took"] if timed else ["result"]
     schema = T.StructType([*rows.schema.fields, *[T.StructField(n, T.DoubleType()) for n in added]])
 
@@ -251,7 +255,7 @@ def _score_cogrouped(rows: DataFrame, key: Column, models: DataFrame, columns: S
         if rows.empty:
             return pd.DataFrame(columns=[*keep, *added])
         known = dict(zip(model["_key"], model["params"]))
-        scorer = VersionScorer(lambda v: _plain(known[v]))
+        scorer = VersionScorer(lambda v: _plain(known[v]), known_kinds)
         with np.errstate(all="ignore"):
             x = rows[names].to_numpy(dtype=float)
             values = scorer.timed(rows["_key"], x) if timed else (scorer(rows["_key"], x),)

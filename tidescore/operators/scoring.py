@@ -17,6 +17,7 @@ from tidescore.functions.features import bind_fields
 from tidescore.functions.maths import inverse_link, linear_predictor
 from tidescore.functions.vectors import argmax_index
 from tidescore.operators.batch_scoring import leaf_probs, score_batches
+from tidescore.operators.kinds import load, registered
 from tidescore.schemas import FEATURES
 
 # Nested CASE up to this many leaves compiles well. Measured on 600k rows: a forest of 320 leaves
@@ -124,6 +125,9 @@ def score(df: DataFrame, params: dict, result: str = "result", columns: Sequence
     """Add column `result`: the model's value, class label as a number, or class index (dense)."""
     kind = params["kind"]
     x = _inputs(df, columns, missing)
+    added = registered().get(kind)
+    if added is not None and added.column is not None:
+        return df.withColumn(result, load(added.column)(params, x))
     if kind in ("linear", "glm"):
         return df.withColumn(result, _unless_missing(linear_column(params, x), params, x, missing))
     small = sum(n["feature"] < 0 for n in params["nodes"] or []) <= MAX_CASE_LEAVES

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidescore.operators.batch_scoring import scoring_error
 from tidescore.operators.clean import descriptor_error, split_valid
+from tidescore.operators.kinds import read_models, registered
 from tidescore.schemas import MODEL_VERSION_SCHEMA, PARAMS_TYPE
 from tidescore.sources.pmml import parse_documents
 from tidescore.sources.tensor import dense_params
@@ -23,9 +24,12 @@ def checked_versions(descriptors: DataFrame) -> DataFrame:
     sound, kind = F.col("error").isNull(), F.col("modeltype")
     parsed = early.withColumn("_p", parse_documents(F.when(sound & (kind == "PMML"), F.col("data"))))
     dense = F.when(sound & (kind == "TENSORFLOW"), dense_params(F.col("data"))).cast(PARAMS_TYPE)
-    read = parsed.withColumn("params", F.coalesce(F.col("_p.params"), dense)).withColumn(
-        "error", F.coalesce("error", "_p.error")
-    )
+    found, refused = [F.col("_p.params"), dense], [F.col("error"), F.col("_p.error")]
+    if registered():
+        parsed = parsed.withColumn("_k", read_models(F.when(sound, F.col("data")), kind))
+        found.append(F.col("_k.params"))
+        refused.append(F.col("_k.error"))
+    read = parsed.withColumn("params", F.coalesce(*found)).withColumn("error", F.coalesce(*refused)).drop("_k")
     # As the document parser does: a model that cannot score one row is refused.
     tried = read.withColumn("_tried", scoring_error(F.when(F.col("params.kind") == "dense", F.col("params"))))
     missing = F.when(F.col("params").isNull(), F.coalesce("error", F.lit("Bad model: no layers")))
