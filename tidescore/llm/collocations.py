@@ -39,7 +39,7 @@ from tidescore.session import scratch_path, scratch_table
 ENDS, BLANKS = b".,;:!?\n\v\f\r", b" \t"
 BREAK = b"\xff"  # stands for the end of a piece; no UTF-8 text holds it
 GAP = -1
-COUNTED = 400_000  # words or pairs that a task counts before it hands them on
+COUNTED_WORDS, COUNTED_PAIRS = 200_000, 1_000_000  # that a task counts before it hands them on
 CLEANING = bytes.maketrans(bytes(range(65, 91)) + ENDS + BLANKS, bytes(range(97, 123)) + b"\n" * len(ENDS) + b" " * len(BLANKS))
 
 
@@ -63,7 +63,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for part in (x for batch in batches for x in slices(batch, 1)):
             for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 counts.setdefault(lang, Counter()).update(tokens(text))
-            if sum(map(len, counts.values())) >= COUNTED:
+            if sum(map(len, counts.values())) >= COUNTED_WORDS:
                 yield handed(counts)
         yield handed(counts)
 
@@ -169,9 +169,10 @@ def pair_counts(relation: DataFrame) -> DataFrame:
             a.append(ids[at])
             b.append(ids[after])
             held += len(at)
-            if held >= 8 * COUNTED:
+            if held >= COUNTED_PAIRS:
                 yield counted(a, b)
                 a, b, held = [], [], 0
+                pa.default_memory_pool().release_unused()
         yield counted(a, b)
 
     return relation.mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("f"))
@@ -239,7 +240,7 @@ def lowest_cut(words: int, scale: int) -> Column:
 
 def mine(
     docs: DataFrame, least: int = 30, longest: int = 4, share: int = 80, scale: int = 2_000_000,
-    text_col: str = "text", lang_col: str = "lang", held: int = 2_000_000,
+    text_col: str = "text", lang_col: str = "lang", held: int = 1_000_000,
 ) -> DataFrame:
     """Phrases of 2 to `longest` words with at least `least` occurrences: lang, phrase, words, a, l, r, n, score.
 
