@@ -21,7 +21,7 @@ LONGEST_KEPT = 48
 CLOSING = tuple(".,!?;:")
 KEPT = 200_000  # entries of one generation of a cache
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)  # 2**64 over the golden ratio
-ROWS_PER_BATCH, BYTES_PER_BATCH = 2048, 4_000_000
+ROWS_PER_BATCH, BYTES_PER_BATCH = 1024, 1_000_000
 LATIN_END = "\u0250"  # below it, what Python calls a letter is one in every Unicode version
 
 
@@ -148,7 +148,7 @@ class TextEncoder:
 class BatchEncoder:
     """`TextEncoder` for batches of texts: the words that no cache knows are encoded together."""
 
-    def __init__(self, encode_words: Callable[[list[str]], list[bytes]], special: dict[str, int], kept: int = KEPT):
+    def __init__(self, encode_words: Callable[[list[str]], list[bytes]], special: dict[str, int], kept: int = KEPT // 2):
         self.encode_words, self.kept = encode_words, kept
         self.special = {s: np.array([i], "<u4").tobytes() for s, i in special.items()}
         self.cut = regex.compile("|".join(f"({regex.escape(s)})" for s in special)) if special else None
