@@ -251,3 +251,10 @@ def test_shared_folder_comes_from_the_session(spark):
     if configured:
         assert shared_dir(spark) == configured.rstrip("/")
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_long_batches_of_the_replay(spark):
+    """Batches of more milliseconds than an int holds."""
+    table = spark.createDataFrame([(0, "a")], "position long, value string")
+    sent = replay.two_speed_replay(spark, table, 1, table, 1, 5, models_per_batch=100_000)
+    assert sent.isStreaming and sent.columns == ["topic", "sequence", "sent_at", "position", "value"]

@@ -64,10 +64,12 @@ def two_speed_replay(
     """
     def paced(topic: str, table: DataFrame, size: int, each: int) -> DataFrame:
         rows = each * models_per_batch
-        ticks = batch_ticks(spark, rows, model_millis * models_per_batch)
-        # All ticks of a batch have its time; a row's own is as many paces later as it has predecessors there.
+        # The source takes a batch's time as an int of milliseconds, too small for that of many models: ticks keep
+        # their number alone, and a row's time is that of its batch and as many paces more as it has predecessors there.
+        ticks = batch_ticks(spark, rows)
+        begun = ((F.col("sequence") - F.pmod("sequence", F.lit(rows))) / F.lit(rows)).cast("long") * (model_millis * models_per_batch * 1000)
         later = F.pmod("sequence", F.lit(rows)) * (model_millis * 1000 // each)
-        own = F.timestamp_micros(F.unix_micros("sent_at") + later)
+        own = F.timestamp_micros(begun + later)
         return endless_replay(ticks, table.select("position", "value"), size).select(
             F.lit(topic).alias("topic"), "sequence", own.alias("sent_at"), "position", "value")
 
