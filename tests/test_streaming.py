@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidescore.session import scratch_path, shared_dir
+from tidescore.session import CHANGELOGS, kept_batches, scratch_path, shared_dir
 from tidescore.sources import artifacts, delimited, kafka, registry, replay
 from tidescore.sources.staged import play, read_staged
 from tidescore.streaming import introspect, keyed, sinks
@@ -258,3 +258,25 @@ def test_long_batches_of_the_replay(spark):
     table = spark.createDataFrame([(0, "a")], "position long, value string")
     sent = replay.two_speed_replay(spark, table, 1, table, 1, 5, models_per_batch=100_000)
     assert sent.isStreaming and sent.columns == ["topic", "sequence", "sent_at", "position", "value"]
+
+
+def test_change_feed_in_a_session_without_change_logs(spark):
+    key, retained = CHANGELOGS, "spark.sql.streaming.minBatchesToRetain"
+    spark.conf.set(key, "false")
+    spark.conf.set(retained, "2")
+    try:
+        days = [datetime(2024, 1, d) for d in range(1, 9)]
+        df = spark.createDataFrame(
+            [("a", True, days[0], 1, [0.0, 2.0], None, None), *[("a", False, d, i, None, [3.0], 4) for i, d in enumerate(days)]],
+            keyed.INPUT_SCHEMA)
+        source, out, checkpoint = (scratch_path(spark, n) for n in ("s", "o", "c"))
+        slices = play(df, source, arrival=F.dayofmonth("ts") - 1)
+        with kept_batches(spark, slices + 1):
+            scored = keyed.keyed_scoring(read_staged(spark, source, keyed.INPUT_SCHEMA), shards=1)
+            sinks.table(scored, out, checkpoint).trigger(availableNow=True).start().awaitTermination()
+        assert spark.conf.get(retained) == "2"
+        changes = introspect.stats_changes(spark, checkpoint, 0).collect()
+        assert sorted((r.batch_id, r.usage) for r in changes) == [(i, i + 1) for i in range(8)]
+    finally:
+        spark.conf.set(key, "true")
+        spark.conf.unset(retained)
