@@ -9,8 +9,14 @@ from tidescore.operators.stats import merge_stats
 
 
 def state_values(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
-    """Raw (key, value) rows of one state variable."""
-    return spark.read.format("statestore").option("stateVarName", variable).load(checkpoint)
+    """Raw (key, value) rows of one part of the keys' entries: `current`, `pending` or `stats`."""
+    rows = spark.read.format("statestore").option("stateVarName", "entries").load(checkpoint)
+    return _part(rows, variable)
+
+
+def _part(rows: DataFrame, variable: str, *more: str) -> DataFrame:
+    value = F.col(f"user_map_value.{variable}")
+    return rows.where(value.isNotNull()).select(*more, F.col("user_map_key").alias("key"), value.alias("value"))
 
 
 def last_batch(spark: SparkSession, checkpoint: str) -> int:
@@ -24,21 +30,22 @@ def last_batch(spark: SparkSession, checkpoint: str) -> int:
 def state_changes(
     spark: SparkSession, checkpoint: str, variable: str, first: int, last: int | None = None, data_type: str | None = None
 ) -> DataFrame:
-    """What batches `first` to `last` (the newest by default) changed in a state variable: batch_id, change_type, key, value.
+    """What batches `first` to `last` (the newest by default) changed in a part of the keys' entries: batch_id, change_type, key, value.
 
     A poller asks for one key from the batch after the `last_batch` it has seen, so a poll reads the change logs
     of the batches since and not the state. No batches give no rows.
     """
     newest = last_batch(spark, checkpoint)
     last = newest if last is None else min(last, newest)
-    reader = spark.read.format("statestore").option("stateVarName", variable).option("readChangeFeed", True)
+    reader = spark.read.format("statestore").option("stateVarName", "entries").option("readChangeFeed", True)
     span = (first, last) if first <= last else (max(newest, 0), max(newest, 0))
     rows = reader.option("changeStartBatchId", span[0]).option("changeEndBatchId", span[1]).load(checkpoint)
+    rows = _part(rows, variable, "batch_id", "change_type")
     if first > last:
         rows = rows.limit(0)
     if data_type is not None:
         rows = rows.where(F.col("key.data_type") == data_type)
-    return rows.select("batch_id", "change_type", "key", "value")
+    return rows
 
 
 def stats_changes(

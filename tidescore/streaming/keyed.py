@@ -6,9 +6,14 @@ version numbers, the weights of sum models, and counters; documents stay in the
 of other kinds of models leave the stream with their version and inputs, and `complete` scores
 them with the registry's parameters.
 
-Rows of one key in one micro-batch are ordered by (ts, models first, id) before they are
-applied. That buffer is bounded by the source's per-trigger limit divided over the shards;
-`play` and the topic source both set one. For streams without state per key use
+Keys are hashed into buckets, and a bucket is what Spark groups by: a call of the processor costs far more
+than a key, and a stream may have many keys with a row or two each in a batch. The state stays one entry
+per key, in a map, so a batch reads and writes the entries of the keys it touches and no others. Rows
+travel packed, a block of Arrow data per bucket and task, and are worked on as columns.
+
+Rows of one bucket in one micro-batch are ordered by (key, ts, models first, id) before they are
+applied. That buffer is bounded by the source's per-trigger limit divided over the buckets, or over the
+shards of one data type; `play` and the topic source both set one. For streams without state per key use
 `micro_batch`, which buffers nothing.
 """
 
@@ -18,6 +23,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +35,9 @@ from tidescore.schemas import FEATURES, LONG_MAX, LONG_MIN
 from tidescore.session import use_rocksdb
 
 DEFAULT_SHARDS = 16
+BUCKETS = 256  # groups of keys; fixed, as a checkpoint's state lies in them
+ROWS_PER_BLOCK = 100_000
+NO_TIME = np.iinfo(np.int64).min  # a row without a time, as NumPy has it
 
 # One layout for both streams.
 INPUT_SCHEMA = T.StructType(
@@ -69,6 +78,14 @@ STATS_STATE = T.StructType(
         T.StructField("max_duration", T.LongType()),
     ]
 )
+KEY = T.StructType([T.StructField("data_type", T.StringType()), T.StructField("shard", T.IntegerType())])
+ENTRY = T.StructType(
+    [
+        T.StructField("current", MODEL_STATE),
+        T.StructField("pending", MODEL_STATE),
+        T.StructField("stats", STATS_STATE),
+    ]
+)
 INITIAL_SCHEMA = T.StructType(
     [
         T.StructField("data_type", T.StringType()),
@@ -288,25 +305,250 @@ class VersionedScorer(StatefulProcessor):
         pass
 
 
+class Cell:
+    """One value of a key's entry."""
+
+    def __init__(self, value=None) -> None:
+        self.value = value
+
+    def exists(self) -> bool:
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value) -> None:
+        self.value = value
+
+    def clear(self) -> None:
+        self.value = None
+
+
+# What a block holds, and what is packed into blocks again on the way out; times are microseconds.
+BLOCK = pa.schema([
+    ("data_type", pa.string()), ("shard", pa.int32()), ("is_model", pa.bool_()), ("ts", pa.int64()), ("id", pa.int64()),
+    ("weights", pa.list_(pa.float64())), ("features", pa.list_(pa.float64())), ("duration", pa.int64())])
+SCORED = pa.schema([
+    ("data_type", pa.string()), ("shard", pa.int32()), ("is_model", pa.bool_()), ("id", pa.int64()), ("ts", pa.int64()),
+    ("version", pa.int64()), ("valid_from", pa.int64()), ("result", pa.float64()), ("duration", pa.int64()),
+    ("features", pa.list_(pa.float64()))])
+SCORED_SQL = ("data_type string, shard int, is_model boolean, id long, ts long, version long, valid_from long, "
+              "result double, duration long, features array<double>")
+
+
+def to_block(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def from_blocks(blocks: Sequence[bytes]) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in blocks])
+
+
+def _numbers(column: pa.ChunkedArray, missing=0) -> np.ndarray:
+    return column.fill_null(missing).to_numpy()
+
+
+def _codes(table: pa.Table, *more: str) -> np.ndarray:
+    """Equal numbers for rows of one key."""
+    words = table["data_type"].combine_chunks().dictionary_encode(null_encoding="encode")
+    codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    for c in more:
+        codes = codes * (1 << 20) + _numbers(table[c])
+    return codes
+
+
+def _lists(column: pa.ChunkedArray) -> list:
+    """An array of numbers per row, None for a null."""
+    whole = column.combine_chunks()
+    low, high = whole.offsets.to_numpy()[:-1], whole.offsets.to_numpy()[1:]
+    flat = whole.values.to_numpy(zero_copy_only=False).astype(float, copy=False)
+    known = whole.is_valid().to_numpy(zero_copy_only=False)
+    return [flat[a:b] if k else None for a, b, k in zip(low.tolist(), high.tolist(), known.tolist())]
+
+
+def packer(keep_models: bool):
+    """Rows with their buckets -> a block per bucket. Of models of one key and instant only the newest can apply."""
+
+    def pack(table: pa.Table) -> Iterator[tuple[int, bytes]]:
+        if not keep_models:
+            ts, ids, models = _numbers(table["ts"], NO_TIME), _numbers(table["id"]), _numbers(table["is_model"], False)
+            at = np.flatnonzero(models)
+            codes = _codes(table)[at]
+            order = np.lexsort((ids[at], ts[at], codes))
+            last = np.ones(len(at), dtype=bool)
+            last[:-1] = (np.diff(codes[order]) != 0) | (np.diff(ts[at][order]) != 0)
+            table = table.take(np.sort(np.concatenate([np.flatnonzero(~models), at[order[last]]])))
+        places = table["buckets"].combine_chunks()
+        widths = np.diff(places.offsets.to_numpy())
+        rows = np.repeat(np.arange(len(table)), widths)
+        nth = np.arange(len(rows)) - np.repeat(np.cumsum(widths) - widths, widths)
+        buckets = places.flatten().to_numpy(zero_copy_only=False)
+        shards = (_numbers(table["shard"])[rows] + nth).astype(np.int32)
+        order = np.argsort(buckets, kind="stable")
+        spread = table.drop_columns(["buckets"]).take(rows[order])
+        spread = spread.set_column(spread.schema.get_field_index("shard"), "shard", pa.array(shards[order]))
+        found, starts = np.unique(buckets[order], return_index=True)
+        for bucket, low, high in zip(found.tolist(), starts, [*starts[1:], len(order)]):
+            yield bucket, to_block(spread.slice(low, high - low).select(BLOCK.names).cast(BLOCK))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def flush() -> pa.RecordBatch:
+            made = list(pack(pa.Table.from_batches(held).combine_chunks()))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _ in made], pa.int32()), pa.array([x for _, x in made], pa.binary())], ["bucket", "rows"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n >= ROWS_PER_BLOCK:
+                yield flush()
+                held, n = [], 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block in batch.column(0):
+            yield from pa.ipc.open_stream(block.as_py()).read_all().to_batches()
+
+
+def bucket_of(data_type, shard):
+    return F.pmod(F.xxhash64(data_type, shard), F.lit(BUCKETS)).cast("int")
+
+
+class BucketScorer(VersionedScorer):
+    """`VersionedScorer` for the keys of a bucket: rows come and go in blocks, the state is an entry per key."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.entries = handle.getMapState("entries", KEY, ENTRY)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        for row in initialState.itertuples(index=False):
+            self._load((row.data_type, int(row.shard)))
+            super().handleInitialState(None, pd.DataFrame([row]), timerValues)
+            self._store((row.data_type, int(row.shard)))
+
+    def _load(self, key: tuple) -> None:
+        held = self.entries.getValue(key)
+        self.current, self.pending, self.stats = (Cell(v) for v in (held or (None, None, None)))
+
+    def _store(self, key: tuple) -> None:
+        entry = (self.current.value, self.pending.value, self.stats.value)
+        if any(v is not None for v in entry):
+            self.entries.updateValue(key, tuple(None if v is None else tuple(v) for v in entry))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        yield from self.score(from_blocks([b for chunk in rows for b in chunk["rows"]]))
+
+    def score(self, table: pa.Table) -> Iterator[pd.DataFrame]:
+        """Apply rows (BLOCK) key by key; one frame of blocks (SCORED)."""
+        ts, ids, models = _numbers(table["ts"], NO_TIME), _numbers(table["id"]), _numbers(table["is_model"], False)
+        codes = _codes(table, "shard")
+        order = np.lexsort((ids, ts, ~models, codes))
+        table, ts, ids, models, codes = table.take(order), ts[order], ids[order], models[order], codes[order]
+        duration, weights, x = _numbers(table["duration"]), _lists(table["weights"]), _lists(table["features"])
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(codes) != 0]))
+        names, shards = table["data_type"].take(starts).to_pylist(), table["shard"].take(starts).to_pylist()
+        out = []
+        for name, shard, low, high in zip(names, shards, starts.tolist(), [*starts[1:].tolist(), len(codes)]):
+            mid = low + int(models[low:high].sum())  # models first
+            self._load((name, shard))
+            slots = Slots(self.current, self.pending)
+            if mid > low:
+                slots.add(ts[low:mid], ids[low:mid], weights[low:mid])
+            slot = slots.in_force(ts[mid:high])
+            if high > mid:
+                out.append((name, shard, False, ids[mid:high], ts[mid:high], *self._columns(slots, slot, x[mid:high]), duration[mid:high]))
+            if self.emit_models and mid > low:
+                n = mid - low
+                nothing = np.zeros(n, np.int64), np.zeros(n, np.int64), np.ones(n, bool), np.zeros(n), np.ones(n, bool), [None] * n
+                out.append((name, shard, True, ids[low:mid], ts[low:mid], *nothing, np.zeros(n, np.int64)))
+            self._keep(slots, slot, ts[mid:high], duration[mid:high])
+            self._store((name, shard))
+        if out:
+            yield pd.DataFrame({"rows": self._blocks(out)})
+
+    def _columns(self, slots: Slots, slot: np.ndarray, x: list) -> tuple:
+        """Version and its time with a mask of rows that have none, score with such a mask, and inputs kept for `complete`."""
+        known = slot >= 0
+        at = slot[known]
+        versions, starts, result = np.zeros(len(slot), np.int64), np.zeros(len(slot), np.int64), np.zeros(len(slot))
+        sums = np.zeros(len(slot), dtype=bool)
+        if len(at):
+            versions[known], starts[known] = slots.versions[at], slots.starts[at]
+            inputs = np.stack(x)
+            weights, fits = slots.matrix(at, inputs.shape[1] + 1)
+            total = weights[:, 0].copy()
+            for i in range(inputs.shape[1]):
+                total += weights[:, i + 1] * inputs[known, i]
+            result[known], sums[known] = total, fits
+        kept = [None] * len(slot)
+        for i in np.flatnonzero(known & ~sums).tolist():
+            kept[i] = x[i]
+        # As a null: a sum that is not a number.
+        return versions, starts, ~known, result, ~sums | np.isnan(result), kept
+
+    def _blocks(self, parts: list[tuple]) -> list[bytes]:
+        sizes = [len(p[3]) for p in parts]
+        ids, ts, versions, starts, bare, result, open_, kept, duration = (
+            (lambda group: np.concatenate(group) if isinstance(group[0], np.ndarray) else [v for g in group for v in g])(list(g))
+            for g in list(zip(*parts))[3:])
+        place = np.repeat(np.arange(len(parts)), sizes)
+        is_model = np.array([p[2] for p in parts])[place]
+        table = pa.Table.from_arrays([
+            pa.array([p[0] for p in parts], pa.string()).take(pa.array(place)),
+            pa.array(np.array([p[1] for p in parts], np.int32)[place]), pa.array(is_model), pa.array(ids),
+            pa.array(ts, mask=ts == NO_TIME), pa.array(versions, mask=bare), pa.array(starts, mask=bare | (starts == NO_TIME)),
+            pa.array(result, mask=open_), pa.array(duration, mask=is_model), pa.array(kept, pa.list_(pa.float64()))], schema=SCORED)
+        return [to_block(table.slice(low, ROWS_PER_BLOCK)) for low in range(0, len(table), ROWS_PER_BLOCK)]
+
+
+def unpacked(blocks: DataFrame) -> DataFrame:
+    """Blocks that a processor gave -> OUTPUT_SCHEMA."""
+    flat = blocks.mapInArrow(_unpack, SCORED_SQL)
+    times = {c: F.timestamp_micros(c) for c in ("ts", "valid_from")}
+    return flat.select(*[times.get(c, F.col(c)).alias(c) for c in OUTPUT_SCHEMA.names])
+
+
+def seeds(initial: DataFrame, shards: int) -> DataFrame:
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    rows = initial.select("data_type", every, "version", "valid_from", "weights")
+    return rows.select(bucket_of("data_type", "shard").alias("bucket"), "*")
+
+
 def keyed_scoring(stream: DataFrame, shards: int = DEFAULT_SHARDS, swap: str = "immediate",
                   emit_models: bool = False, initial: DataFrame | None = None) -> DataFrame:
     """Stream in INPUT_SCHEMA -> one row per record (and, with `emit_models`, per model and shard).
 
     `initial` is (data_type, version, valid_from, weights): models in force before the stream.
     """
-    use_rocksdb(stream.sparkSession)
-    grouped = None
-    if initial is not None:
-        every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-        seeded = initial.select("data_type", every, "version", "valid_from", "weights")
-        grouped = seeded.groupBy("data_type", "shard")
-    return sharded(stream, shards).groupBy("data_type", "shard").transformWithStateInPandas(
-        statefulProcessor=VersionedScorer(swap, emit_models),
-        outputStructType=OUTPUT_SCHEMA,
+    spark = stream.sparkSession
+    use_rocksdb(spark)
+    shard = F.when(F.col("is_model"), F.lit(0)).otherwise(F.pmod(F.xxhash64("id"), F.lit(shards))).cast("int")
+    each = F.sequence(F.lit(0), F.lit(shards - 1))
+    buckets = F.when(F.col("is_model"), F.transform(each, lambda s: bucket_of(F.col("data_type"), s.cast("int")))).otherwise(
+        F.array(bucket_of(F.col("data_type"), F.col("shard"))))
+    # A slice is one file: without the shuffle one task would read and pack it alone.
+    rows = stream.repartition(spark.sparkContext.defaultParallelism, F.xxhash64("id")).withColumn("shard", shard).select(
+        "data_type", "shard", "is_model", F.unix_micros("ts").alias("ts"), "id", "weights", "features", "duration",
+        buckets.alias("buckets"))
+    packed = rows.mapInArrow(packer(emit_models), "bucket int, rows binary")
+    return unpacked(packed.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=BucketScorer(swap, emit_models),
+        outputStructType="rows binary",
         outputMode="Append",
         timeMode="None",
-        initialState=grouped,
-    )
+        initialState=None if initial is None else seeds(initial, shards).groupBy("bucket"),
+    ))
 
 
 def complete(scored: DataFrame, versions: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
