@@ -6,17 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidescore.operators.stats import merge_stats
+from tidescore.streaming.keyed import entries_of
 
 
 def state_values(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
     """Raw (key, value) rows of one part of the keys' entries: `current`, `pending` or `stats`."""
-    rows = spark.read.format("statestore").option("stateVarName", "entries").load(checkpoint)
-    return _part(rows, variable)
+    rows = spark.read.format("statestore").option("stateVarName", "pages").load(checkpoint)
+    return _part(_entries(rows), variable)
+
+
+def _entries(pages: DataFrame, *more: str) -> DataFrame:
+    entries = F.col("user_map_value.entries").alias("entries")
+    return entries_of(pages.select(entries, *more).where(F.col("entries").isNotNull()), *more)
 
 
 def _part(rows: DataFrame, variable: str, *more: str) -> DataFrame:
-    value = F.col(f"user_map_value.{variable}")
-    return rows.where(value.isNotNull()).select(*more, F.col("user_map_key").alias("key"), value.alias("value"))
+    return rows.where(F.col(variable).isNotNull()).select(*more, "key", F.col(variable).alias("value"))
 
 
 def last_batch(spark: SparkSession, checkpoint: str) -> int:
@@ -32,15 +37,17 @@ def state_changes(
 ) -> DataFrame:
     """What batches `first` to `last` (the newest by default) changed in a part of the keys' entries: batch_id, change_type, key, value.
 
+    A change log has whole pages; of those the keys that the batch worked on are given.
+
     A poller asks for one key from the batch after the `last_batch` it has seen, so a poll reads the change logs
     of the batches since and not the state. No batches give no rows.
     """
     newest = last_batch(spark, checkpoint)
     last = newest if last is None else min(last, newest)
-    reader = spark.read.format("statestore").option("stateVarName", "entries").option("readChangeFeed", True)
+    reader = spark.read.format("statestore").option("stateVarName", "pages").option("readChangeFeed", True)
     span = (first, last) if first <= last else (max(newest, 0), max(newest, 0))
     rows = reader.option("changeStartBatchId", span[0]).option("changeEndBatchId", span[1]).load(checkpoint)
-    rows = _part(rows, variable, "batch_id", "change_type")
+    rows = _part(_entries(rows, "batch_id", "change_type").where("touched"), variable, "batch_id", "change_type")
     if first > last:
         rows = rows.limit(0)
     if data_type is not None:

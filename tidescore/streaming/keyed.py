@@ -7,9 +7,10 @@ of other kinds of models leave the stream with their version and inputs, and `co
 them with the registry's parameters.
 
 Keys are hashed into buckets, and a bucket is what Spark groups by: a call of the processor costs far more
-than a key, and a stream may have many keys with a row or two each in a batch. The state stays one entry
-per key, in a map, so a batch reads and writes the entries of the keys it touches and no others. Rows
-travel packed, a block of Arrow data per bucket and task, and are worked on as columns.
+than a key, and a stream may have many keys with a row or two each in a batch. A call to the state costs far
+more than an entry too, so a bucket's entries lie in a few pages, each a block of Arrow data: a batch reads and
+writes the pages of the keys it touches, and marks in them which keys those were. Rows travel packed, a block
+per bucket and task. The rows of all keys of a bucket are worked on together as columns.
 
 Rows of one bucket in one micro-batch are ordered by (key, ts, models first, id) before they are
 applied. That buffer is bounded by the source's per-trigger limit divided over the buckets, or over the
@@ -19,6 +20,7 @@ shards of one data type; `play` and the topic source both set one. For streams w
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -36,6 +38,7 @@ from tidescore.session import use_rocksdb
 
 DEFAULT_SHARDS = 16
 BUCKETS = 256  # groups of keys; fixed, as a checkpoint's state lies in them
+PAGES = 8  # pages of a bucket; fixed as well
 ROWS_PER_BLOCK = 100_000
 NO_TIME = np.iinfo(np.int64).min  # a row without a time, as NumPy has it
 
@@ -512,6 +515,247 @@ class BucketScorer(VersionedScorer):
         return [to_block(table.slice(low, ROWS_PER_BLOCK)) for low in range(0, len(table), ROWS_PER_BLOCK)]
 
 
+# A page of the state: entries as ENTRY has them, flat. A slot without a version column is empty; `touched` marks
+# the keys that the batch which wrote the page worked on.
+SLOTS = ("current", "pending")
+LISTS = pa.list_(pa.float64())
+ENTRIES = pa.schema([
+    ("data_type", pa.string()), ("shard", pa.int32()),
+    *[(f"{slot}_{n}", LISTS if n == "weights" else pa.int64()) for slot in SLOTS for n in MODEL_STATE.names],
+    *[(f"{slot}_held", pa.bool_()) for slot in SLOTS],
+    *[(f"stats_{n}", pa.int64()) for n in STATS_STATE.names], ("touched", pa.bool_())])
+
+
+def page_of(data_type: str | None, shard: int) -> int:
+    return zlib.crc32(b"-" if data_type is None else b"+" + data_type.encode(), shard) % PAGES
+
+
+def _spans(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and length of each list in the values, -1 for a null, and the values, NaN for a null."""
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    sizes = np.where(lists.is_valid().to_numpy(zero_copy_only=False), np.diff(offsets), -1)
+    return offsets[:-1], sizes, lists.values.to_numpy(zero_copy_only=False).astype(float, copy=False)
+
+
+def _sums(weights: pa.Array, slot: np.ndarray, features: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of each row's features under the weights of its slot, and whether they fit."""
+    at, sizes, values = _spans(weights)
+    whole = np.ones(len(sizes), dtype=bool)
+    whole[np.repeat(np.arange(len(sizes)), np.maximum(sizes, 0))[np.isnan(_flat(at, sizes, values))]] = False
+    x_at, x_sizes, x_values = _spans(features)
+    total = np.zeros(len(slot))
+    fits = (x_sizes >= 0) & (sizes[slot] == x_sizes + 1) & whole[slot]
+    for width in np.unique(x_sizes[fits]).tolist():
+        rows = np.flatnonzero(fits & (x_sizes == width))
+        w, x = at[slot[rows]], x_at[rows]
+        sums = values[w].copy()
+        for i in range(width):
+            sums += values[w + i + 1] * x_values[x + i]
+        total[rows] = sums
+    return total, fits
+
+
+def _flat(at: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Values of the lists that are not null, one list after the other."""
+    n = np.maximum(sizes, 0)
+    return values[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+def _taken(column: pa.Array, at: np.ndarray) -> pa.Array:
+    """Values at positions, null where the position is negative."""
+    return column.take(pa.array(np.maximum(at, 0), mask=at < 0))
+
+
+class PagedScorer(BucketScorer):
+    """`BucketScorer` for many keys a batch: entries come and go by the page, and all keys of a call are worked on as columns."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.pages = handle.getMapState("pages", "page int", "entries binary")
+
+    def _read(self, page: int) -> pa.Table:
+        held = self.pages.getValue((page,))
+        return ENTRIES.empty_table() if held is None else from_blocks([bytes(held[0])])
+
+    def _write(self, page: int, entries: pa.Table) -> None:
+        self.pages.updateValue((page,), (to_block(entries.combine_chunks()),))
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        rows = initialState
+        names = [None if pd.isna(n) else n for n in rows["data_type"]]
+        shards, versions, starts = rows["shard"].to_numpy(np.int32), rows["version"].to_numpy(np.int64), _micros(rows["valid_from"])
+        n = len(rows)
+        fresh = dict(zip(STATS_STATE.names, _empty_stats(versions, starts)))
+        columns = {
+            "data_type": names, "shard": shards, "current_version": versions, "current_valid_from": starts,
+            "current_weights": [None if w is None else list(w) for w in rows["weights"]],
+            "current_held": np.ones(n, bool), "pending_held": np.zeros(n, bool), "touched": np.ones(n, bool),
+            **{f"stats_{k}": v if isinstance(v, np.ndarray) else [v] * n for k, v in fresh.items()}}
+        made = pa.Table.from_arrays(
+            [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in ENTRIES], schema=ENTRIES)
+        pages = np.array([page_of(a, b) for a, b in zip(names, shards.tolist())])
+        for page in np.unique(pages).tolist():
+            held = self._read(page)
+            new = made.filter(pa.array(pages == page))
+            again = set(zip(new["data_type"].to_pylist(), new["shard"].to_pylist()))
+            kept = [k not in again for k in zip(held["data_type"].to_pylist(), held["shard"].to_pylist())]
+            self._write(page, pa.concat_tables([held.filter(pa.array(kept, pa.bool_())), new]))
+
+    def score(self, table: pa.Table) -> Iterator[pd.DataFrame]:
+        """Apply rows (BLOCK) of all keys; one frame of blocks (SCORED)."""
+        if not len(table):
+            return
+        ts, ids, models = _numbers(table["ts"], NO_TIME), _numbers(table["id"]), _numbers(table["is_model"], False)
+        codes = _codes(table, "shard")
+        order = np.lexsort((ids, ~models, ts, codes))
+        ts, ids, models, codes = ts[order], ids[order], models[order], codes[order]
+        first = np.concatenate([[True], np.diff(codes) != 0])
+        key, starts = np.cumsum(first) - 1, np.flatnonzero(first)
+        keys = table.select(["data_type", "shard"]).take(order[starts])
+        names, shards = keys["data_type"].to_pylist(), keys["shard"].to_pylist()
+        pages = np.array([page_of(a, b) for a, b in zip(names, shards)])
+        held = {page: self._read(page) for page in np.unique(pages).tolist()}
+        known = pa.concat_tables(held.values())
+        place = dict(zip(zip(known["data_type"].to_pylist(), known["shard"].to_pylist()), range(len(known))))
+        mine = np.array([place.get(k, -1) for k in zip(names, shards)])
+
+        def has(slot: str) -> np.ndarray:
+            return (mine >= 0) & np.append(_numbers(known[f"{slot}_held"], False), False)[mine]
+
+        # The models of a key in order of effect: the current one, the one waiting, those that arrived.
+        had = {slot: has(slot) for slot in SLOTS}
+        before = had["current"].astype(np.int64) + had["pending"]
+        arrived = np.cumsum(models)
+        base = (arrived - models)[starts]
+        counts = before + np.diff(np.append(base, arrived[-1]))
+        offset = np.cumsum(counts) - counts
+        total = int(counts.sum())
+        # Where a slot's model is found: in the current slots of the state, in its waiting slots, or in the rows.
+        source, n_known = np.zeros(total, np.int64), len(known)
+        source[offset[had["current"]]] = mine[had["current"]]
+        both = offset + had["current"]
+        source[both[had["pending"]]] = n_known + mine[had["pending"]]
+        new = np.flatnonzero(models)
+        source[(offset + before)[key[new]] + (arrived[new] - 1 - base[key[new]])] = 2 * n_known + order[new]
+        versions = np.concatenate([*[_numbers(known[f"{s}_version"]) for s in SLOTS], _numbers(table["id"])])[source]
+        since = np.concatenate([*[_numbers(known[f"{s}_valid_from"], NO_TIME) for s in SLOTS], _numbers(table["ts"], NO_TIME)])[source]
+        weights = pa.concat_arrays(
+            [*[_whole(known[f"{s}_weights"]) for s in SLOTS], _whole(table["weights"])]).take(pa.array(source))
+
+        records = np.flatnonzero(~models)
+        of, r_ts = key[records], ts[records]
+        slot = before[of] - 1 + arrived[records] - base[of]
+        duration, features = _numbers(table["duration"])[order[records]], _whole(table["features"]).take(pa.array(order[records]))
+        in_force = slot >= 0
+        at = np.where(in_force, offset[of] + slot, 0)
+        out = []
+        if len(records):
+            if total:
+                result, sums = _sums(weights, at, features)
+                sums &= in_force
+                scored_by, valid_from = versions[at], since[at]
+            else:
+                result, sums = np.zeros(len(slot)), np.zeros(len(slot), bool)
+                scored_by, valid_from = np.zeros(len(slot), np.int64), np.zeros(len(slot), np.int64)
+            kept = np.where(in_force & ~sums, np.arange(len(slot)), -1)
+            out.append(pa.Table.from_arrays([
+                *[c.take(pa.array(of)) for c in (_whole(keys["data_type"]), _whole(keys["shard"]))], pa.array(np.zeros(len(slot), bool)),
+                pa.array(ids[records]), pa.array(r_ts, mask=r_ts == NO_TIME), pa.array(scored_by, mask=~in_force),
+                pa.array(valid_from, mask=~in_force | (valid_from == NO_TIME)),
+                pa.array(result, mask=~sums | np.isnan(result)),  # as a null: a sum that is not a number
+                pa.array(duration), _taken(features, kept)], schema=SCORED))
+        if self.emit_models and len(new):
+            m_ts, m_key = pa.array(ts[new], mask=ts[new] == NO_TIME), pa.array(key[new])
+            told = {"data_type": _whole(keys["data_type"]).take(m_key), "shard": _whole(keys["shard"]).take(m_key),
+                    "is_model": pa.array(np.ones(len(new), bool)), "id": pa.array(ids[new]), "ts": m_ts}
+            out.append(pa.Table.from_arrays([told.get(f.name, pa.nulls(len(new), f.type)) for f in SCORED], schema=SCORED))
+
+        self._keep_all(known, mine, had, keys, pages, held, counts, offset, (versions, since, weights), of, slot, r_ts, duration)
+        if out:
+            done = pa.concat_tables(out).combine_chunks()
+            yield pd.DataFrame({"rows": [to_block(done.slice(low, ROWS_PER_BLOCK)) for low in range(0, len(done), ROWS_PER_BLOCK)]})
+
+    def _keep_all(self, known, mine, had, keys, pages, held, counts, offset, slots, of, slot, ts, duration) -> None:
+        """New entries of the keys worked on: which slot is current, which one waits, and the current one's statistics."""
+        n, last = len(counts), counts - 1
+        used = np.full(n, -1)
+        np.maximum.at(used, of, slot)
+        if self.swap == "immediate":
+            current = last.copy()
+        else:  # no record came: whatever was current stays, also when there was none
+            current = np.where(used >= 0, used, np.where(had["current"], 0, -1))
+        pending = np.where((last != current) & (self.swap == "next_record"), last, -1)
+        carried = (current == 0) & had["current"]
+        versions, since, weights = slots
+        columns = {"data_type": _whole(keys["data_type"]), "shard": _whole(keys["shard"]), "touched": pa.array(np.ones(n, bool))}
+        for name, at in (("current", current), ("pending", pending)):
+            where, none = np.where(at >= 0, offset + at, -1), at < 0
+            columns[f"{name}_held"] = pa.array(~none)
+            columns[f"{name}_version"] = _taken(pa.array(versions), where)
+            columns[f"{name}_valid_from"] = _taken(pa.array(since), where)
+            columns[f"{name}_weights"] = _taken(weights, where)
+
+        def stat(name: str, otherwise, missing: int = 0) -> np.ndarray:
+            old = np.append(_numbers(known[f"stats_{name}"], missing), 0)[mine]
+            return np.where(carried, old, otherwise)
+
+        place = np.where(current >= 0, offset + current, 0)
+        start = {"version": versions[place], "since_arrival": since[place]} if len(versions) else {"version": 0, "since_arrival": 0}
+        stats = {k: stat(k, v) for k, v in start.items()}
+        first, usage, spent = stat("since_first_use", LONG_MAX, LONG_MAX), stat("usage", 0), stat("duration", 0)
+        low, high = stat("min_duration", LONG_MAX), stat("max_duration", LONG_MIN)
+        own = (slot == current[of]) & (slot >= 0)
+        of, ts, duration = of[own], ts[own], duration[own]
+        np.minimum.at(first, of, ts)
+        np.add.at(usage, of, 1)
+        np.add.at(spent, of, duration)
+        np.minimum.at(low, of, duration)
+        np.maximum.at(high, of, duration)
+        stats |= {"since_first_use": first, "usage": usage, "duration": spent, "min_duration": low, "max_duration": high}
+        empty = current < 0
+        for name, values in stats.items():
+            columns[f"stats_{name}"] = pa.array(values, mask=empty | (usage == 0) if name == "since_first_use" else empty)
+        made = pa.Table.from_arrays([columns[f.name] for f in ENTRIES], schema=ENTRIES)
+        stored = (current >= 0) | (pending >= 0)
+        replaced = np.zeros(len(known), dtype=bool)
+        replaced[mine[mine >= 0]] = True
+        low_row = 0
+        for page, old in held.items():
+            gone = replaced[low_row : low_row + len(old)]
+            low_row += len(old)
+            fresh = made.filter(pa.array((pages == page) & stored))
+            if len(fresh):
+                rest = old.filter(pa.array(~gone))
+                rest = rest.set_column(ENTRIES.get_field_index("touched"), "touched", pa.array(np.zeros(len(rest), bool)))
+                self._write(page, pa.concat_tables([rest, fresh]))
+
+
+def entries_of(pages: DataFrame, *more: str) -> DataFrame:
+    """Pages of the state (`entries`) -> key, current, pending, stats and touched per entry, with the columns `more`."""
+    kinds = {f.name: f.dataType.simpleString() for f in pages.select(*more).schema.fields} if more else {}
+    flat = {f.name: {"string": "string", "int32": "int", "int64": "long", "bool": "boolean"}.get(str(f.type), "array<double>") for f in ENTRIES}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, page in enumerate(batch.column(0)):
+                entries = from_blocks([page.as_py()]).combine_chunks()
+                again = pa.array(np.full(len(entries), row))
+                for part in entries.to_batches():
+                    yield pa.RecordBatch.from_arrays(
+                        [*[batch.column(i + 1).take(again) for i in range(len(more))], *part.columns], [*more, *ENTRIES.names])
+
+    schema = ", ".join(f"{n} {t}" for n, t in {**kinds, **flat}.items())
+    rows = pages.select("entries", *more).mapInArrow(run, schema)
+    struct = lambda part, names: F.struct(*[F.col(f"{part}_{n}").alias(n) for n in names])
+    return rows.select(
+        *more, F.struct("data_type", "shard").alias("key"),
+        *[F.when(F.col(f"{s}_held"), struct(s, MODEL_STATE.names)).alias(s) for s in SLOTS],
+        F.when(F.col("stats_version").isNotNull(), struct("stats", STATS_STATE.names)).alias("stats"), "touched")
+
+
 def unpacked(blocks: DataFrame) -> DataFrame:
     """Blocks that a processor gave -> OUTPUT_SCHEMA."""
     flat = blocks.mapInArrow(_unpack, SCORED_SQL)
@@ -543,7 +787,7 @@ def keyed_scoring(stream: DataFrame, shards: int = DEFAULT_SHARDS, swap: str = "
         buckets.alias("buckets"))
     packed = rows.mapInArrow(packer(emit_models), "bucket int, rows binary")
     return unpacked(packed.groupBy("bucket").transformWithStateInPandas(
-        statefulProcessor=BucketScorer(swap, emit_models),
+        statefulProcessor=PagedScorer(swap, emit_models),
         outputStructType="rows binary",
         outputMode="Append",
         timeMode="None",
