@@ -8,9 +8,9 @@ import pyarrow as pa
 import pytest
 
 from tests.test_buckets import block
-from tests.test_event_time import START, Rows
+from tests.test_event_time import START, Mark, Rows
 from tests.test_streaming import loop, rows
-from tidescore.streaming import keyed
+from tidescore.streaming import event_time, keyed
 
 
 class Pages:
@@ -118,3 +118,36 @@ def test_first_entries_come_in_parts():
     record = {"is_model": False, "ts": 2, "id": 1, "weights": None, "features": [7.0], "duration": 1}
     assert run(scorer, [[record]], ["a", "b"]) == {1: ("b", -1, 7.0)}
     assert {n: e["stats_usage"] for n, e in pages.entries().items()} == {"a": 0, "b": 1}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_event_time_of_many_keys(seed):
+    """Rows of 20 keys shuffled over batches, one timer and one waiting list for all of them."""
+    rng = random.Random(seed)
+    messages = [(rng.random() < 0.4, rng.randrange(300), i, f"k{rng.randrange(20)}") for i in range(400)]
+    want = {}
+    for m, s, i, k in messages:
+        if not m:
+            models = [(t, j) for q, t, j, n in messages if q and t <= s and n == k]
+            want[i] = max(models)[1] if models else None
+    scorer, state = event_time.BucketEventTimeScorer(), Pages()
+    scorer.init(state)
+    arrival, got = sorted(messages, key=lambda r: r[1] + rng.randrange(60)), {}
+    base = int(pd.Timestamp(START).value // 1_000_000)
+    for low in range(0, 400, 50):
+        part = arrival[low : low + 50]
+        rows_in = pd.DataFrame({
+            "data_type": [r[3] for r in part], "shard": np.zeros(len(part), np.int32), "is_model": [r[0] for r in part],
+            "ts": [START + pd.Timedelta(seconds=r[1]) for r in part], "id": [r[2] for r in part],
+            "weights": [np.array([0.0, 1.0]) if r[0] else None for r in part],
+            "features": [None if r[0] else np.array([1.0]) for r in part],
+            "duration": pd.Series([None if r[0] else 1.0 for r in part], dtype=float), "bucket": 0})
+        before = state.calls
+        assert list(scorer.handleInputRows((0,), iter([rows_in[:20], rows_in[20:]]), None)) == []
+        mark = base + 1000 * (max(r[1] for r in arrival[: low + 50]) - 60) if low + 50 < 400 else base + 10**6
+        for at in [t for t in state.listTimers() if t <= mark]:
+            state.deleteTimer(at)
+            for out in scorer.handleExpiredTimer((0,), Mark(mark), None):
+                got |= {r["id"]: r["version"] for r in keyed.from_blocks(list(out["rows"])).to_pylist()}
+        assert state.calls - before <= 2 * keyed.PAGES and len(state.timers) <= 1
+    assert got == want and state.rows.held == [] and not state.timers

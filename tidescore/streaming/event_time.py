@@ -11,7 +11,9 @@ Spark before it gets here, records and models alike, and counted in the progress
 (`numRowsDroppedByWatermark`). All others are released exactly once. Rows without a time are dropped too.
 The rows of the last `delay` stay in the state until later ones arrive.
 
-The state of a key holds the rows of the last `delay` and of one batch, divided over its shards.
+Keys are hashed into buckets as in `keyed`, and a bucket has one waiting list, in blocks of Arrow data, and one
+timer. It holds its keys' rows of the last `delay` and of one batch. Spark sees the single rows, not blocks, and so
+drops and counts the late ones itself.
 """
 
 from __future__ import annotations
@@ -20,12 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessorHandle
 
 from tidescore.session import use_rocksdb
-from tidescore.streaming.keyed import DEFAULT_SHARDS, OUTPUT_SCHEMA, VersionedScorer, sharded
+from tidescore.streaming.keyed import (
+    BLOCK, DEFAULT_SHARDS, PagedScorer, VersionedScorer, bucket_of, from_blocks, sharded, to_block, unpacked)
 
 WAITING = T.StructType(
     [
@@ -92,6 +96,48 @@ class EventTimeScorer(VersionedScorer):
             self.handle.registerTimer(-(-min(r[1] for r in later) // 1000))
 
 
+def row_block(frame: pd.DataFrame) -> pa.Table:
+    """Rows as Spark gives them -> BLOCK, without those that have no time."""
+    frame = frame[frame["ts"].notna()]
+    times = frame["ts"].to_numpy("datetime64[us]").astype(np.int64)
+    return pa.Table.from_arrays(
+        [pa.array(times) if f.name == "ts" else pa.array(frame[f.name], f.type, from_pandas=True) for f in BLOCK], schema=BLOCK)
+
+
+class BucketEventTimeScorer(PagedScorer):
+    """`EventTimeScorer` for the keys of a bucket."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "rows binary")
+
+    _wake = EventTimeScorer._wake
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        table = pa.concat_tables([BLOCK.empty_table(), *[row_block(chunk) for chunk in rows]]).combine_chunks()
+        if len(table):
+            self.waiting.appendList([(to_block(table),)])
+            self._wake(int(table["ts"].to_numpy().min()))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        until = timerValues.getCurrentWatermarkInMs() * 1000
+        held = [bytes(row[0]) for row in self.waiting.get()]
+        if not held:
+            return
+        table = from_blocks(held).combine_chunks()
+        ready = table["ts"].to_numpy() <= until
+        later = table.filter(pa.array(~ready)).combine_chunks()
+        if len(later):
+            self.waiting.put([(to_block(later),)])
+        else:
+            self.waiting.clear()
+        yield from self.score(table.filter(pa.array(ready)))
+        if len(later):
+            self.handle.registerTimer(-(-int(later["ts"].to_numpy().min()) // 1000))
+
+
 def event_time_scoring(stream: DataFrame, delay: str, shards: int = DEFAULT_SHARDS, swap: str = "immediate",
                        emit_models: bool = False) -> DataFrame:
     """Stream in `keyed.INPUT_SCHEMA` -> one row per record, once no earlier row can come any more.
@@ -100,12 +146,13 @@ def event_time_scoring(stream: DataFrame, delay: str, shards: int = DEFAULT_SHAR
     """
     use_rocksdb(stream.sparkSession)
     timed = stream.withWatermark("ts", delay)
-    return sharded(timed, shards).groupBy("data_type", "shard").transformWithStateInPandas(
-        statefulProcessor=EventTimeScorer(swap, emit_models),
-        outputStructType=OUTPUT_SCHEMA,
+    rows = sharded(timed, shards).withColumn("bucket", bucket_of("data_type", "shard"))
+    return unpacked(rows.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=BucketEventTimeScorer(swap, emit_models),
+        outputStructType="rows binary",
         outputMode="Append",
         timeMode="EventTime",
-    )
+    ))
 
 
 def late_rows(progress: list) -> int:
