@@ -164,3 +164,24 @@ def test_empty_data_type_survives_the_registry(spark, tmp_path):
     back = registry.read_versions(spark, str(tmp_path / "r"))
     assert sorted((r.data_type, r.version) for r in back.select("data_type", "version").collect()) == [("", 1), ("a", 2)]
     assert back.where("data_type = ''").count() == 1
+
+
+def test_publishing_sorts_no_documents(spark, tmp_path):
+    """A task's documents are written as they come, for few data types; those of further ones are all there too."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, "0")
+    spark.sql(f"CREATE TABLE published_here (version LONG, data_type STRING) USING parquet PARTITIONED BY (data_type) LOCATION '{tmp_path}/t'")
+    try:
+        text = "EXPLAIN INSERT INTO published_here SELECT id, CAST(id % 3 AS STRING) FROM range(9)"
+        assert "Sort" in spark.sql(text).first()[0]
+        with registry.unsorted_writes(spark):
+            assert "Sort" not in spark.sql(text).first()[0]
+    finally:
+        spark.sql("DROP TABLE published_here")
+    assert spark.conf.get(key, "0") == before
+    one = spark.createDataFrame([("a", 1, "n", "d", "PMML", START, bytearray(b"x"), constant(1.0))], MODEL_VERSION_SCHEMA)
+    many = spark.range(200).coalesce(1).select((F.col("id") % 40).cast("string").alias("data_type"), F.col("id").alias("version"))
+    path = f"{tmp_path}/registry"
+    registry.append_versions(many.crossJoin(one.drop("data_type", "version")), path)
+    back = registry.read_versions(spark, path)
+    assert back.count() == 200 and back.select("data_type").distinct().count() == 40
