@@ -167,3 +167,14 @@ def test_mixed_kinds(spark, mixed, monkeypatch):
     resolved = scored.drop("result")
     shuffled = dispatch.score_cogrouped(resolved, versions.select("version", "params"))
     same(shuffled, want)
+
+
+def test_order_columns_are_not_written(spark):
+    """What only serves the order stays out of the chunks, and positions keep the order it made."""
+    from tidescore.operators.ordering import ordered_chunks
+
+    rows = spark.range(500).select((F.col("id") % 7).alias("ts"), F.xxhash64("id").alias("tie"), "id")
+    chunks = ordered_chunks(rows, [F.col("ts"), F.col("tie")], "slim", drop=["tie"])
+    assert chunks.columns == ["ts", "id", "_chunk", "_offset"]
+    found = [(r.ts, r.id) for r in chunks.orderBy("_chunk", "_offset").collect()]
+    assert found == [(r.ts, r.id) for r in rows.orderBy("ts", "tie").collect()]

@@ -92,8 +92,9 @@ def asof_hot_keys(spark, folder):
 
 @query("asof_hot_keys_sorted", HOT_SCORE)
 def asof_hot_keys_sorted(spark, folder):
-    df = R.resolve_sorted(inputs.wine(spark, folder), inputs.order_models(spark, folder))
-    return order_scored(df).select(*inputs.LINE_KEYS, "version", "result")
+    # Columns that the answer does not use would be sorted, written and shuffled with the rest.
+    records = inputs.wine(spark, folder).select(*inputs.LINE_KEYS, "data_type", "ts", *FEATURES)
+    return order_scored(R.resolve_sorted(records, inputs.order_models(spark, folder))).select(*inputs.LINE_KEYS, "version", "result")
 
 
 @query(
