@@ -35,6 +35,7 @@ from tidescore.schemas import FEATURES
 from tidescore.session import checked_broadcast
 
 WORD = 64
+MOST_COLUMNS = 64  # trees whose masks stand in columns of their own
 BINS_PER_THRESHOLD, MOST_BINS = 2, 65_536
 INTERVALS = (
     "data_type string, version long, feature int, low double, high double, first boolean, last boolean, masks array<long>, "
@@ -172,52 +173,64 @@ def leaf_numbers(records: DataFrame, versions: DataFrame, columns: Sequence[str]
     # Per model the grids of its features: one row, whose size follows the number of features.
     grids = table.where("first").groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("feature", F.struct("start", "step", "bins")))).alias("_grids"))
-    model = ends.join(grids.withColumnsRenamed({k: f"g_{k}" for k in keys}), _all(ends, keys), "left").drop(*[f"g_{k}" for k in keys])
     frame = records.withColumn("_x", F.array(*bind_fields(columns, records.columns)))
-    frame = frame.join(checked_broadcast(model), same_model(frame, model)).drop(*keys)
+    frame = frame.join(checked_broadcast(grids), same_model(frame, grids), "left").drop(*keys)
+    spots = {}
+    for i in range(len(columns)):
+        grid = F.try_element_at("_grids", F.lit(i))
+        spots[f"_at{i}"] = bin_of(F.get("_x", F.lit(i)), grid["start"], grid["step"], grid["bins"])
+    frame = frame.withColumns(spots).drop("_grids")
     low, high = (bin_of(F.col(e), F.col("start"), F.col("step"), F.col("bins")) for e in ("low", "high"))
-    zero = F.lit(0).cast("long")
+    zero, all_ones = F.lit(0).cast("long"), F.lit(-1).cast("long")
     placed = table.select(
         *keys, "feature", F.col("low").alias("_low"), F.col("high").alias("_high"), F.col("first").alias("_first"),
         F.col("last").alias("_last"), F.col("masks").alias("_masks"),
         F.explode(F.sequence(F.when(F.col("first"), zero).otherwise(low), F.when(F.col("last"), F.col("bins")).otherwise(high))).alias("_bin"))
-    carried = [c for c in frame.columns]
-    both = F.lit(None).cast("array<long>")
-    frame = frame.withColumn("_left", both)
+    size = ends.agg(F.max(F.size("_scores")).alias("trees"), F.max("_words").alias("words")).first()
+    # Masks of one word and few trees are a column each, which compiled code combines; others stay arrays.
+    slots = [f"_left{t}" for t in range(size.trees or 0)] if size.words == 1 and size.trees <= MOST_COLUMNS else []
+    carried = list(frame.columns)
+    frame = frame.withColumns({c: all_ones for c in slots} or {"_left": F.lit(None).cast("array<long>")})
     for i in range(len(columns)):
         side = checked_broadcast(placed.where(F.col("feature") == i))
-        x, grid = F.get("_x", F.lit(i)), F.try_element_at("_grids", F.lit(i))
-        spot = bin_of(x, grid["start"], grid["step"], grid["bins"])
-        frame = frame.withColumns({"_at": spot, "_v": x})
-        here = same_model(frame, side) & (F.col("_at") == F.col("_bin")) & (
-            (F.col("_first") | (F.col("_v") > F.col("_low"))) & (F.col("_last") | (F.col("_v") <= F.col("_high"))))
-        frame = frame.join(side, here, "left").select(
-            *carried,
-            F.when(F.col("_left").isNull(), F.col("_masks")).when(F.col("_masks").isNull(), F.col("_left"))
-            .otherwise(F.zip_with("_left", "_masks", lambda a, b: a.bitwiseAND(b))).alias("_left"))
+        x = F.get("_x", F.lit(i))
+        here = same_model(frame, side) & (F.col(f"_at{i}") == F.col("_bin")) & (
+            (F.col("_first") | (x > F.col("_low"))) & (F.col("_last") | (x <= F.col("_high"))))
+        carried.remove(f"_at{i}")
+        if slots:
+            left = [F.col(c).bitwiseAND(F.coalesce(F.get("_masks", F.lit(t)), all_ones)).alias(c) for t, c in enumerate(slots)]
+        else:
+            left = [F.when(F.col("_left").isNull(), F.col("_masks")).when(F.col("_masks").isNull(), F.col("_left"))
+                    .otherwise(F.zip_with("_left", "_masks", lambda a, b: a.bitwiseAND(b))).alias("_left")]
+        frame = frame.join(side, here, "left").select(*carried, *left)
+    # The leaves' values are far longer than a row: they meet it last.
+    kept = [F.col(c) for c in records.columns]
+    frame = frame.join(checked_broadcast(ends), same_model(frame, ends)).drop(*keys)
+    if slots:
+        numbers = [lowest_bit(F.col(c)).cast("int").alias(f"_leaf{t}") for t, c in enumerate(slots)]
+        found = frame.select(*kept, *numbers, "_scores", "_probs")
+
+        def of_trees(cell) -> Column:
+            """A cell per tree that the row's model has."""
+            return F.slice(F.array(*[cell(t) for t in range(len(slots))]), F.lit(1), F.size("_scores"))
+
+        value = lambda table: of_trees(lambda t: F.get(F.get(F.col(table), F.lit(t)), F.col(f"_leaf{t}")))
+        return found.select(
+            *kept, of_trees(lambda t: F.col(f"_leaf{t}")).alias("leaves"), value("_scores").alias("scores"), value("_probs").alias("probs"))
     # A model without any test has one leaf a tree.
     trees = F.sequence(F.lit(0), F.size("_scores") - 1)
-    all_ones = F.array_repeat(F.lit(-1).cast("long"), (F.size("_scores") * F.col("_words")).cast("int"))
-    frame = frame.withColumn("_left", F.coalesce("_left", all_ones))
+    frame = frame.withColumn("_left", F.coalesce("_left", F.array_repeat(all_ones, (F.size("_scores") * F.col("_words")).cast("int"))))
 
     def leaf(tree: Column) -> Column:
         mine = F.slice(F.col("_left"), tree * F.col("_words") + 1, F.col("_words"))
         word = F.array_position(F.transform(mine, lambda w: w != 0), True).cast("int") - 1
         return word * WORD + lowest_bit(F.get(mine, word))
 
-    kept = [F.col(c) for c in records.columns]
     found = frame.select(*kept, F.transform(trees, leaf).alias("leaves"), "_scores", "_probs")
     value = lambda table: F.zip_with(F.col(table), F.col("leaves"), lambda t, at: F.get(t, at))
     return found.select(*kept, "leaves", value("_scores").alias("scores"), value("_probs").alias("probs"))
 
 
-def _all(left: DataFrame, keys: Sequence[str]) -> Column:
-    out = F.lit(True)
-    for k in keys:
-        out = out & F.col(k).eqNullSafe(F.col(f"g_{k}"))
-    return out
-
-
 def score_forest_by_bits(records: DataFrame, versions: DataFrame, labels: Sequence[str], result: str = "result") -> DataFrame:
     """The mean of the reached leaves' class distributions, then the best label, the first among equals."""
     found = leaf_numbers(records, versions)
