@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidescore.plans import stream_queries
 from tidescore.session import CHANGELOGS, kept_batches, scratch_path, shared_dir
 from tidescore.sources import artifacts, delimited, kafka, registry, replay
 from tidescore.sources.staged import play, read_staged
@@ -280,3 +281,25 @@ def test_change_feed_in_a_session_without_change_logs(spark):
     finally:
         spark.conf.set(key, "true")
         spark.conf.unset(retained)
+
+
+def test_state_partitions_do_not_follow_the_shuffle_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    at = F.timestamp_seconds("id")
+    models = spark.range(0, 40, 2).select(
+        (F.col("id") % 3).cast("string").alias("data_type"), "id", at.alias("valid_from"), F.lit(0.0).alias("b"), F.lit(2.0).alias("w"))
+    records = spark.range(1, 41, 2).select(
+        (F.col("id") % 3).cast("string").alias("data_type"), "id", at.alias("ts"), F.lit(1.5).alias("value"), F.lit(1).alias("duration"))
+    rows = keyed.model_rows(models.withColumnRenamed("id", "version"), ["b", "w"]).unionByName(
+        keyed.record_rows(records, "id", ["value"]))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        scored, checkpoint = stream_queries.run_keyed(rows, shards=1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stores = {r.numPartitions for r in introspect.stores(spark, checkpoint).collect()}
+    assert stores == {2 * spark.sparkContext.defaultParallelism}
+    # Models have even numbers and records odd ones, so the newest model of a record's type is three seconds older.
+    got = {r.id: (r.version, r.result) for r in scored.collect()}
+    assert got == {i: (i - 3, 3.0) if i >= 3 else (None, None) for i in range(1, 41, 2)}
