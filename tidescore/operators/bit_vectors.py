@@ -37,6 +37,7 @@ from tidescore.session import checked_broadcast
 WORD = 64
 MOST_COLUMNS = 64  # trees whose masks stand in columns of their own
 BINS_PER_THRESHOLD, MOST_BINS = 2, 65_536
+JOINS_PER_STAGE = 2  # as many as Spark compiles to one method that the JVM compiles too
 INTERVALS = (
     "data_type string, version long, feature int, low double, high double, first boolean, last boolean, masks array<long>, "
     "start double, step double, bins long"
@@ -162,6 +163,14 @@ def lowest_bit(word: Column) -> Column:
     return F.when(word == least, F.lit(63)).otherwise(F.bit_count(word.bitwiseAND(-word) - 1))
 
 
+def compiled_apart(df: DataFrame) -> DataFrame:
+    """What comes after is compiled by itself: too many operators in one method are too long for the JVM, and run one by one.
+
+    No row moves: partitions are put together only where there are more of them than the largest number.
+    """
+    return df.coalesce((1 << 31) - 1)
+
+
 def leaf_numbers(records: DataFrame, versions: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     """Rows with a `version` (and `data_type`) of a tree or forest, with `leaves`: per tree the number of the
     leaf it falls in, `scores` and `probs`: those leaves' values.
@@ -170,14 +179,15 @@ def leaf_numbers(records: DataFrame, versions: DataFrame, columns: Sequence[str]
     table = interval_table(versions).withColumnsRenamed(named)
     ends = leaf_values(versions).withColumnsRenamed({**named, "scores": "_scores", "probs": "_probs", "words": "_words"})
     keys = list(named.values())
-    # Per model the grids of its features: one row, whose size follows the number of features.
-    grids = table.where("first").groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", F.struct("start", "step", "bins")))).alias("_grids"))
+    # Per model the grids of its features by their numbers: one row, whose size follows the number of features.
+    of_features = F.map_from_entries(F.collect_list(F.struct("feature", F.struct("start", "step", "bins"))))
+    grids = table.where("first").groupBy(*keys).agg(of_features.alias("_grids")).withColumn(
+        "_grids", F.array(*[F.try_element_at("_grids", F.lit(i)) for i in range(len(columns))]))
     frame = records.withColumn("_x", F.array(*bind_fields(columns, records.columns)))
     frame = frame.join(checked_broadcast(grids), same_model(frame, grids), "left").drop(*keys)
     spots = {}
     for i in range(len(columns)):
-        grid = F.try_element_at("_grids", F.lit(i))
+        grid = F.get("_grids", F.lit(i))
         spots[f"_at{i}"] = bin_of(F.get("_x", F.lit(i)), grid["start"], grid["step"], grid["bins"])
     frame = frame.withColumns(spots).drop("_grids")
     low, high = (bin_of(F.col(e), F.col("start"), F.col("step"), F.col("bins")) for e in ("low", "high"))
@@ -192,6 +202,8 @@ def leaf_numbers(records: DataFrame, versions: DataFrame, columns: Sequence[str]
     carried = list(frame.columns)
     frame = frame.withColumns({c: all_ones for c in slots} or {"_left": F.lit(None).cast("array<long>")})
     for i in range(len(columns)):
+        if i % JOINS_PER_STAGE == 0:
+            frame = compiled_apart(frame)
         side = checked_broadcast(placed.where(F.col("feature") == i))
         x = F.get("_x", F.lit(i))
         here = same_model(frame, side) & (F.col(f"_at{i}") == F.col("_bin")) & (
@@ -204,6 +216,7 @@ def leaf_numbers(records: DataFrame, versions: DataFrame, columns: Sequence[str]
                     .otherwise(F.zip_with("_left", "_masks", lambda a, b: a.bitwiseAND(b))).alias("_left")]
         frame = frame.join(side, here, "left").select(*carried, *left)
     # The leaves' values are far longer than a row: they meet it last.
+    frame = compiled_apart(frame)
     kept = [F.col(c) for c in records.columns]
     frame = frame.join(checked_broadcast(ends), same_model(frame, ends)).drop(*keys)
     if slots:
